@@ -17,11 +17,20 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+PAGES_PER_BLOCK = 10_000
+
+
 def missing_pages(pages: DataFrame, page: str = "page", total: str = "total_pages") -> DataFrame:
-    """Page numbers between 1 and the declared page count that were not read."""
-    expected = (pages.agg(F.max(F.col(total).cast("bigint")).alias("n"))
-                .filter(F.col("n") >= 1)
-                .select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias(page)))
+    """Page numbers between 1 and the declared page count that were not read.
+
+    The expected numbers are made in blocks that are spread over the cluster first.
+    """
+    n, size = F.col("n"), F.lit(PAGES_PER_BLOCK).cast("bigint")
+    blocks = (pages.agg(F.max(F.col(total).cast("bigint")).alias("n")).filter(n >= 1)
+              .select("n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / size))).alias("block"))
+              .repartition("block"))
+    expected = blocks.select(F.explode(F.sequence(
+        F.col("block") * size + 1, F.least(n, (F.col("block") + 1) * size))).alias(page))
     read = pages.select(F.col(page).cast("bigint").alias(page)).distinct()
     return expected.join(read, page, "left_anti")
 

@@ -35,6 +35,15 @@ def local_session(app: str = "fieldmart", cores: int | str = "*", shuffle_partit
     return session
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings for a session somebody else made. A skewed join is also split where that
+    costs another shuffle after it."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        spark.conf.set(key, SETTINGS[key])
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return spark
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder the session names in ``spark.checkpoint.dir``.
 

@@ -2,77 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as dt
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-PAIR = "user string, started timestamp, stopped timestamp"
-# RocksDB keeps the waiting events of a busy user on disk instead of on the heap.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
-
-
-class SessionPairing(StatefulProcessor):
-    """Keyed by (user, day slot): events wait in state until the watermark has passed the slot, are
-    then walked once in time order, and the slot's state is dropped."""
-
-    def __init__(self, start: str, stop: str, slot_ms: int):
-        self.start, self.stop, self.slot_ms = start, stop, slot_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # One entry per event, keyed in time order and by event id, so a repeated event is one entry.
-        self.waiting = handle.getMapState("waiting", "ts_us bigint, tie string", "is_stop boolean")
-        self.armed = handle.getValueState("armed", "at bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            for ts, tie, is_stop in zip(batch["ts_us"], batch["tie"], batch["is_stop"]):
-                self.waiting.updateValue((int(ts), str(tie)), (bool(is_stop),))
-        if not self.armed.exists():
-            end = (int(key[1]) + 1) * self.slot_ms
-            self.handle.registerTimer(end)
-            self.armed.update((end,))
-        yield pd.DataFrame(columns=["user", "started", "stopped"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows, open_starts = [], []
-        for (ts, _tie), (is_stop,) in sorted(self.waiting.iterator(), key=lambda e: (e[0][0], int(e[0][1]))):
-            if not is_stop:
-                open_starts.append(ts)
-            elif open_starts:
-                rows.append((key[0], open_starts[0], ts))
-                open_starts = []
-        rows += [(key[0], ts, None) for ts in open_starts]
-        self.waiting.clear()
-        self.armed.clear()
-        frame = pd.DataFrame(rows, columns=["user", "started", "stopped"])
-        for c in ("started", "stopped"):
-            frame[c] = pd.to_datetime(frame[c].astype("Int64"), unit="us")
-        yield frame
-
-    def close(self) -> None:
-        pass
-
-
-def pair_sessions_stream(stream: DataFrame, user: str, ts: str, event: str, tie: str, start: str = "LOGIN",
-                         stop: str = "LOGOUT", delay: str = "1 hour", slot_hours: int = 24) -> DataFrame:
-    """Pairs of every day slot, once it is over; the daily report on the same slot gives the same rows.
-
-    ``tie`` is a numeric event id.
+from ..operators.sequence import pair_sessions
+
+
+def report_days(spark: SparkSession, inbox: str, report: str, user: str, ts: str, event: str, tie: str,
+                before: dt.date | None, number: int, start: str = "LOGIN", stop: str = "LOGOUT") -> None:
+    """Pairs the waiting days before ``before`` (all when None) that no earlier batch has reported."""
+    waiting = spark.read.parquet(inbox).filter(F.col("batch_no") <= number)
+    if before is not None:
+        waiting = waiting.filter(F.col("day") < F.lit(str(before)).cast("date"))
+    try:
+        done = spark.read.parquet(report).filter(F.col("batch_no") != number).select("day").distinct()
+        waiting = waiting.join(done, "day", "left_anti")
+    except AnalysisException as error:  # nothing has been reported yet
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    keyed = waiting.withColumn("_key", F.struct(F.col(user).alias("user"), "day"))
+    pairs = pair_sessions(keyed, "_key", ts, event, tie, start, stop)
+    out = pairs.select(F.col("user.user").alias("user"), F.col("user.day").alias("day"), "started", "stopped")
+    out.write.mode("overwrite").parquet(f"{report}/batch_no={number}")
+
+
+def session_sink(inbox: str, report: str, user: str, ts: str, event: str, tie: str,
+                 delay_hours: int = 1, start: str = "LOGIN", stop: str = "LOGOUT"
+                 ) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer: events wait in a day-partitioned table; a day is paired, with the same
+    operator as the batch report, once events ``delay_hours`` after its end arrive.
+
+    The waiting table is the state: it survives lost executors, holds a busy user as many rows
+    instead of one state value, and a repeated batch overwrites what its first try wrote. Events
+    that come after their day was reported are not counted, as with any watermark.
     """
-    slot_ms = slot_hours * 3_600_000
-    timed = (stream.filter(F.col(event).isin(start, stop))
-             .select(F.col(user).cast("string").alias("user"), F.col(ts).cast("timestamp").alias("at"),
-                     F.col(tie).cast("string").alias("tie"), (F.col(event) == stop).alias("is_stop"))
-             .withWatermark("at", delay)
-             .withColumn("ts_us", F.unix_micros("at"))
-             .withColumn("slot", F.floor(F.unix_millis("at") / slot_ms).cast("bigint")))
-    return timed.groupBy("user", "slot").transformWithStateInPandas(
-        statefulProcessor=SessionPairing(start, stop, slot_ms), outputStructType=PAIR,
-        outputMode="Append", timeMode="EventTime")
+    def write(batch: DataFrame, number: int) -> None:
+        moment = F.col(ts).cast("timestamp_ntz")
+        (batch.filter(F.col(event).isin(start, stop)).withColumn("day", moment.cast("date"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("day").parquet(f"{inbox}/batch_no={number}"))
+        newest = batch.agg(F.max(moment)).first()[0]
+        if newest is not None:
+            closed = (newest - dt.timedelta(hours=delay_hours)).date()
+            report_days(batch.sparkSession, inbox, report, user, ts, event, tie, closed, number, start, stop)
+
+    return write
