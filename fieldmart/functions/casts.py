@@ -30,7 +30,11 @@ def moment(value: dt.datetime | dt.date | str | Column) -> Column:
 
 def day(value: dt.datetime | dt.date | str | Column) -> Column:
     """``as_of`` as a date column."""
-    return moment(value).cast("date")
+    if isinstance(value, Column):
+        return value.cast("date")
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc)
+    return F.lit(dt.date.fromisoformat(str(value)[:10]))
 
 
 def hours(n: int) -> Column:

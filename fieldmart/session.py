@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture on every Column call costs more than planning a wide report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
