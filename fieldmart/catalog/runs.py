@@ -135,7 +135,7 @@ def duplicate_run(t):
 
 def _reconciled(t) -> reconciliation.Reconciliation:
     return reconciliation.reconcile_status(i.order_documents(t), i.warehouse_orders(t), i.ORDERS_AS_OF, i.ALL_HOURS,
-                                           i.WAREHOUSE_ORDER)
+                                           i.WAREHOUSE_ORDER, recent_only=False)
 
 
 @query

@@ -56,14 +56,18 @@ def keys_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = N
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
-              order: Sequence[str]) -> DataFrame:
+              order: Sequence[str], small_left: bool = False) -> DataFrame:
     """Compares every left row with the first right row of its key.
 
     Adds the right value and ``outcome``: ``missing`` without a right row, ``diverges`` when the
-    values differ (a null right value differs), else ``equal``.
+    values differ (a null right value differs), else ``equal``. With ``small_left`` the right table is
+    first cut down to the left keys: worth it for a few recent rows against a whole warehouse, but a
+    second pass over the left side otherwise.
     """
-    first = first_per_key(right.select(key, right_value, *[c for c in order if c not in (key, right_value)]),
-                          [key], order).select(key, right_value, F.lit(True).alias("_found"))
+    rows = right.select(key, right_value, *[c for c in order if c not in (key, right_value)])
+    if small_left:
+        rows = keys_in(rows, left, key)
+    first = first_per_key(rows, [key], order).select(key, right_value, F.lit(True).alias("_found"))
     joined = left.join(first, key, "left")
     outcome = (F.when(F.col("_found").isNull(), F.lit("missing"))
                .when(~F.col(left_value).eqNullSafe(F.col(right_value)), F.lit("diverges"))

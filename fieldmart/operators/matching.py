@@ -92,10 +92,10 @@ def _with_blocks(names: DataFrame, official: DataFrame, limit: int) -> DataFrame
     """Any list size: bounded slices of names meet bounded blocks of the list, then the best of blocks."""
     blocks = math.ceil(official.count() / limit) * 2
     slices = max(1, math.ceil(names.count() / NAMES_PER_SLICE)) * 2
-    left = (names.withColumn("s", F.pmod(F.xxhash64("sorted_name"), F.lit(slices)))
-            .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint")))
-    right = (official.withColumn("b", F.pmod(F.xxhash64("matched"), F.lit(blocks)))
-             .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("bigint")))
+    left = (names.withColumn("s", F.expr(f"pmod(xxhash64(sorted_name), {slices}L)"))
+            .withColumn("b", F.expr(f"explode(sequence(0L, {blocks - 1}L))")))
+    right = (official.withColumn("b", F.expr(f"pmod(xxhash64(matched), {blocks}L)"))
+             .withColumn("s", F.expr(f"explode(sequence(0L, {slices - 1}L))")))
 
     def run(some_names: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if some_names.empty or block.empty:

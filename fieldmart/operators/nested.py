@@ -11,6 +11,15 @@ from pyspark.sql import types as T
 from ..functions.casts import as_col
 
 
+def slim_items(array: str, **paths: str) -> Column:
+    """An array of structs cut down to the named fields (dotted paths inside the element).
+
+    Field by field, so that a columnar source reads just these leaves; a function that takes the
+    elements as a whole would make it read all of them.
+    """
+    return F.arrays_zip(*[F.col(f"{array}.{path}").alias(name) for name, path in paths.items()])
+
+
 def explode_items(df: DataFrame, array: str, item: str = "item", pos: str = "pos") -> DataFrame:
     """One row per array element with its position; rows without elements disappear."""
     keep = [F.col(f"`{c}`") for c in df.columns if c != array]

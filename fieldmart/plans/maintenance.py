@@ -9,42 +9,42 @@ from ..functions.calendar import whole_days
 from ..functions.casts import moment, stamp_text
 from ..functions.text import digits_only, or_text
 from ..operators.filters import filled, since_hours
-from ..operators.nested import any_item, explode_items, first_item
+from ..operators.nested import any_item, explode_items, first_item, slim_items
 
 MAINTENANCE = "Manutenção - Problema técnico"
 
 
 def ended_before(as_of, days: int):
     limit = moment(as_of) - F.expr(f"INTERVAL '{int(days)}' DAY")
-
-    def test(service: Column) -> Column:
-        return service["serviceOrder"]["installerResponse"]["appointmentEndTime"] < limit
-
-    return test
+    return lambda service: service["ended"] < limit
 
 
 def is_maintenance(service: Column) -> Column:
-    return service["serviceOrder"]["type"] == MAINTENANCE
+    return service["type"] == MAINTENANCE
 
 
 def maintenance_monitor(docs: DataFrame, as_of, hours: int = 3, days: int = 90) -> DataFrame:
     """One row per maintenance order of a recent ticket that has, on the same ticket (itself included),
     a service that ended more than ``days`` days ago; the first such service in list order.
 
-    The sibling is found inside the row, so nothing is shuffled.
+    The sibling is found inside the row, so nothing is shuffled, and only four leaves of the service
+    list are read.
     """
-    recent = docs.filter(since_hours("createdAt", as_of, hours) & any_item("services", is_maintenance))
-    held = recent.select("services", or_text("customer.cpf", "NULL").alias("customer_cpf"),
-                         first_item("services", ended_before(as_of, days)).alias("sibling"))
+    services = slim_items("services", number="serviceOrder.number", type="serviceOrder.type",
+                          registered="serviceOrder.registeredAt",
+                          ended="serviceOrder.installerResponse.appointmentEndTime")
+    recent = docs.filter(since_hours("createdAt", as_of, hours)).select(
+        services.alias("services"), or_text("customer.cpf", "NULL").alias("customer_cpf"))
+    held = recent.filter(any_item("services", is_maintenance)).withColumn(
+        "sibling", first_item("services", ended_before(as_of, days)))
     orders = explode_items(held.filter(F.col("sibling").isNotNull()), "services", "s")
-    mine = orders.filter(is_maintenance(F.col("s")) & filled("s.serviceOrder.number"))
-    other, ended = "sibling.serviceOrder", "sibling.serviceOrder.installerResponse.appointmentEndTime"
+    mine = orders.filter(is_maintenance(F.col("s")) & filled("s.number"))
     return mine.select(
-        digits_only("s.serviceOrder.number").alias("nro_os_manutencao"),
-        stamp_text("s.serviceOrder.registeredAt", "NULL").alias("registered_at_manutencao"),
+        digits_only("s.number").alias("nro_os_manutencao"),
+        stamp_text("s.registered", "NULL").alias("registered_at_manutencao"),
         "customer_cpf",
-        or_text(f"{other}.number", "N/A").alias("os_vizinha_number"),
-        or_text(f"{other}.type", "N/A").alias("os_vizinha_type"),
-        stamp_text(ended).alias("appointment_end_time"),
-        whole_days(ended, moment(as_of)).alias("dias_desde_appointment"),
+        or_text("sibling.number", "N/A").alias("os_vizinha_number"),
+        or_text("sibling.type", "N/A").alias("os_vizinha_type"),
+        stamp_text("sibling.ended").alias("appointment_end_time"),
+        whole_days("sibling.ended", moment(as_of)).alias("dias_desde_appointment"),
     )

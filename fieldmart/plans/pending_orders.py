@@ -8,28 +8,29 @@ from pyspark.sql import functions as F
 from ..functions.casts import stamp_text
 from ..functions.text import or_text
 from ..operators.filters import until_hours
-from ..operators.nested import any_item, explode_items, first_item
+from ..operators.nested import any_item, explode_items, first_item, slim_items
 
 # The statuses that count as waiting.
 WAITING = ("PENDING", "OPEN", "IN_VALIDATION", "VALIDATION", "INSTALLER_INTEGRATION_ERROR")
 
 
 def is_waiting(service: Column) -> Column:
-    return service["serviceOrder"]["status"].isin(*WAITING)
+    return service["status"].isin(*WAITING)
 
 
 def pending_orders(docs: DataFrame, as_of, hours: int = 5) -> DataFrame:
     """One row per waiting order registered at least ``hours`` hours before ``as_of``."""
-    tickets = docs.filter(any_item("services", is_waiting)).select("createdBy", "services")
-    items = explode_items(tickets, "services", "s")
-    late = items.filter(is_waiting(F.col("s")) & until_hours("s.serviceOrder.registeredAt", as_of, hours))
-    order = "s.serviceOrder"
+    order = {name: f"serviceOrder.{name}" for name in
+             ("number", "type", "status", "registeredAt", "schedules", "failureReason")}
+    tickets = docs.select("createdBy", slim_items("services", **order).alias("services"))
+    items = explode_items(tickets.filter(any_item("services", is_waiting)), "services", "s")
+    late = items.filter(is_waiting(F.col("s")) & until_hours("s.registeredAt", as_of, hours))
     return late.select(
-        or_text(f"{order}.number", "NULL").alias("nro OS"),
-        or_text(f"{order}.type", "NULL").alias("type"),
-        F.col(f"{order}.status").alias("status"),
-        stamp_text(f"{order}.registeredAt", "NULL").alias("registeredAt"),
-        first_item(f"{order}.schedules")["installer"].alias("installer"),
-        or_text(f"{order}.failureReason", "NULL").alias("failureReason"),
+        or_text("s.number", "NULL").alias("nro OS"),
+        or_text("s.type", "NULL").alias("type"),
+        F.col("s.status").alias("status"),
+        stamp_text("s.registeredAt", "NULL").alias("registeredAt"),
+        first_item("s.schedules")["installer"].alias("installer"),
+        or_text("s.failureReason", "NULL").alias("failureReason"),
         or_text("createdBy", "NULL").alias("createdBy"),
     )
