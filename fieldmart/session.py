@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -46,6 +47,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="fieldmart-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -56,6 +62,5 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="fieldmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
