@@ -21,17 +21,22 @@ def labelled_counts(df: DataFrame, keys: Sequence[str], rules: Mapping[str, Colu
     """One scan for several filtered group counts: a row is counted once under each rule it meets.
 
     ``hidden`` names, per rule, one more grouping value that is not part of the result, so the
-    visible keys of that rule may repeat.
+    visible keys of that rule may repeat. The rows are first reduced to one per key (and hidden
+    value) with a conditional count per rule; only those are turned into one row per rule.
     """
-    hidden = hidden or {}
+    hidden = {f"_h{n}": (name, c) for n, (name, c) in enumerate((hidden or {}).items())}
+    places = {name: place for place, (name, _) in hidden.items()}
+    base = df.withColumns({place: c for place, (_, c) in hidden.items()}) if hidden else df
+    counted = counts_when(base, [*keys, *hidden], {f"_n{n}": cond for n, cond in enumerate(rules.values())})
     entries = []
-    for name, cond in rules.items():
-        extra = hidden.get(name)
-        extra = extra.cast("string") if extra is not None else F.lit(None).cast("string")
-        entries.append(F.when(cond, F.struct(F.lit(name).alias("label"), extra.alias("extra"))))
-    tagged = df.select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("_rule"))
-    counted = tagged.groupBy(*keys, F.col("_rule.label").alias(label), F.col("_rule.extra").alias("_extra"))
-    return counted.agg(F.count(F.lit(1)).alias(count)).drop("_extra")
+    for n, name in enumerate(rules):
+        extra = F.col(places[name]).cast("string") if name in places else F.lit(None).cast("string")
+        entries.append(F.struct(F.lit(name).alias("label"), extra.alias("extra"), F.col(f"_n{n}").alias("n")))
+    tagged = counted.select(*keys, F.explode(F.array(*entries)).alias("_rule")).filter("_rule.n > 0")
+    rows = tagged.select(*keys, F.col("_rule.label").alias(label), "_rule.extra", F.col("_rule.n").alias(count))
+    if hidden:
+        rows = rows.groupBy(*keys, label, "extra").agg(F.sum(count).alias(count))
+    return rows.drop("extra")
 
 
 def distinct_counts(df: DataFrame, item: str, classes: Mapping[str, Column]) -> DataFrame:

@@ -21,9 +21,13 @@ def slim_items(array: str, **paths: str) -> Column:
 
 
 def explode_items(df: DataFrame, array: str, item: str = "item", pos: str = "pos") -> DataFrame:
-    """One row per array element with its position; rows without elements disappear."""
+    """One row per array element with its position; rows without elements disappear.
+
+    Outer explode and a filter on the position: a plain explode makes Spark add a size check on the
+    array below, which computes a derived array (parsed JSON, say) several times per row.
+    """
     keep = [F.col(f"`{c}`") for c in df.columns if c != array]
-    return df.select(*keep, F.posexplode(array).alias(pos, item))
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, item)).filter(F.col(pos).isNotNull())
 
 
 def explode_ids(df: DataFrame, array: str) -> DataFrame:

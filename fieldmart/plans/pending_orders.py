@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import stamp_text
 from ..functions.text import or_text
 from ..operators.filters import until_hours
-from ..operators.nested import any_item, explode_items, first_item, slim_items
+from ..operators.nested import explode_items, first_item, slim_items
 
 # The statuses that count as waiting.
 WAITING = ("PENDING", "OPEN", "IN_VALIDATION", "VALIDATION", "INSTALLER_INTEGRATION_ERROR")
 
 
-def is_waiting(service: Column) -> Column:
-    return service["status"].isin(*WAITING)
-
-
 def pending_orders(docs: DataFrame, as_of, hours: int = 5) -> DataFrame:
     """One row per waiting order registered at least ``hours`` hours before ``as_of``."""
     order = {name: f"serviceOrder.{name}" for name in
              ("number", "type", "status", "registeredAt", "schedules", "failureReason")}
     tickets = docs.select("createdBy", slim_items("services", **order).alias("services"))
-    items = explode_items(tickets.filter(any_item("services", is_waiting)), "services", "s")
-    late = items.filter(is_waiting(F.col("s")) & until_hours("s.registeredAt", as_of, hours))
+    items = explode_items(tickets, "services", "s")
+    late = items.filter(F.col("s.status").isin(*WAITING) & until_hours("s.registeredAt", as_of, hours))
     return late.select(
         or_text("s.number", "NULL").alias("nro OS"),
         or_text("s.type", "NULL").alias("type"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import try_stamp
+from ..operators.nested import explode_items
 
 
 def page_schema(record: T.StructType, style: str = "offset") -> T.StructType:
@@ -53,7 +54,7 @@ def _named(pages: DataFrame, style: str) -> DataFrame:
 
 def records(pages: DataFrame) -> DataFrame:
     """The records of all pages as top-level columns."""
-    return pages.select(F.explode("data").alias("r")).select("r.*")
+    return explode_items(pages.select("data"), "data", "r").select("r.*")
 
 
 METRIC = T.StructType([T.StructField("resource", T.StructType([T.StructField("items", T.ArrayType(
@@ -62,7 +63,7 @@ METRIC = T.StructType([T.StructField("resource", T.StructType([T.StructField("it
 
 def metric_series(responses: DataFrame, value: str) -> DataFrame:
     """``intervalStart`` (date) and a count per item of a metric response."""
-    items = responses.select(F.explode("resource.items").alias("i"))
+    items = explode_items(responses.select(F.col("resource.items").alias("items")), "items", "i")
     start = F.coalesce(F.to_date(F.substring("i.intervalStart", 1, 10)),
                        try_stamp("i.intervalStart").cast("date"))
     return items.select(start.alias("intervalStart"), F.col("i.count").alias(value))
