@@ -63,54 +63,68 @@ class PackedNames:
         return place, float(score[place])
 
 
-_RESULT = "sorted_name string, matched string, score double"
+_RESULT = "name string, matched string, score double"
 
 
-def _score(texts: pd.Series, packed: PackedNames, matched: list[str]) -> pd.DataFrame:
+def _tasks(df: DataFrame) -> int:
+    """Partitions for the scoring: given as a number, because scoring is heavy for its few bytes and
+    partitions that look small would otherwise be merged into a few long tasks."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _score(names: pd.Series, texts: pd.Series, packed: PackedNames, matched: list[str]) -> pd.DataFrame:
     best = [packed.best(t) for t in texts]
     return pd.DataFrame({
-        "sorted_name": list(texts),
+        "name": list(names),
         "matched": [matched[b[0]] for b in best],
         "score": np.array([b[1] for b in best], dtype=np.float64),
-    }, columns=["sorted_name", "matched", "score"])
+    }, columns=["name", "matched", "score"])
 
 
-def _with_broadcast(names: DataFrame, official: list) -> DataFrame:
-    shared = names.sparkSession.sparkContext.broadcast(
+def _with_broadcast(joined: DataFrame, official: list) -> DataFrame:
+    shared = joined.sparkSession.sparkContext.broadcast(
         ([r["sorted_official"] for r in official], [r["matched"] for r in official]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts, matched = shared.value
         packed = PackedNames(texts)
         for batch in batches:
-            yield _score(batch["sorted_name"], packed, matched)
+            settled = batch["matched"].notna()
+            yield batch.loc[settled, ["name", "matched"]].assign(score=100.0)
+            rest = batch[~settled]
+            yield _score(rest["name"], rest["sorted_name"], packed, matched)
 
-    return names.mapInPandas(run, _RESULT)
+    spread = joined.repartition(_tasks(joined), "sorted_name")
+    return spread.select("name", "sorted_name", "matched").mapInPandas(run, _RESULT)
 
 
-def _with_blocks(names: DataFrame, official: DataFrame, limit: int) -> DataFrame:
+def _with_blocks(joined: DataFrame, official: DataFrame, limit: int) -> DataFrame:
     """Any list size: bounded slices of names meet bounded blocks of the list, then the best of blocks."""
+    exact = joined.filter(F.col("matched").isNotNull()).select("name", "matched", F.lit(100.0).alias("score"))
+    names = joined.filter(F.col("matched").isNull()).select("name", "sorted_name")
     blocks = math.ceil(official.count() / limit) * 2
     slices = max(1, math.ceil(names.count() / NAMES_PER_SLICE)) * 2
-    left = (names.withColumn("s", F.expr(f"pmod(xxhash64(sorted_name), {slices}L)"))
-            .withColumn("b", F.expr(f"explode(sequence(0L, {blocks - 1}L))")))
+    tasks = _tasks(joined)
+    left = (names.withColumn("s", F.expr(f"pmod(xxhash64(name), {slices}L)"))
+            .withColumn("b", F.expr(f"explode(sequence(0L, {blocks - 1}L))"))).repartition(tasks, "s", "b")
     right = (official.withColumn("b", F.expr(f"pmod(xxhash64(matched), {blocks}L)"))
-             .withColumn("s", F.expr(f"explode(sequence(0L, {slices - 1}L))")))
+             .withColumn("s", F.expr(f"explode(sequence(0L, {slices - 1}L))"))).repartition(tasks, "s", "b")
 
     def run(some_names: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if some_names.empty or block.empty:
-            return pd.DataFrame({"sorted_name": [], "matched": [], "score": []}).astype(
-                {"sorted_name": "object", "matched": "object", "score": "float64"})
+            return pd.DataFrame({"name": [], "matched": [], "score": []}).astype(
+                {"name": "object", "matched": "object", "score": "float64"})
         block = block.sort_values(["rank", "matched"])
-        return _score(some_names["sorted_name"], PackedNames(list(block["sorted_official"])),
+        return _score(some_names["name"], some_names["sorted_name"], PackedNames(list(block["sorted_official"])),
                       list(block["matched"]))
 
     scored = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(run, _RESULT)
     ranked = scored.join(official.select("matched", "rank"), "matched")
-    return (ranked.groupBy("sorted_name")
+    near = (ranked.groupBy("name")
             .agg(F.min(F.struct((-F.col("score")).alias("loss"), "rank", "matched")).alias("top"))
-            .select("sorted_name", F.col("top.matched").alias("matched"),
-                    (-F.col("top.loss")).alias("score")))
+            .select("name", F.col("top.matched").alias("matched"), (-F.col("top.loss")).alias("score")))
+    return exact.unionByName(near)
 
 
 def best_match(names: DataFrame, name: str, official: DataFrame, official_name: str,
@@ -130,19 +144,14 @@ def best_match(names: DataFrame, name: str, official: DataFrame, official_name:
     listed = listed.groupBy("sorted_official").agg(
         F.min(F.struct("rank", "matched")).alias("head")).select(
         "sorted_official", F.col("head.rank").alias("rank"), F.col("head.matched").alias("matched"))
+    head = listed.orderBy("rank", "matched").limit(broadcast_limit + 1).collect()
 
     wanted = (names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
               .withColumn("sorted_name", token_sort("name")))
-    exact = (wanted.join(listed, F.col("sorted_name") == F.col("sorted_official"))
-             .select("name", "matched", F.lit(100.0).alias("score")))
-    rest = (wanted.join(listed, F.col("sorted_name") == F.col("sorted_official"), "left_anti"))
-    texts = rest.select("sorted_name").distinct()
-
-    head = listed.orderBy("rank", "matched").limit(broadcast_limit + 1).collect()
     if not head:
-        return exact
+        return wanted.limit(0).select("name", F.lit(None).cast("string").alias("matched"), F.lit(0.0).alias("score"))
+    settled = listed.select(F.col("sorted_official").alias("sorted_name"), "matched")
+    joined = wanted.join(settled, "sorted_name", "left")
     if len(head) <= broadcast_limit:
-        scored = _with_broadcast(texts, head)
-    else:
-        scored = _with_blocks(texts, listed, broadcast_limit)
-    return exact.unionByName(rest.join(scored, "sorted_name").select("name", "matched", "score"))
+        return _with_broadcast(joined, head)
+    return _with_blocks(joined, listed, broadcast_limit)
