@@ -73,13 +73,11 @@ def _tasks(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def _score(names: pd.Series, texts: pd.Series, packed: PackedNames, matched: list[str]) -> pd.DataFrame:
-    best = [packed.best(t) for t in texts]
-    return pd.DataFrame({
-        "name": list(names),
-        "matched": [matched[b[0]] for b in best],
-        "score": np.array([b[1] for b in best], dtype=np.float64),
-    }, columns=["name", "matched", "score"])
+def _frame(rows: list[tuple[str, str, float]]) -> pd.DataFrame:
+    """Result rows as plain object and float columns, also when there are none."""
+    name, matched, score = zip(*rows) if rows else ((), (), ())
+    return pd.DataFrame({"name": np.array(name, dtype=object), "matched": np.array(matched, dtype=object),
+                         "score": np.array(score, dtype=np.float64)})
 
 
 def _with_broadcast(joined: DataFrame, official: list) -> DataFrame:
@@ -90,10 +88,11 @@ def _with_broadcast(joined: DataFrame, official: list) -> DataFrame:
         texts, matched = shared.value
         packed = PackedNames(texts)
         for batch in batches:
-            settled = batch["matched"].notna()
-            yield batch.loc[settled, ["name", "matched"]].assign(score=100.0)
-            rest = batch[~settled]
-            yield _score(rest["name"], rest["sorted_name"], packed, matched)
+            rows = []
+            for name, text, known in zip(batch["name"], batch["sorted_name"], batch["matched"]):
+                place, score = (None, 100.0) if isinstance(known, str) else packed.best(text)
+                rows.append((name, known if place is None else matched[place], score))
+            yield _frame(rows)
 
     spread = joined.repartition(_tasks(joined), "sorted_name")
     return spread.select("name", "sorted_name", "matched").mapInPandas(run, _RESULT)
@@ -113,11 +112,11 @@ def _with_blocks(joined: DataFrame, official: DataFrame, limit: int) -> DataFram
 
     def run(some_names: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if some_names.empty or block.empty:
-            return pd.DataFrame({"name": [], "matched": [], "score": []}).astype(
-                {"name": "object", "matched": "object", "score": "float64"})
+            return _frame([])
         block = block.sort_values(["rank", "matched"])
-        return _score(some_names["name"], some_names["sorted_name"], PackedNames(list(block["sorted_official"])),
-                      list(block["matched"]))
+        packed, matched = PackedNames(list(block["sorted_official"])), list(block["matched"])
+        best = [packed.best(text) for text in some_names["sorted_name"]]
+        return _frame([(name, matched[place], score) for name, (place, score) in zip(some_names["name"], best)])
 
     scored = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(run, _RESULT)
     ranked = scored.join(official.select("matched", "rank"), "matched")
