@@ -36,10 +36,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return picked.select(*keys, *[F.col(f"_first.`{c}`").alias(c) for c in rest])
 
 
-def anti_join(df: DataFrame, known: DataFrame, keys: Sequence[str],
-              dedupe_batch: bool = False) -> DataFrame:
-    """Rows whose key is not in ``known`` yet. Repeats inside the batch all pass unless told otherwise."""
-    fresh = df.join(known.select(*keys).distinct(), list(keys), "left_anti")
+def anti_join(df: DataFrame, known: DataFrame, keys: Sequence[str], dedupe_batch: bool = False,
+              known_unique: bool = False) -> DataFrame:
+    """Rows whose key is not in ``known`` yet. Repeats inside the batch all pass unless told otherwise.
+
+    ``known_unique`` saves the reduction of a ledger that holds each key once.
+    """
+    seen = known.select(*keys)
+    fresh = df.join(seen if known_unique else seen.distinct(), list(keys), "left_anti")
     return fresh.dropDuplicates(list(keys)) if dedupe_batch else fresh
 
 

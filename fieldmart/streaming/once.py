@@ -25,7 +25,7 @@ def once_sink(ledger_path: str, keys: Sequence[str]) -> Callable[[DataFrame, int
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             known = spark.createDataFrame([], schema)
-        fresh = anti_join(batch, known.filter(known.batch_no != number), keys, dedupe_batch=True)
+        fresh = anti_join(batch, known.filter(known.batch_no != number), keys, dedupe_batch=True, known_unique=True)
         (fresh.write.mode("overwrite").parquet(f"{ledger_path}/batch_no={number}"))
 
     return write
