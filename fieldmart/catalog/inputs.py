@@ -368,7 +368,7 @@ def call_records(t: Tables) -> DataFrame:
     """One call per document; every line of its text is one attendance."""
     lines = F.split("text", "\n")
     visit = F.transform(lines, lambda x, i: F.struct(
-        F.substring(x, 1, 4).alias("tipo"), F.length(x).cast("bigint").alias("tempoEspera"),
+        x.alias("tipo"), F.length(x).cast("bigint").alias("tempoEspera"),
         (i * 1000).cast("bigint").alias("tempoAtendimento"), (F.length(x) > 60).alias("atendidaAte60Seg"),
         (F.length(x) < 10).alias("desistenciaAte60Seg"), (i > 5).alias("atendidaPos60Seg"),
         F.lit(None).cast("boolean").alias("desistenciaPos60Seg")))

@@ -580,7 +580,7 @@ def _list(expr: str) -> str:
 query("call_log_rows", "calls", f"""
 SELECT CAST(doc_id AS VARCHAR) AS id, day || ' 08:15:30.000000' AS "dataHoraInicio",
   '2024-02-01 10:00:00.000000' AS "dataHoraFim", '31-01-2024' AS data_atualizacao,
-  {_list("translate(x[1:4], '[]''', '')")} AS tipo, {_list("CAST(length(x) AS VARCHAR)")} AS "tempoEspera_ms",
+  {_list("translate(x, '[]''', '')")} AS tipo, {_list("CAST(length(x) AS VARCHAR)")} AS "tempoEspera_ms",
   {_list("CAST((i - 1) * 1000 AS VARCHAR)")} AS "tempoAtendimento_ms",
   {_list("CASE WHEN length(x) > 60 THEN 'True' ELSE 'False' END")} AS "atendidaAte60Seg",
   {_list("CASE WHEN length(x) < 10 THEN 'True' ELSE 'False' END")} AS "desistenciaAte60Seg",
@@ -821,10 +821,10 @@ def _join(expr: str, sep: str) -> str:
 
 _size = "CASE WHEN length(x) > 30 THEN CAST(length(x) AS VARCHAR) ELSE '' END"
 query("join_list_fields", "turns", f"""
-SELECT conv_id, turn, {_join("CAST(n - 1 AS VARCHAR)", ", ")} AS ids, {_join("x[1:5]", "; ")} AS names,
-  {_join(_size, "; ")} AS sizes, {_join(f"x[1:5] || '(' || {_size} || ')'", "; ")} AS pairs,
+SELECT conv_id, turn, {_join("CAST(n - 1 AS VARCHAR)", ", ")} AS ids, {_join("x", "; ")} AS names,
+  {_join(_size, "; ")} AS sizes, {_join(f"x || '(' || {_size} || ')'", "; ")} AS pairs,
   len(list_filter(lines, lambda x: length(x) > 100)) > 0 AS has_long,
-  list_filter(lines, lambda x: length(x) > 50)[1][1:5] AS first_long, lines[1][1:5] AS first
+  list_filter(lines, lambda x: length(x) > 50)[1] AS first_long, lines[1] AS first
 FROM turns
 """)
 query("json_expand", "", """

@@ -537,7 +537,7 @@ def explode_outer_ids(t):
 def join_list_fields(t):
     """Lists made of the lines of each conversation turn, joined in every supported way."""
     items = F.transform(_lines(), lambda x, n: F.struct(
-        F.substring(x, 1, 5).alias("name"), F.when(F.length(x) > 30, F.length(x)).alias("size"), n.alias("n")))
+        x.alias("name"), F.when(F.length(x) > 30, F.length(x)).alias("size"), n.alias("n")))
     df = t.conversations.select("conv_id", "turn", items.alias("items"))
     return df.select(
         "conv_id", "turn", nested.joined(F.col("items.n")).alias("ids"), nested.joined_field("items", "name").alias("names"),

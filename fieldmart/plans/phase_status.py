@@ -16,16 +16,16 @@ REASONS = ("Agendamento", "Interferência", "Contestação")
 MARK = "Instalado"
 
 
-def installed_keys(freshdesk: DataFrame, extra: DataFrame, key: str) -> DataFrame:
+def installed_keys(tickets: DataFrame, extra: DataFrame, key: str) -> DataFrame:
     """Distinct keys with an installed ticket in either table."""
     done = ((F.col("Status") == INSTALLED) & F.col("StatusdaInstalação").isin(*INSTALLATION_RESULTS)
             & F.col("MotivodocontatoInstalação").isin(*REASONS))
-    return union_distinct(freshdesk.filter(done).select(key), extra.filter(done).select(key))
+    return union_distinct(tickets.filter(done).select(key), extra.filter(done).select(key))
 
 
-def mark_installed(freshdesk: DataFrame, extra: DataFrame, registry: DataFrame) -> DataFrame:
+def mark_installed(tickets: DataFrame, extra: DataFrame, registry: DataFrame) -> DataFrame:
     """The registry with both status columns brought up to date."""
-    people = installed_keys(freshdesk, extra, "CPF").withColumnRenamed("CPF", "cpf")
-    families = installed_keys(freshdesk, extra, "CodFamilia")
+    people = installed_keys(tickets, extra, "CPF").withColumnRenamed("CPF", "cpf")
+    families = installed_keys(tickets, extra, "CodFamilia")
     marked = mark_keys(registry, people, "cpf", "status_cpf", MARK)
     return mark_keys(marked, families, "cod_familia", "status_codfamilia", MARK, try_bigint("CodFamilia"))
