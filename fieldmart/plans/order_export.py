@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import moment
 from ..functions.text import digits_only, full_address, or_text, update_statement
-from ..operators.joins import lookup_first
+from ..operators.joins import anti_join, lookup_first
 from ..operators.nested import explode_items, first_item
 
 TABLE = "crm_ticket_data"
@@ -73,8 +73,10 @@ def listed_orders(ids: DataFrame, docs: DataFrame, doc_order: str = "createdAt",
     whole = F.struct(*[F.col(c) for c in docs.columns if c != "services"]).alias("d")
     items = explode_items(docs.select(whole, "services"), "services", "s")
     keyed = items.select(F.col("s.serviceOrder.number").alias(number), "d", "s", "pos")
-    found, absent = lookup_first(ids, keyed, number, [f"d.{doc_order}", "pos", "s.serviceOrder.registeredAt"])
-    return found.select(number, "d", "s"), absent
+    found, _ = lookup_first(ids, keyed, number, [f"d.{doc_order}", "pos", "s.serviceOrder.registeredAt"])
+    # The absent ids need one leaf of the documents, not the documents.
+    numbers = docs.select(F.explode_outer("services.serviceOrder.number").alias(number))
+    return found.select(number, "d", "s"), anti_join(ids.select(number), numbers, [number])
 
 
 def order_export(ids: DataFrame, docs: DataFrame, as_of, mode: str = "csv", table: str = TABLE,

@@ -282,13 +282,14 @@ def travel_table(feed: str, df: DataFrame) -> DataFrame:
 
 
 def travel_tables(spark: SparkSession, folders: dict[str, str],
-                  schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+                  schemas: dict[str, T.StructType] | None = None,
+                  one_per_line: bool = False) -> dict[str, DataFrame]:
     """All given feeds from their landed page folders, refused when pages are missing or a feed is
     empty. ``schemas`` must name the record schema of ``fatura`` and ``creditos``, which have no
     fixed field list."""
     tables = {}
     for feed, path in folders.items():
         schema = (schemas or {}).get(feed) or record_schema(feed)
-        pages = require_complete(read_pages(spark, path, schema, "numbered"), feed)
+        pages = require_complete(read_pages(spark, path, schema, "numbered", one_per_line), feed)
         tables[feed] = require_rows(travel_table(feed, records(pages)), feed)
     return tables

@@ -29,10 +29,14 @@ def page_schema(record: T.StructType, style: str = "offset") -> T.StructType:
     return T.StructType(fields)
 
 
-def read_pages(spark: SparkSession, path: str, record: T.StructType, style: str = "offset") -> DataFrame:
-    """One row per page file. Missing fields and values of the wrong type are null."""
+def read_pages(spark: SparkSession, path: str, record: T.StructType, style: str = "offset",
+               one_per_line: bool = False) -> DataFrame:
+    """One row per page. Missing fields and values of the wrong type are null.
+
+    Pages are whole files, or lines of files with ``one_per_line``: then big files are split.
+    """
     reader = spark.read.schema(page_schema(record, style)).option("mode", "PERMISSIVE")
-    return _named(reader.json(path, multiLine=True), style)
+    return _named(reader.json(path, multiLine=not one_per_line), style)
 
 
 def parse_pages(lines: DataFrame, text: str, record: T.StructType, style: str = "offset") -> DataFrame:

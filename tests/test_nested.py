@@ -107,6 +107,10 @@ def test_page_styles(spark, tmp_path, rows):
     offset = write_pages(tmp_path / "offset", {"data": [{"phone": "1", "unknown": 2}, {"city": "X"}]}, {"data": []})
     got = pages.records(pages.read_pages(spark, offset, record))
     assert got.columns == record.fieldNames() and got.count() == 2
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text('{"data": [{"phone": "1"}]}\n{"data": [{"phone": "2"}, {"phone": "3"}]}\n')
+    lines = pages.read_pages(spark, str(tmp_path / "lines"), record, one_per_line=True)
+    assert [r[0] for r in rows(pages.records(lines).select("phone"))] == ["1", "2", "3"]
     content = write_pages(tmp_path / "content", {"totalPaginas": 2, "pagina": 1, "content": [{"id": "1", "atendimento": []}]})
     read = pages.read_pages(spark, content, schemas.CALL, "content")
     assert (read.first()["total_pages"], pages.records(read).first()["id"]) == (2, "1")
