@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from oracle_compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.RUNS, entry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,5 +23,10 @@ def test_query(spark, con, name):
     assert differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 25
