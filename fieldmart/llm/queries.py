@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import simhash
+import public_tokenizers
+
+from . import decontaminate, simhash, token_counts
 from .common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +29,36 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 def op1_simhash(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=3)
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_token_counts(spark, folder):
+    return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query
+def op10_decontaminate(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=13)
+
+
+SQL["op10_decontaminate"] = """
+    WITH d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+    i AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark WHERE item_id IS NOT NULL),
+    v AS (
+        SELECT DISTINCT item, list_slice(words, p, p + least(13, len(words)) - 1) AS w
+        FROM i, UNNEST(range(1, greatest(1, len(words) - 12) + 1)) AS t(p) WHERE len(words) > 0),
+    sizes AS (SELECT DISTINCT len(w) AS n FROM v),
+    grams AS (
+        SELECT doc_id, p, list_slice(words, p, p + n - 1) AS w, n
+        FROM d, sizes, UNNEST(range(1, len(words) - n + 2)) AS t(p)),
+    hits AS (SELECT g.doc_id, g.p, g.n, v.item FROM grams g JOIN v ON g.w = v.w),
+    covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hits, UNNEST(range(p, p + n)) AS t(q) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
