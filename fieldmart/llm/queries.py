@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import tune
 import public_tokenizers
 
-from . import decontaminate, simhash, token_counts
+from . import classifier, decontaminate, mixing, simhash, token_counts
 from .common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,17 @@ def op2_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+@query
+def op5_mixing(spark, folder):
+    drawn = mixing.mix(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return drawn.select("doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), "shards")
+
+
+@query
+def op9_quality(spark, folder):
+    return classifier.scores(table(spark, folder, "documents"), table(spark, folder, "labels"), limit=0.3)
+
+
 @query
 def op10_decontaminate(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=13)
