@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..session import tune
 import public_tokenizers
 
-from . import classifier, decontaminate, mixing, simhash, token_counts
+from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, token_counts
+from .license_texts import known
 from .common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,12 +37,109 @@ def op2_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+@query
+def op3_licences(spark, folder):
+    return licences.licence_scan(table(spark, folder, "documents"))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical(expression: str) -> str:
+    form = f"' ' || regexp_replace(lower(line), '{licences.GAPS}', ' ', 'g') || ' '"
+    for one, other in licences.SPELLINGS:
+        form = f"replace({form}, '{one}', '{other}')"
+    return (f"[x for x in [trim(regexp_replace({form}, ' +', ' ', 'g')) for line in string_split(coalesce({expression}, ''), chr(10)) "
+            f"if NOT regexp_matches(line, '{licences.COPYRIGHT}')] if x <> '']")
+
+
+SQL["op3_licences"] = f"""
+    WITH listed(license_id, text) AS (VALUES {", ".join(f"({_text(n)}, {_text(t)})" for n, t in known())}),
+    known AS (SELECT sha256(array_to_string({_canonical("text")}, ' ')) AS digest, min(license_id) AS license_id FROM listed GROUP BY 1),
+    d AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
+    t AS (SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, sha256(array_to_string(lines, ' ')) AS text_sha256, lines FROM d),
+    named AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+              FROM (SELECT doc_id, sha256(unnest(lines)) AS digest FROM t) JOIN known USING (digest) GROUP BY doc_id)
+    SELECT t.doc_id, n_lines, text_sha256, license_id, coalesce(notices, '') AS notices
+    FROM t LEFT JOIN known ON t.text_sha256 = known.digest LEFT JOIN named USING (doc_id)
+"""
+
+
+@query
+def op4_chat(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(odd)))
+
+
+_SAFE = r"replace(replace(replace({}, '\', '\\'), '<', '\l'), chr(10), '\n')"
+SQL["op4_chat"] = f"""
+    WITH r AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, t, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r))
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(15 + length({_SAFE.format("role")}) + length({_SAFE.format("text")})) AS BIGINT) AS formatted_chars
+    FROM r GROUP BY conv_id
+"""
+
+
 @query
 def op5_mixing(spark, folder):
     drawn = mixing.mix(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return drawn.select("doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), "shards")
 
 
+@query
+def op7_quality_rules(spark, folder):
+    return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _rules_sql() -> str:
+    q = quality_rules
+    share = {rule: f"CASE WHEN {whole} > 0 THEN floor(1000 * {part} / {whole}) ELSE 0 END" for rule, (part, whole) in q.RULES.items()}
+    tests = ", ".join(f"('{rule}', {c})" for rule in q.RULES for c in q.CUTOFFS)
+    risk = q.RISK / len(q.RULES)
+    measure = "CASE rule " + " ".join(f"WHEN '{rule}' THEN {share[rule]}" for rule in q.RULES) + " END"
+    rejected = " OR ".join(f"coalesce(({share[rule]}) > (SELECT cutoff FROM chosen c WHERE c.rule = '{rule}' AND c.stratum IS NOT DISTINCT FROM f.stratum), false)"
+                           for rule in q.RULES)
+    spaces = "[\\x20\\x09-\\x0D]+"
+    return f"""
+    WITH d AS (
+        SELECT doc_id, lang AS stratum, coalesce(text, '') AS text,
+               [w for w in regexp_split_to_array(coalesce(text, ''), '{spaces}') if w <> ''] AS words,
+               [l for l in string_split(coalesce(text, ''), chr(10)) if regexp_matches(l, '[^\\x20\\x09-\\x0D]')] AS lines FROM documents),
+    w AS (SELECT doc_id, p, list_slice(words, p, p + 4) AS five FROM d, UNNEST(range(1, len(words) - 3)) AS t(p)),
+    twice AS (SELECT doc_id, p FROM w QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT q) AS n FROM twice, UNNEST(range(p, p + 5)) AS t(q) GROUP BY doc_id),
+    m AS (
+        SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+               CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+               CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_capitals
+        FROM d LEFT JOIN covered USING (doc_id)),
+    f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+    good AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
+    sized AS (SELECT stratum, count(*) AS n, count(*) OVER () AS strata FROM good GROUP BY stratum),
+    tested AS (
+        SELECT g.stratum, rule, cutoff, count(*) FILTER ({measure} > cutoff) AS k
+        FROM good g, (VALUES {tests}) AS t(rule, cutoff) GROUP BY ALL),
+    tails AS (
+        SELECT t.*, n, strata, list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk}))
+               for j in range(0, k + 1)]) AS tail
+        FROM tested t JOIN sized s ON t.stratum IS NOT DISTINCT FROM s.stratum),
+    chosen AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tails
+               WHERE k < n * {risk} AND tail <= {q.DOUBT} / (strata * {len(q.RULES) * len(q.CUTOFFS)}) GROUP BY ALL)
+    SELECT *, NOT base_failed AND NOT ({rejected}) AS kept FROM f
+    """
+
+
+SQL["op7_quality_rules"] = _rules_sql()
+
+
 @query
 def op9_quality(spark, folder):
     return classifier.scores(table(spark, folder, "documents"), table(spark, folder, "labels"), limit=0.3)
