@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import tune
 import public_tokenizers
 
-from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, token_counts
+from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, token_counts, token_files
 from .license_texts import known
 from .common import table
 
@@ -93,6 +93,11 @@ def op5_mixing(spark, folder):
     return drawn.select("doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), "shards")
 
 
+@query
+def op6_token_files(spark, folder):
+    return token_files.token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+
+
 @query
 def op7_quality_rules(spark, folder):
     return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
