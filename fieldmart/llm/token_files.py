@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import as_bytes, work_path
 
 MAGIC = b"MXR1"
-HEADER = struct.Struct("<4sIII")
+HEADER = "<4sIII"  # magic, ids, payload words, CRC-32
 BLOCK = 2048  # ids
 SEGMENT = 1 << 16  # ids; a longer document is a segment of its own
 GROUP = 1 << 23  # ids coded side by side, which bounds a task's memory
@@ -156,20 +156,20 @@ def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
     for lane, i in enumerate(order):
         words = out[lane, : place[lane] + 2]
         words[-2:] = int(low[lane]) >> 32, int(low[lane]) & 0xFFFFFFFF
-        done[i] = HEADER.pack(MAGIC, sizes[i], len(words), checksum(blocks[i])) + words.astype(">u4").tobytes()
+        done[i] = struct.pack(HEADER, MAGIC, sizes[i], len(words), checksum(blocks[i])) + words.astype(">u4").tobytes()
     return done
 
 
 def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
     """The ids of each block; raises if a block is not as it was written."""
-    heads = [HEADER.unpack_from(b) for b in blocks]
-    if any(magic != MAGIC or len(b) != HEADER.size + 4 * words for b, (magic, _, words, _) in zip(blocks, heads, strict=True)):
+    heads = [struct.unpack_from(HEADER, b) for b in blocks]
+    if any(magic != MAGIC or len(b) != struct.calcsize(HEADER) + 4 * words for b, (magic, _, words, _) in zip(blocks, heads, strict=True)):
         raise ValueError("not a block of token ids")
     sizes = np.array([h[1] for h in heads], np.int64)
     order, going = _longest_first(sizes)
     coded = np.zeros((len(blocks), max([h[2] for h in heads], default=0) + 3), np.uint64)
     for lane, i in enumerate(order):
-        coded[lane, : heads[i][2]] = np.frombuffer(blocks[i], ">u4", offset=HEADER.size)
+        coded[lane, : heads[i][2]] = np.frombuffer(blocks[i], ">u4", offset=struct.calcsize(HEADER))
     state = _Lanes(len(blocks), largest)
     ids = np.zeros((len(going), len(blocks)), np.int64)
     code, place = (coded[:, 0] << np.uint64(32)) | coded[:, 1], np.full(len(blocks), 2, np.int64)
