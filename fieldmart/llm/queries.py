@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-import public_tokenizers
-
-from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, token_counts, token_files
+from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files
 from .license_texts import known
 from .common import table
 
@@ -145,6 +144,14 @@ def _rules_sql() -> str:
 SQL["op7_quality_rules"] = _rules_sql()
 
 
+@query
+def op8_suffix_dedup(spark, folder):
+    found = suffix_dedup.without_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_quality(spark, folder):
     return classifier.scores(table(spark, folder, "documents"), table(spark, folder, "labels"), limit=0.3)
