@@ -44,10 +44,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{with_checkpoints(spark).sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The frame from a checkpoint in the shared folder: computed once, and safe from lost executors."""
-    with_checkpoints(df.sparkSession)
-    return df.checkpoint()
+    """The frame as a written table in the shared folder: computed once, safe from lost executors, and
+    the shuffle files that made it are freed."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, "cut")
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def space_words(text: Column | str) -> Column:

@@ -218,26 +218,24 @@ def _same(a: DataFrame, b: DataFrame):
 
 
 def _region_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, crowded, doc_id, text_hash, first, text) of the wanted regions."""
-    lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "crowded", "first", "last")).alias("parts"))
+    """(anchor, doc_id, text_hash, first, text) of the wanted regions, once more for each equal row of ``keyed``."""
+    lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("parts"))
     rows = keyed.join(lists, _same(keyed, lists)).select(keyed.doc_id, keyed.text_hash, keyed.text, "parts")
 
     def work():
         def step(batch):
-            row, anchor, crowded, first, text = [], [], [], [], []
+            row, anchor, first, text = [], [], [], []
             for i, (raw, parts) in enumerate(zip(as_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True)):
                 for p in parts:
                     row.append(i)
                     anchor.append(p["anchor"])
-                    crowded.append(p["crowded"])
                     first.append(p["first"])
                     text.append(raw[p["first"]: p["last"] + WINDOW])
             return {"doc_id": batch.column(0).take(pa.array(row, pa.int64())), "text_hash": batch.column(1).take(pa.array(row, pa.int64())),
-                    "anchor": anchor, "crowded": crowded, "first": first, "text": pa.array(text, pa.binary())}
+                    "anchor": anchor, "first": first, "text": pa.array(text, pa.binary())}
         return step
 
-    texts = map_texts(rows, f"{KEYS}, anchor long, crowded boolean, first int, text binary", work)
-    return texts.dropDuplicates(["doc_id", "text_hash", "first"])
+    return map_texts(rows, f"{KEYS}, anchor long, first int, text binary", work)
 
 
 MARKS = f"{KEYS}, start int, stop int"
@@ -249,24 +247,24 @@ def _merged_marks(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-        size = 0
+        waiting: dict[tuple, bytes] = {}  # by place, so that equal rows of the table bring a region once
+        size, last = 0, None
 
         def marks():
             out: list[list] = [[], [], [], []]
-            for (_, doc_id, text_hash, first, _), starts in zip(waiting, repeated_starts([w[4] for w in waiting]), strict=True):
+            for (doc_id, text_hash, first), starts in zip(waiting, repeated_starts(list(waiting.values())), strict=True):
                 for a, b in stretches(starts):
                     for column, value in zip(out, (doc_id, text_hash, first + a, first + b), strict=True):
                         column.append(value)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if size >= CHUNK and row[0] != waiting[-1][0]:
+            for anchor, *place, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if size >= CHUNK and anchor != last:
                     yield marks()
-                    waiting, size = [], 0
-                waiting.append(row)
-                size += len(row[4])
+                    waiting, size = {}, 0
+                waiting[tuple(place)] = text
+                size, last = size + len(text), anchor
         if waiting:
             yield marks()
 
@@ -289,7 +287,8 @@ def _counted_marks(texts: DataFrame) -> DataFrame:
                     "start": start, "one": one, "two": two}
         return step
 
-    windows = cut(map_texts(texts.select("doc_id", "text_hash", "first", "text"), f"{KEYS}, start int, one long, two long", work))
+    windows = map_texts(texts.select("doc_id", "text_hash", "first", "text"), f"{KEYS}, start int, one long, two long", work)
+    windows = cut(windows.distinct())  # equal rows of the table bring a window once
     common = windows.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1")
     return windows.join(common, ["one", "two"]).select("doc_id", "text_hash", "start", (F.col("start") + WINDOW).cast("int").alias("stop"))
 
@@ -297,17 +296,22 @@ def _counted_marks(texts: DataFrame) -> DataFrame:
 def repeated_stretches(keyed: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc_id, text_hash, start, stop): byte ranges, which may overlap, whose union is all that repeated windows cover."""
     rows = cut(region_rows(keyed))
-    kinds = rows.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.max("twice").alias("twice"), F.min(F.struct("doc_id", "text_hash", "first", "last")).alias("one"))
-    anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("rows"), F.count("*").alias("regions"), F.max(F.col("twice") & (F.col("n") == 1)).alias("inner"),
-                                          F.min("n").alias("fewest")).filter("rows > 1 OR inner")
-    known = cut(kinds.join(anchors, "anchor").select(
-        "anchor", "region", "n", "one", ((F.col("fewest") == 1) & ((F.col("regions") > 1) | F.col("inner"))).alias("open"), (F.col("regions") > crowd).alias("crowded")))
-    whole = known.filter("n > 1").select(F.col("anchor").alias("a"), F.col("region").alias("r"))
-    equal = rows.join(whole, (F.col("anchor") == F.col("a")) & (F.col("region") == F.col("r")), "left_semi")
-    equal = equal.select("doc_id", "text_hash", F.col("first").alias("start"), (F.col("last") + WINDOW).cast("int").alias("stop"))
-    wanted = known.filter("open").select("anchor", "crowded", "one.*")
-    texts = cut(_region_texts(keyed, wanted))
-    return equal.unionByName(_merged_marks(texts.filter("NOT crowded"))).unionByName(_counted_marks(texts.filter("crowded")))
+    kinds = rows.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.max("twice").alias("twice"))
+    anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("rows"), F.count("*").alias("regions"), F.min("n").alias("fewest"),
+                                          F.max(F.col("twice") & (F.col("n") == 1)).alias("inner")).filter("rows > 1 OR inner")
+    known = kinds.join(anchors, "anchor").select(
+        "anchor", "region", "n", ((F.col("fewest") == 1) & ((F.col("regions") > 1) | F.col("inner"))).alias("open"), (F.col("regions") > crowd).alias("crowded"))
+    known = cut(known.filter("n > 1 OR open"))
+    tagged = cut(rows.join(known, ["anchor", "region"]))
+    marks = tagged.filter("n > 1").select("doc_id", "text_hash", F.col("first").alias("start"), (F.col("last") + WINDOW).cast("int").alias("stop"))
+
+    place = ["doc_id", "text_hash", "first", "last"]
+    shared = tagged.filter("open AND n > 1").groupBy("anchor", "region").agg(F.min(F.struct(*place)).alias("one"), F.max("crowded").alias("crowded"))
+    wanted = tagged.filter("open AND n = 1").select("anchor", "crowded", *place).unionByName(shared.select("anchor", "crowded", "one.*"))
+    marks = marks.unionByName(_merged_marks(_region_texts(keyed, wanted.filter("NOT crowded"))))
+    if not known.filter("crowded").isEmpty():
+        marks = marks.unionByName(_counted_marks(_region_texts(keyed, wanted.filter("crowded"))))
+    return marks
 
 
 SPANS = "array<struct<start:int,stop:int>>"

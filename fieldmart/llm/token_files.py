@@ -36,7 +36,7 @@ MAGIC = b"MXR1"
 HEADER = "<4sIII"  # magic, ids, payload words, CRC-32
 BLOCK = 2048  # ids
 SEGMENT = 1 << 16  # ids; a longer document is a segment of its own
-GROUP = 1 << 23  # ids coded side by side, which bounds a task's memory
+GROUP = 1 << 22  # ids coded side by side, which bounds a task's memory
 EVERY = 8  # ids between two changes of the order-0 counts
 TABLE = 10  # log2 of the remembered contexts of an order
 STEP, MOST = 16, 1 << 12  # growth of an order-0 count, and bound of their sum; order 0 always has ONE // 16, so each class has a share
