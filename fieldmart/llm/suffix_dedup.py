@@ -33,8 +33,8 @@ ANCHOR = 32
 SYMBOL = 25  # bytes; eight make a window
 ROUNDS = WINDOW // SYMBOL
 STARTS = WINDOW - ANCHOR + 1  # places of an anchor in a window
-SHARD = 1 << 19  # bytes transformed together
-CHUNK = 1 << 21  # bytes of shards merged together, if the last anchor's regions end there
+SHARD = 1 << 18  # bytes transformed together
+CHUNK = 1 << 20  # bytes of shards merged together, if the last anchor's regions end there
 CROWD = 20_000  # different regions of an anchor from which its windows are counted by hash
 # Odd multipliers of the hashes.
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
