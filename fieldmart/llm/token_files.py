@@ -106,10 +106,10 @@ def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
     """Each block's ids (0..largest, at most 2^16 - 5) as bytes."""
     sizes = np.array([len(b) for b in blocks], np.int64)
     order, going = _longest_first(sizes)
-    ids = np.zeros((len(going), len(blocks)), np.int64)
+    ids = np.zeros((len(going), len(blocks)), np.int32)
     for lane, i in enumerate(order):
         ids[: sizes[i], lane] = blocks[i]
-    classes, bits, rest = _class(ids)
+    classes, bits, rest = _class(np.arange(largest + 1))
     state = _Lanes(len(blocks), largest)
     low, place = np.zeros(len(blocks), np.uint64), np.zeros(len(blocks), np.int64)
     out = np.zeros((len(blocks), int(sizes.max(initial=0)) + 3), np.uint32)
@@ -122,7 +122,8 @@ def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
             lanes, at = lanes[again], at[again] - 1
 
     for t, n in enumerate(going.tolist()):
-        x, kind = ids[t, :n], classes[t, :n]
+        x = ids[t, :n].astype(np.int64)
+        kind = classes[x]
         a, b, share2, share1, share0 = state.predict(n)
         hit2 = (x == a) & (share2 > 0)
         hit1 = (x == b) & (share1 > 0) & ~hit2
@@ -135,10 +136,10 @@ def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
         size = np.where(literal, size, np.where(hit2, share2, share1)).astype(np.uint64)
         unit = state.range[:n] >> np.uint64(16)
         before = low[:n].copy()
-        more = np.where(literal, bits[t, :n], 0).astype(np.uint64)
+        more = np.where(literal, bits[x], 0).astype(np.uint64)
         span = unit * size
         fine = span >> more
-        now = before + unit * start + fine * np.where(literal, rest[t, :n], 0).astype(np.uint64)
+        now = before + unit * start + fine * np.where(literal, rest[x], 0).astype(np.uint64)
         low[:n] = now
         over = np.flatnonzero(now < before)
         if len(over):
@@ -171,7 +172,7 @@ def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
     for lane, i in enumerate(order):
         coded[lane, : heads[i][2]] = np.frombuffer(blocks[i], ">u4", offset=struct.calcsize(HEADER))
     state = _Lanes(len(blocks), largest)
-    ids = np.zeros((len(going), len(blocks)), np.int64)
+    ids = np.zeros((len(going), len(blocks)), np.int32)
     code, place = (coded[:, 0] << np.uint64(32)) | coded[:, 1], np.full(len(blocks), 2, np.int64)
     for t, n in enumerate(going.tolist()):
         a, b, share2, share1, share0 = state.predict(n)
@@ -204,7 +205,7 @@ def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
         state.learn(n, x, a, b, kind, literal)
         if t % EVERY == EVERY - 1:
             state.recount(n)
-    found: list[np.ndarray] = [np.empty(0, np.int64)] * len(blocks)
+    found: list[np.ndarray] = [np.empty(0, np.int32)] * len(blocks)
     for lane, i in enumerate(order):
         found[i] = ids[: sizes[i], lane]
         if checksum(found[i]) != heads[i][3]:
@@ -281,7 +282,7 @@ class UnitIds:
         for word in new:
             if isinstance(word, bytes):
                 self.keep([word], self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, [-1])
-        starts, sizes, pool = np.array(self.starts, np.int64), np.array(self.sizes, np.int64), np.array(self.pool, np.int64)
+        starts, sizes, pool = np.array(self.starts, np.int64), np.array(self.sizes, np.int64), np.array(self.pool, np.int32)
         out = []
         for words in split:
             at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
@@ -289,7 +290,7 @@ class UnitIds:
             ends = np.cumsum(n)
             size = int(ends[-1]) if len(ends) else 0
             ids = pool[np.repeat(starts[at] - (ends - n), n) + np.arange(size)]
-            out.append(np.append(ids, end))
+            out.append(np.append(ids, np.int32(end)))
         return out
 
 
