@@ -175,6 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         vectors.append((places, (values / max(1e-12, float(np.sqrt(values @ values)))).astype(np.float32)))
     prior = np.where(signs > 0, sizes[1] / max(1, np.sum(signs > 0)), sizes[0] / max(1, np.sum(signs < 0)))
     seen = np.flatnonzero(rows["fold"] != 1)
+    if len(set(signs[seen])) < 2:
+        seen = np.arange(len(signs))
     weights, bias = dual_coordinate_descent([vectors[i] for i in seen], signs[seen], 1 << BITS, prior[seen] / prior[seen].mean())
     margins = np.array([weights[p] @ v + bias for p, v in vectors])
     check = np.flatnonzero(rows["fold"] == 1)
