@@ -38,7 +38,10 @@ def test_mix(spark):
         assert len(r.shards) <= 2 and (r.size or not r.shards)
         taken[round(r.target, 4)] += r.size * len(r.shards)
     for target, words in taken.items():
-        assert abs(words - target) <= 30  # a short document at most
+        mine = [r for r in found if round(r.target, 4) == target and r.size]
+        least = min(len(r.shards) for r in mine)
+        left_out = [r.size for r in mine if len(r.shards) == least]  # one more of the smallest is no nearer
+        assert abs(words - target) <= max(1, min(left_out) / 2)
     again = mixing.mix(docs(spark).repartition(3)).collect()
     key = lambda r: (repr(r.doc_id), r.size, sorted(r.shards), r.key)
     assert sorted(map(key, found)) == sorted(map(key, again))
