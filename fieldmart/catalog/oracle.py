@@ -5,6 +5,10 @@
 
 from __future__ import annotations
 
+import re
+
+from ..plans import travel
+
 PARTS: dict[str, str] = {}
 SQL: dict[str, str] = {}
 
@@ -142,7 +146,11 @@ WHERE nivel_calculo_prevencao >= 2 AND curva <> 'Decrescente'
 _city = "aged tickets people cities families starts curves counts wide"
 _risk = _city + " ratios risks colours levels"
 
-query("kpi_conditional_sums", "aged tickets counts", "SELECT * FROM counts")
+query("kpi_conditional_sums", "aged tickets counts", """
+SELECT * FROM counts WHERE backlog_futuro_semana_anterior + backlog_futuro_semana_atual + backlog_semana_anterior
+  + backlog_semana_atual + instalados_semana_anterior + instalados_semana_atual + new_agendados_semana_anterior
+  + new_agendados_semana_atual > 0
+""")
 query("campaign_curves", "starts curves", "SELECT * FROM curves")
 query("dim_left_chain", _city, "SELECT * FROM wide")
 query("risk_and_alert", _risk, """
@@ -272,8 +280,10 @@ SELECT count(*) AS analysed, count(*) FILTER (WHERE outcome = 'diverges') AS div
        count(*) FILTER (WHERE outcome = 'missing') AS missing FROM compared
 """)
 query("analysed_order_listing", "services", """
-SELECT CAST(number // 1000 AS DECIMAL(38, 0)) AS block, string_agg(CAST(number AS VARCHAR), ', ' ORDER BY number) AS ids
-FROM services GROUP BY number // 1000
+SELECT CASE WHEN length(id) > 3 THEN left(id, length(id) - 3) ELSE '' END || repeat('?', least(3, length(id))) AS block,
+  string_agg(id, ', ' ORDER BY id) AS ids
+FROM (SELECT DISTINCT unnest([n, '00' || n, 'A-' || n, n || repeat('9', 40)]) AS id FROM (SELECT CAST(number AS VARCHAR) AS n FROM services))
+GROUP BY length(id), 1
 """)
 _pending = """
 SELECT CAST(number AS VARCHAR) AS "nro OS", type, status, strftime(registered, '%Y-%m-%d %H:%M:%S') AS "registeredAt",
@@ -285,6 +295,8 @@ WHERE status IN ('OPEN', 'PENDING', 'IN_VALIDATION') AND registered <= TIMESTAMP
 """
 query("pending_order_report", "services", _pending)
 query("csv_report_rows", "services", _pending)
+query("csv_comma_rows", "services", _pending)
+query("csv_plain_rows", "services", _pending)
 query("sibling_lookup", "services", """
 SELECT CAST(m.number AS VARCHAR) AS nro_os_manutencao,
   strftime(m.registered, '%Y-%m-%d %H:%M:%S') AS registered_at_manutencao,
@@ -404,7 +416,6 @@ FROM paired WHERE user_id NOT IN (7, 11)
 """)
 query("stream_session_pairing", "logins pairedbyday", f"""
 SELECT "user", day, strftime(ts, {_stamp}) AS started, strftime(stopped, {_stamp}) AS stopped FROM pairedbyday
-WHERE day < (SELECT CAST(max(ts) - INTERVAL 1 HOUR AS DATE) FROM events)
 """)
 
 # --- calendar and rates -------------------------------------------------------------------------
@@ -637,47 +648,62 @@ _v = "CAST({0} AS VARCHAR)".format
 _date = "strftime(o_orderdate, '%Y-%m-%d')"
 _base = (f"{_v('o_orderkey')} AS id, {_v('o_orderkey')} AS protocol, o_totalprice / 100 AS amount")
 _order = (f"{_base}, o_orderstatus AS status, CAST(NULL AS DOUBLE) AS refunds, o_custkey || ', ' || o_orderkey AS \"tagsIds\"")
-query("travel_colaboradores", "", f"""
+_booked = f"""{_v('o_custkey')} AS "costCenterId", {_date} AS "createdAt\""""
+_lists = {feed: {f.name if isinstance(f, travel.Ids) else f.alias for f in fields if not isinstance(f, (travel.Plain, travel.Inside))}
+          for feed, fields in travel.FEEDS.items()}
+
+
+def _whole(feed: str, select: str) -> None:
+    """The select at full width: what the input leaves out is null, or an empty list's text."""
+    named = set(re.findall(r'AS "?(\w+)"?(?:,| FROM)', select))
+    kind = {"string": "VARCHAR"}
+    rest = [f"""{"''" if n in _lists[feed] else f"CAST(NULL AS {kind.get(k.simpleString(), k.simpleString())})"} AS "{n}\""""
+            for n, k in travel.flat_types(feed).items() if n not in named]
+    query(f"travel_{feed}", "", f"SELECT *{''.join(', ' + r for r in rest)} FROM ({select})")
+
+
+_whole("colaboradores", f"""
 SELECT {_v('c_custkey')} AS id, c_name AS name, CASE WHEN c_acctbal > 0 THEN lower(c_name) || '@example.com' END AS email,
   {_v('c_nationkey')} AS position_id, c_mktsegment AS position_label, c_acctbal > 5000 AS "hasApp",
   {_v('c_acctbal > 0')} AS active, {_v('c_nationkey')} AS "costCenter_id", 'Center' AS "costCenter_name",
   {_v('c_custkey')} AS document_number, 'CPF' AS document_type_label,
   'RG:' || c_name || '; ' || c_mktsegment || ':' AS "allDocuments" FROM customer
 """)
-query("travel_centro_custo", "", f"""
+_whole("centro_custo", f"""
 SELECT {_v('n_nationkey')} AS id, {_v('n_regionkey')} AS "v3Id", n_name AS name, '2024-01-01' AS "createdAt" FROM nation
 """)
-query("travel_grupo", "", f"""
+_whole("grupo", f"""
 SELECT {_v('p_partkey')} AS id, p_brand AS name,
   unnest(CASE WHEN p_type <> 'PROMO' THEN string_split(p_name, ' ') ELSE [NULL] END) AS "employeesIds",
   {_v('p_size')} AS "amountEmployees" FROM part
 """)
-query("travel_despesa", "", f"""
+_whole("despesa", f"""
 SELECT {_v('l_orderkey')} AS id, {_v('l_orderkey')} AS protocol, l_extendedprice / 100 AS amount,
   l_tax > 0.045 AS "isReimbursable", l_returnflag || ', ' || l_linestatus AS receipts,
   l_partkey || ', ' || l_suppkey AS "tagsIds", CAST(NULL AS DOUBLE) AS "afterUpdateBlueValue",
   l_quantity / 100 AS "beforeUpdateBlueValue", {_v('l_linenumber')} AS quantity FROM lineitem
 """)
-query("travel_automovel", "", f"""
+_whole("automovel", f"""
 SELECT {_order}, {_v('o_custkey')} AS "costCenterId", {_date} AS "createdAt", 12.5::DOUBLE AS "amountPerDay",
   {_v('o_custkey')} AS client_id, 'Client ' || o_custkey AS client_name, {_date} AS withdraw_date,
   o_orderpriority AS withdraw_city, 'Driver ' || o_custkey || '; Guest' AS drivers_nomes,
   '; g@example.com' AS drivers_emails, 'D1; ' AS drivers_documentos, o_custkey || '; 7' AS "drivers_userIds" FROM orders
 """)
-query("travel_aereo", "", f"""
-SELECT {_order}, o_orderstatus = 'F' AS "isRoundTrip", o_orderkey || '; ' AS "ticketOutbound", '' AS "ticketInbound",
+_whole("aereo", f"""
+SELECT {_order}, {_booked}, '3' AS outbound_cia_id, '; g@example.com' AS travellers_emails, 'D1; ' AS travellers_documentos,
+  o_custkey || '; 7' AS "travellers_userIds", o_orderstatus = 'F' AS "isRoundTrip", o_orderkey || '; ' AS "ticketOutbound", '' AS "ticketInbound",
   'GRU' AS outbound_from, o_orderpriority AS outbound_to, 50.25::DOUBLE AS outbound_tax, 'Air' AS outbound_cia_name,
   CAST(NULL AS DOUBLE) AS inbound_tax, 'Traveller ' || o_custkey || '; Guest' AS travellers_nomes,
   '100; 100' AS "travellers_bestPrice", 'BR; BR' AS travellers_nationalities FROM orders
 """)
-query("travel_onibus", "", f"""
-SELECT {_base}, o_orderstatus = 'O' AS "isRoundTrip", {_v('o_custkey')} AS client_id, 'leito' AS outbound_type,
+_whole("onibus", f"""
+SELECT {_order}, {_booked}, 'Client ' || o_custkey AS client_name, '2' AS outbound_to_id, o_orderstatus = 'O' AS "isRoundTrip", {_v('o_custkey')} AS client_id, 'leito' AS outbound_type,
   o_totalprice / 100 AS outbound_price, {_v('o_custkey')} AS outbound_from_id, 'Recife' AS outbound_from_city,
   o_orderpriority AS outbound_to_station, 'Bus' AS "outbound_cia_displayName",
   CAST(NULL AS DOUBLE) AS "inbound_insurancePrice", o_orderstatus AS inbound_cia_id FROM orders
 """)
-query("travel_hotel", "", f"""
-SELECT {_base}, o_totalprice / 100 AS "dailyAmount", 'Hotel ' || o_custkey AS "hotelName",
+_whole("hotel", f"""
+SELECT {_order}, {_booked}, {_v('o_custkey')} AS client_id, 'Client ' || o_custkey AS client_name, '; g@example.com' AS guests_emails, o_totalprice / 100 AS "dailyAmount", 'Hotel ' || o_custkey AS "hotelName",
   o_orderstatus = 'P' AS "isRefundable", {_v('o_custkey')} AS "costCenter_id", 'v' AS "costCenter_v3Id",
   o_orderpriority AS address_region, 'a; ; ' || o_orderstatus AS tags_nomes, 'Boss' AS "nextApprovers_nomes",
   'b@example.com' AS "nextApprovers_emails", 'Asked(' || {_date} || '); ()' AS "approvalFlowHistory",
@@ -689,7 +715,7 @@ SELECT {_v('o_orderkey')} AS id, o_totalprice / 100 AS amount, o_orderstatus = '
   '[{{"line":' || o_orderkey || ',"note":"' || o_orderpriority || '"}},{{"line":2,"note":null}}]' AS details FROM orders
 """)
 query("travel_creditos", "", f"""
-SELECT {_v('s_suppkey')} AS id, s_name AS name, '2024-01-01' AS "createdAt", c.id AS "credit.id",
+SELECT {_v('s_suppkey')} AS id, s_name AS name, '2024-01-01' AS "createdAt", '2024-01-02' AS "updatedAt", c.id AS "credit.id",
   CASE WHEN c.id IS NOT NULL THEN s_acctbal END AS "credit.totalAmount", c.d AS "credit.description",
   CASE WHEN c.id IS NOT NULL THEN s_name END AS "credit.user"
 FROM (SELECT *, unnest(CASE WHEN s_acctbal > 0 THEN
@@ -790,7 +816,7 @@ query("kpi_band_counts", "people", """
 SELECT c.c_nationkey, count(*) FILTER (WHERE o_orderdate BETWEEN DATE '2001-02-22' AND DATE '2001-04-23') AS previous,
   count(*) FILTER (WHERE o_orderdate BETWEEN DATE '2001-05-03' AND DATE '2001-07-02') AS current, max(people) AS people
 FROM orders JOIN customer c ON o_custkey = c_custkey LEFT JOIN people ON people.c_nationkey = c.c_nationkey
-GROUP BY c.c_nationkey
+GROUP BY c.c_nationkey HAVING previous + current > 0
 """)
 query("first_row_per_key", "", f"""
 SELECT l_orderkey, l_linenumber, strftime(l_shipdate, {_stamp}) AS l_shipdate, l_partkey, l_suppkey, l_quantity FROM (
@@ -810,7 +836,7 @@ SELECT conv_id, turn, CAST(p - 1 AS INTEGER) AS pos, lines[p] AS line FROM (
 """)
 query("explode_outer_ids", "", """
 SELECT doc_id, unnest(CASE WHEN len(ids) = 0 THEN [NULL] ELSE ids END) AS ids FROM (
-  SELECT doc_id, list_filter(string_split(text, ' '), lambda w: length(w) > 14) AS ids FROM documents)
+  SELECT doc_id, list_filter(string_split(text, ' '), lambda w: w <> '') AS ids FROM documents)
 """)
 part("turns", "SELECT conv_id, turn, string_split(text, chr(10)) AS lines FROM conversations")
 
@@ -860,3 +886,16 @@ SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS quantidade FROM events G
 """)
 query("stream_alert_once", "", "SELECT DISTINCT user_id, event_type FROM events")
 query("stream_reconcile_status", _rec, "SELECT * FROM compared")
+
+# --- the write side ---------------------------------------------------------------------------------
+
+query("committed_alerts", _risk + " alerts", """
+SELECT ibge, nome_cidade, calculo_prevencao, nivel_calculo_prevencao AS nivel_alerta, '04-11-2001' AS data_alerta,
+  0 AS second_run, (SELECT count(*) FROM alerts) AS alerted FROM alerts
+""")
+SQL["upserted_table"] = SQL["upsert_by_join"]
+query("appended_absent", "", """
+SELECT c_custkey AS number, c_name AS name FROM customer
+UNION ALL SELECT DISTINCT o_orderkey, NULL FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)
+""")
+SQL["replaced_trailing"] = SQL["window_replace"]

@@ -20,7 +20,7 @@ from ..sources.tables import parameter_rows, read_parquet
 from ..streaming import created, once, sessions
 from ..streaming import reconciliation as streamed
 from . import inputs as i
-from .travel_inputs import CREDIT, FILLED, INVOICE, feed_pages
+from .travel_inputs import CREDIT, INVOICE, feed_records, land_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUNS: dict[str, Query] = {}
@@ -160,7 +160,10 @@ def reconcile_counters(t):
 
 @query
 def analysed_order_listing(t):
-    return aggregates.id_listing(_reconciled(t).compared, "nro_os")
+    """Order numbers as they stand, among them some with leading zeros, letters and over 38 digits."""
+    ids = _reconciled(t).compared.select("nro_os")
+    odd = [F.concat(F.lit("00"), "nro_os"), F.concat(F.lit("A-"), "nro_os"), F.concat("nro_os", F.repeat(F.lit("9"), F.lit(40)))]
+    return aggregates.id_listing(ids.unionByName(ids.select(F.explode(F.array(*odd)).alias("nro_os"))), "nro_os")
 
 
 @query
@@ -258,9 +261,16 @@ def window_replace(t):
     return channels.refreshed_metrics(i.stored_metrics(t), fresh, dt.date.fromisoformat(i.EVENTS_AS_OF))
 
 
+def _landed(t, rows: DataFrame, style: str) -> DataFrame:
+    """The records after they were landed as pages and read again."""
+    path = work_folder(t.spark, f"pages-{style}")
+    land_pages(rows, path, style)
+    return pages.records(pages.read_pages(t.spark, path, rows.schema, style, one_per_line=True))
+
+
 @query
 def chatbot_event_table(t):
-    return chatbot.chatbot_events(i.chatbot_records(t), i.EVENTS_AS_OF)
+    return chatbot.chatbot_events(_landed(t, i.chatbot_records(t), "offset"), i.EVENTS_AS_OF)
 
 
 @query
@@ -269,7 +279,7 @@ def top_categories(t):
 
 
 def _campaigns(t) -> tuple[DataFrame, DataFrame]:
-    return campaigns.campaign_city_normalisation(i.campaign_rows(t), i.official_parts(t), i.listed_parts(t))
+    return campaigns.campaign_city_normalisation(_landed(t, i.campaign_rows(t), "offset"), i.official_parts(t), i.listed_parts(t))
 
 
 @query
@@ -299,7 +309,7 @@ def token_similarity(t):
 
 @query
 def call_log_rows(t):
-    return text_rows(call_log.call_log(i.call_records(t), i.EVENTS_AS_OF))
+    return text_rows(call_log.call_log(_landed(t, i.call_records(t), "content"), i.EVENTS_AS_OF))
 
 
 @query
@@ -338,15 +348,16 @@ def installed_people(t):
 
 def _travel(feed: str) -> None:
     def run(t):
-        schema = {"fatura": INVOICE, "creditos": CREDIT}.get(feed) or travel.record_schema(feed)
-        records = pages.records(pages.parse_pages(feed_pages(t, feed), "value", schema, "numbered"))
-        return filters.select_existing(travel.travel_table(feed, records), FILLED[feed].split())
+        """The feed landed as pages with many records, read with its guards, at full width."""
+        path = work_folder(t.spark, f"travel-{feed}")
+        land_pages(feed_records(t, feed), path, "numbered")
+        return travel.travel_tables(t.spark, {feed: path}, {"fatura": INVOICE, "creditos": CREDIT}, one_per_line=True)[feed]
 
     run.__name__ = f"travel_{feed}"
     query(run)
 
 
-for _feed in FILLED:
+for _feed in [*travel.FEEDS, "fatura", "creditos"]:
     _travel(_feed)
 
 
@@ -529,7 +540,7 @@ def explode_turn_lines(t):
 
 @query
 def explode_outer_ids(t):
-    words = F.filter(F.split("text", " "), lambda w: F.length(w) > 14)
+    words = F.array_remove(F.split("text", " "), "")
     return nested.explode_ids(t.documents.select("doc_id", words.alias("ids")), "ids")
 
 
@@ -597,7 +608,7 @@ def titled_list_lines(t):
     path = work_folder(t.spark, "list")
     absent = order_export.order_export(i.requested_ids(t), i.order_documents(t), i.ORDERS_AS_OF)[1]
     reports.titled_list(absent, "number", "OSs não encontradas:", path)
-    return t.spark.read.text(path).distinct()
+    return t.spark.read.text(path)
 
 
 @query
@@ -659,9 +670,8 @@ class StreamTables(i.Tables):
 def stream_created_per_day(t):
     path = work_folder(t.spark, "created")
     counted = created.created_per_day(_stream(t, "events"), "ts", ["event_type"])
-    _run(counted.writeStream.outputMode("complete").foreachBatch(
-        lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/out")), f"{path}/checkpoint")
-    return t.spark.read.parquet(f"{path}/out")
+    _run(counted.writeStream.outputMode("update").foreachBatch(created.created_sink(f"{path}/out", ["event_type"])), f"{path}/checkpoint")
+    return created.latest_counts(t.spark.read.parquet(f"{path}/out"), ["event_type"])
 
 
 @query
@@ -669,7 +679,7 @@ def stream_alert_once(t):
     path = work_folder(t.spark, "once")
     rows = _stream(t, "events").select("user_id", "event_type")
     _run(rows.writeStream.foreachBatch(once.once_sink(f"{path}/ledger", ["user_id", "event_type"])), f"{path}/checkpoint")
-    return t.spark.read.parquet(f"{path}/ledger").drop("batch_no")
+    return t.spark.read.parquet(f"{path}/ledger").drop("batch_no", "bucket")
 
 
 @query
@@ -683,9 +693,83 @@ def stream_reconcile_status(t):
 
 @query
 def stream_session_pairing(t):
-    """Day by day, like the daily report; the days that are still open at the end are left to the next run."""
+    """Day by day, like the daily report; the days that are still open at the end are flushed."""
     path = work_folder(t.spark, "sessions")
     logins = i.login_events(StreamTables(t, "events"))
     sink = sessions.session_sink(f"{path}/inbox", f"{path}/report", "username", "loginTime", "event", "id")
     _run(logins.writeStream.foreachBatch(sink), f"{path}/checkpoint")
+    sessions.report_days(t.spark, f"{path}/inbox", f"{path}/report", "username", "loginTime", "event", "id", None, 1 << 40)
     return text_rows(t.spark.read.parquet(f"{path}/report").drop("batch_no"))
+
+
+# --- the write side -------------------------------------------------------------------------------------
+
+def _table(t, rows: DataFrame, path: str) -> str:
+    """A catalog table of the rows, in a folder of the run."""
+    name = f"t_{path.rsplit('-', 1)[1]}"
+    tables.switch_table(t.spark, name, rows, path)
+    return name
+
+
+@query
+def committed_alerts(t):
+    """The alert job twice over one ledger: the second run has nothing new."""
+    path = work_folder(t.spark, "commit")
+    name = _table(t, i.city_ledger(t).select("ibge", "calculo_prevencao", *[F.lit(None).cast(k).alias(c) for c, k in (
+        ("nome_cidade", "string"), ("nivel_alerta", "int"), ("data_alerta", "string"))]), path)
+    for run_id in ("first", "second"):
+        new = demand_alerts.demand_alerts(i.tickets(t), i.cities(t), i.family_counts(t), i.city_campaigns(t), t.spark.table(name), i.SHIP_AS_OF)
+        tables.commit_alerts(t.spark, new, name, list(demand_alerts.LEDGER_KEY), f"{path}/batch", f"{path}/runs", demand_alerts.alert_batch,
+                             lambda rows: demand_alerts.ledger_rows(rows, i.SHIP_AS_OF), lambda rows: demand_alerts.run_record(rows, i.SHIP_AS_OF), run_id)
+    alerted = t.spark.read.parquet(f"{path}/runs/run=first").agg(F.coalesce(F.sum("qtd_cidades"), F.lit(0))).first()[0]
+    again = t.spark.read.parquet(f"{path}/batch").count()
+    return t.spark.table(name).filter("data_alerta IS NOT NULL").withColumns({"second_run": F.lit(again), "alerted": F.lit(alerted)})
+
+
+@query
+def upserted_table(t):
+    """The calendar merge on a stored table."""
+    path = work_folder(t.spark, "upsert")
+    name = _table(t, i.fx_table(t), path)
+    rows = exchange_rates.fx_calendar(t.spark.table(name), _quote(t), i.FX_AS_OF, repair_attributes=True)
+    tables.upsert_table(t.spark, name, rows.withColumn("CotacaoGBP", F.col("CotacaoGBP") * 2), "Data", path)
+    return text_rows(t.spark.table(name))
+
+
+@query
+def appended_absent(t):
+    """Order numbers added to a stored list of customers' numbers where it does not have them, twice."""
+    path = work_folder(t.spark, "absent")
+    name = _table(t, t.customer.select(F.col("c_custkey").alias("number"), F.col("c_name").alias("name")), path)
+    for _ in range(2):
+        tables.append_absent(t.spark, name, t.orders.select(F.col("o_orderkey").alias("number")), "number")
+    return t.spark.table(name)
+
+
+@query
+def replaced_trailing(t):
+    """The trailing days of the stored metrics replaced by fresh ones."""
+    path = work_folder(t.spark, "trailing")
+    name = _table(t, i.stored_metrics(t), path)
+    start = dt.date.fromisoformat(i.EVENTS_AS_OF) - dt.timedelta(days=2)
+    fresh = _metrics(t).filter(F.col("data") >= F.lit(start))
+    tables.replace_trailing(t.spark, name, fresh, "data", start, path)
+    return t.spark.table(name)
+
+
+def _csv_back(t, **form) -> DataFrame:
+    path = work_folder(t.spark, "csv")
+    reports.csv_report(pending_orders.pending_orders(i.order_documents(t), i.ORDERS_AS_OF), path, **form)
+    back = t.spark.read.option("header", True).option("sep", form.get("sep", ";")).option("escape", '"').csv(path)
+    return back.toDF(*[c.lstrip(reports.BOM) for c in back.columns])
+
+
+@query
+def csv_comma_rows(t):
+    return _csv_back(t, sep=",")
+
+
+@query
+def csv_plain_rows(t):
+    """Without a byte-order mark."""
+    return _csv_back(t, bom=False)

@@ -1,7 +1,9 @@
-"""Travel feeds as JSON pages, made from the benchmark tables. Arrays come from the row itself."""
+"""Records of the travel feeds, made from the benchmark tables, and JSON pages of records. Arrays come from the row itself."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,18 +31,33 @@ def none() -> Column:
     return F.lit(None).cast("string")
 
 
-def as_pages(rows: DataFrame, **fields) -> DataFrame:
-    """One JSON page per row, with its record."""
-    page = F.struct(F.array(nest(**fields)).alias("data"), F.struct(F.struct(
-        F.lit(1).alias("current_page"), F.lit(1).alias("total_pages"), F.lit(1).alias("total")
-    ).alias("pagination")).alias("meta"))
-    return rows.select(F.to_json(page).alias("value"))
+def as_records(rows: DataFrame, **fields) -> DataFrame:
+    return rows.select(*[_value(v).alias(k) for k, v in fields.items()])
+
+
+def land_pages(rows: DataFrame, path: str, style: str, per_page: int = 500) -> None:
+    """Writes records as JSON pages of the given style, one page per line, about ``per_page`` records each.
+    Every declared page is there, if need be without records."""
+    total = rows.count()
+    n = max(1, math.ceil(total / per_page))
+    record = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    filled = rows.select(record.alias("r"), (F.pmod(F.xxhash64(record), F.lit(n)) + 1).alias("page")).groupBy("page").agg(F.collect_list("r").alias("data"))
+    every = rows.sparkSession.range(1, n + 1).withColumnRenamed("id", "page").join(filled, "page", "left")
+    data = F.coalesce("data", F.array().cast(filled.schema["data"].dataType))
+    if style == "content":
+        page = F.struct(F.col("page").alias("pagina"), data.alias("content"), F.lit(n).alias("totalPaginas"))
+    elif style == "numbered":
+        counted = F.struct(F.col("page").alias("current_page"), F.lit(n).alias("total_pages"), F.lit(total).alias("total"))
+        page = F.struct(data.alias("data"), F.struct(counted.alias("pagination")).alias("meta"))
+    else:
+        page = F.struct(data.alias("data"))
+    every.select(F.to_json(page).alias("value")).write.text(path)
 
 
 INVOICE = struct(id=TEXT, amount=TEXT, description=TEXT, invoicedCompany=TEXT,
                  details=T.ArrayType(struct(line=T.LongType(), note=TEXT)), closed=T.BooleanType())
 CREDIT = struct(
-    id=TEXT, name=TEXT, createdAt=TEXT,
+    id=TEXT, name=TEXT, createdAt=TEXT, updatedAt=TEXT,
     credits=struct(data=T.ArrayType(struct(
         id=TEXT, totalAmount=T.DoubleType(), description=TEXT, user=TEXT,
         data=T.ArrayType(struct(kind=TEXT))))))
@@ -63,9 +80,9 @@ def _person(tag: str, **more) -> list:
              "userId": F.lit(7).cast("bigint"), **more}]
 
 
-def feed_pages(t: Tables, feed: str) -> DataFrame:
+def feed_records(t: Tables, feed: str) -> DataFrame:
     if feed == "colaboradores":
-        return as_pages(
+        return as_records(
             t.customer, id="c_custkey", name="c_name",
             email=F.when(F.col("c_acctbal") > 0, F.concat(F.lower("c_name"), F.lit("@example.com"))),
             position={"id": "c_nationkey", "label": "c_mktsegment"}, active=F.col("c_acctbal") > 0,
@@ -74,37 +91,37 @@ def feed_pages(t: Tables, feed: str) -> DataFrame:
             allDocuments={"data": [{"label": "c_name", "type": {"label": F.lit("RG")}},
                                    {"label": none(), "type": {"label": F.col("c_mktsegment")}}]})
     if feed == "centro_custo":
-        return as_pages(t.nation, id="n_nationkey", v3Id="n_regionkey", name="n_name", createdAt=F.lit("2024-01-01"))
+        return as_records(t.nation, id="n_nationkey", v3Id="n_regionkey", name="n_name", createdAt=F.lit("2024-01-01"))
     if feed == "grupo":
         members = F.when(F.col("p_type") != "PROMO", F.split("p_name", " ")).otherwise(F.array().cast("array<string>"))
-        return as_pages(t.part, id="p_partkey", name="p_brand", employeesIds=members, amountEmployees="p_size")
+        return as_records(t.part, id="p_partkey", name="p_brand", employeesIds=members, amountEmployees="p_size")
     if feed == "despesa":
-        return as_pages(
+        return as_records(
             t.lineitem, id="l_orderkey", protocol=F.concat(F.lit("#"), text("l_orderkey"), F.lit("#")),
             amount="l_extendedprice", isReimbursable=F.col("l_tax") > 0.045, receipts=["l_returnflag", "l_linestatus"],
             tagsIds=["l_partkey", "l_suppkey"], afterUpdateBlueValue=F.lit("n/a"), beforeUpdateBlueValue="l_quantity",
             quantity="l_linenumber")
     if feed == "automovel":
-        return as_pages(
+        return as_records(
             t.orders, **_order_base(), amountPerDay=F.lit("1250"), client=_client(),
             withdraw={"date": F.date_format("o_orderdate", "yyyy-MM-dd"), "city": "o_orderpriority"},
             drivers={"data": _person("Driver")})
     if feed == "aereo":
-        return as_pages(
+        return as_records(
             t.orders, **_order_base(), isRoundTrip=F.col("o_orderstatus") == "F",
             ticketOutbound=[{"ticket": text("o_orderkey")}, {"ticket": none()}],
             outbound={"from": F.lit("GRU"), "to": "o_orderpriority", "tax": F.lit(5025),
                       "cia": {"id": F.lit(3), "name": F.lit("Air")}},
             travellers={"data": _person("Traveller", bestPrice=F.lit(100), nationality=F.lit("BR"))})
     if feed == "onibus":
-        return as_pages(
+        return as_records(
             t.orders, **_order_base(), client=_client(), isRoundTrip=F.col("o_orderstatus") == "O",
             outbound={"type": F.lit("leito"), "price": "o_totalprice",
                       "from": {"id": "o_custkey", "city": F.lit("Recife")},
                       "to": {"id": F.lit(2), "station": "o_orderpriority"}, "cia": {"displayName": F.lit("Bus")}},
             inbound={"insurancePrice": F.lit("x"), "cia": {"id": "o_orderstatus"}})
     if feed == "hotel":
-        return as_pages(
+        return as_records(
             t.orders, **_order_base(), client=_client(), hotelName=F.concat(F.lit("Hotel "), text("o_custkey")),
             isRefundable=F.col("o_orderstatus") == "P", dailyAmount="o_totalprice",
             costCenter={"data": {"id": "o_custkey", "v3Id": F.lit("v")}}, address={"region": "o_orderpriority"},
@@ -114,7 +131,7 @@ def feed_pages(t: Tables, feed: str) -> DataFrame:
                                           {"actionLabel": none(), "date": none()}]},
             guests={"data": _person("Guest", nationality=F.lit("BR"))})
     if feed == "fatura":
-        return as_pages(
+        return as_records(
             t.orders, id="o_orderkey", amount="o_totalprice", description=F.lit("d"), invoicedCompany=F.lit("c"),
             closed=F.col("o_orderstatus") == "F",
             details=[{"line": "o_orderkey", "note": F.col("o_orderpriority")},
@@ -126,28 +143,6 @@ def feed_pages(t: Tables, feed: str) -> DataFrame:
                  data=F.array(*[_value(m) for m in moves])),
             nest(id=F.concat(F.lit("b"), text("s_suppkey")), totalAmount="s_acctbal", description=none(), user="s_name",
                  data=F.array(*[_value(m) for m in moves[:1]])))
-        return as_pages(t.supplier, id="s_suppkey", name="s_name", createdAt=F.lit("2024-01-01"),
+        return as_records(t.supplier, id="s_suppkey", name="s_name", createdAt=F.lit("2024-01-01"), updatedAt=F.lit("2024-01-02"),
                         credits={"data": F.when(F.col("s_acctbal") > 0, credit)})
     raise KeyError(feed)
-
-
-# The columns that these inputs fill.
-FILLED = {
-    "colaboradores": "id name email position_id position_label hasApp active costCenter_id costCenter_name "
-                     "document_number document_type_label allDocuments",
-    "centro_custo": "id v3Id name createdAt",
-    "grupo": "id name employeesIds amountEmployees",
-    "despesa": "id protocol amount isReimbursable receipts tagsIds afterUpdateBlueValue beforeUpdateBlueValue quantity",
-    "automovel": "id protocol status amount refunds costCenterId tagsIds createdAt amountPerDay client_id client_name "
-                 "withdraw_date withdraw_city drivers_nomes drivers_emails drivers_documentos drivers_userIds",
-    "aereo": "id protocol status amount refunds tagsIds isRoundTrip ticketOutbound ticketInbound outbound_from "
-             "outbound_to outbound_tax outbound_cia_name inbound_tax travellers_nomes travellers_bestPrice "
-             "travellers_nationalities",
-    "onibus": "id protocol amount isRoundTrip client_id outbound_type outbound_price outbound_from_id "
-              "outbound_from_city outbound_to_station outbound_cia_displayName inbound_insurancePrice inbound_cia_id",
-    "hotel": "id protocol amount dailyAmount hotelName isRefundable costCenter_id costCenter_v3Id address_region "
-             "tags_nomes nextApprovers_nomes nextApprovers_emails approvalFlowHistory guests_nomes guests_documentos "
-             "guests_userIds guests_nationalities",
-    "fatura": "id amount details closed",
-    "creditos": "id name createdAt credit.id credit.totalAmount credit.description credit.user",
-}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+import operator
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,32 +13,31 @@ from ..functions.casts import as_col, day
 
 
 def counts_when(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, Column]) -> DataFrame:
-    """One pass, one conditional row count per name."""
-    return df.groupBy(*keys).agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+    """One pass, one conditional row count per name. Rows that meet no condition are left out by the
+    scan, so a key without any counted row has no row."""
+    counted = df.filter(any_of(conditions.values()))
+    return counted.groupBy(*keys).agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+
+
+def any_of(conditions: Iterable[Column]) -> Column:
+    return functools.reduce(operator.or_, [F.coalesce(c, F.lit(False)) for c in conditions])
 
 
 def labelled_counts(df: DataFrame, keys: Sequence[str], rules: Mapping[str, Column],
                     hidden: Mapping[str, Column] | None = None, label: str = "regra",
                     count: str = "quantidade") -> DataFrame:
-    """One scan for several filtered group counts: a row is counted once under each rule it meets.
+    """One scan and one shuffle for several filtered group counts: a row is counted once under each
+    rule it meets; rows that meet none are left out before.
 
     ``hidden`` names, per rule, one more grouping value that is not part of the result, so the
-    visible keys of that rule may repeat. The rows are first reduced to one per key (and hidden
-    value) with a conditional count per rule; only those are turned into one row per rule.
+    visible keys of that rule may repeat. Other rules are not grouped by it.
     """
-    hidden = {f"_h{n}": (name, c) for n, (name, c) in enumerate((hidden or {}).items())}
-    places = {name: place for place, (name, _) in hidden.items()}
-    base = df.withColumns({place: c for place, (_, c) in hidden.items()}) if hidden else df
-    counted = counts_when(base, [*keys, *hidden], {f"_n{n}": cond for n, cond in enumerate(rules.values())})
-    entries = []
-    for n, name in enumerate(rules):
-        extra = F.col(places[name]).cast("string") if name in places else F.lit(None).cast("string")
-        entries.append(F.struct(F.lit(name).alias("label"), extra.alias("extra"), F.col(f"_n{n}").alias("n")))
-    tagged = counted.select(*keys, F.explode(F.array(*entries)).alias("_rule")).filter("_rule.n > 0")
-    rows = tagged.select(*keys, F.col("_rule.label").alias(label), "_rule.extra", F.col("_rule.n").alias(count))
-    if hidden:
-        rows = rows.groupBy(*keys, label, "extra").agg(F.sum(count).alias(count))
-    return rows.drop("extra")
+    hidden = hidden or {}
+    met = F.array(*[F.when(cond, F.struct(F.lit(name).alias("label"), hidden.get(name, F.lit(None)).cast("string").alias("extra")))
+                    for name, cond in rules.items()])
+    tagged = df.filter(any_of(rules.values())).select(*keys, F.explode(F.filter(met, lambda m: m.isNotNull())).alias("_rule"))
+    rows = tagged.select(*keys, F.col("_rule.label").alias(label), F.col("_rule.extra").alias("_extra"))
+    return rows.groupBy(*keys, label, "_extra").agg(F.count(F.lit(1)).alias(count)).drop("_extra")
 
 
 def distinct_counts(df: DataFrame, item: str, classes: Mapping[str, Column]) -> DataFrame:
@@ -69,16 +70,17 @@ def outcome_counts(df: DataFrame, outcomes: Sequence[str], c: str = "outcome") -
                   *[F.count_if(F.col(c) == name).alias(name) for name in outcomes])
 
 
-def id_listing(df: DataFrame, c: str, per_line: int = 1000, text: str = "ids") -> DataFrame:
-    """All distinct numeric ids as comma text, one line per block of ``per_line`` consecutive numbers.
+def id_listing(df: DataFrame, c: str, tail: int = 3, text: str = "ids") -> DataFrame:
+    """All distinct ids, as they stand, as comma text: one line per block of ids that have the same
+    length and differ in their last ``tail`` characters only (``12???``).
 
-    A line can never hold more than ``per_line`` ids, so no group grows with the data.
+    So a line holds at most as many ids as there are such endings, and no group grows with the data.
     """
-    number = F.col(c).try_cast("decimal(38,0)")
-    ids = df.select(number.alias("_id")).filter(F.col("_id").isNotNull()).distinct()
-    blocks = ids.groupBy(F.floor(F.col("_id") / per_line).cast("decimal(38,0)").alias("block"))
-    return blocks.agg(F.array_join(F.transform(F.sort_array(F.collect_list("_id")),
-                                               lambda x: x.cast("string")), ", ").alias(text))
+    ids = df.select(F.col(c).cast("string").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    length = F.length("_id")
+    head = F.when(length > tail, F.expr(f"left(_id, length(_id) - {tail})")).otherwise("")
+    blocks = ids.groupBy(length.alias("_length"), F.concat(head, F.repeat(F.lit("?"), F.least(length, F.lit(tail)))).alias("block"))
+    return blocks.agg(F.array_join(F.sort_array(F.collect_list("_id")), ", ").alias(text)).drop("_length")
 
 
 def freshness(df: DataFrame, c: str, as_of, limit: int = 2) -> DataFrame:

@@ -44,10 +44,11 @@ def row_total(pages: DataFrame, records: str = "data", total: str = "total") ->
 
 def require_complete(pages: DataFrame, name: str, page: str = "page", total: str = "total_pages",
                      strict_total: bool = False) -> DataFrame:
-    """The pages, or an error that names some of the missing ones."""
-    gaps = [r[0] for r in missing_pages(pages, page, total).orderBy(page).limit(20).collect()]
+    """The pages, or an error that says how many are missing, and the first of them."""
+    missing = missing_pages(pages, page, total)
+    gaps = [r[0] for r in missing.orderBy(page).limit(20).collect()]
     if gaps:
-        raise IncompleteData(f"{name}: missing pages {gaps}")
+        raise IncompleteData(f"{name}: {missing.count()} missing pages, first {gaps}")
     if strict_total:
         counted = row_total(pages).first()
         if counted["declared"] is not None and counted["declared"] != counted["read"]:

@@ -177,6 +177,7 @@ CENTS = {
     "hotel": "amount netAmount refunds discount additionalCharge dailyAmount bestPrice",
     "fatura": "amount",
 }
+# Fields of an invoice that are left out, columns of a credit.
 INVOICE_DROPPED = ["description", "invoicedCompany"]
 CREDIT_COLUMNS = ["id", "name", "createdAt", "updatedAt", "credit.id", "credit.totalAmount",
                   "credit.description", "credit.user"]
@@ -256,6 +257,19 @@ def flatten(feed: str, df: DataFrame) -> DataFrame:
     return flat.select(*cells)
 
 
+def flat_types(feed: str) -> dict[str, T.DataType]:
+    """The flat columns of a described feed and their types, in table order."""
+    types: dict[str, T.DataType] = {}
+    for f in FEEDS[feed]:
+        if isinstance(f, Plain):
+            types |= {n: travel_type(n) for n in f.names.split()}
+        elif isinstance(f, Inside):
+            types |= {f"{f.prefix or f.path}_{n}": travel_type(n) for n in f.names.split()}
+        else:
+            types[f.name if isinstance(f, Ids) else f.alias] = TEXT
+    return types | dict.fromkeys(CENTS.get(feed, "").split(), T.DoubleType())
+
+
 def invoices(df: DataFrame) -> DataFrame:
     """Every field of the invoice, amount in units, nested details as JSON text."""
     money = set(CENTS["fatura"].split())

@@ -47,6 +47,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at the path, in whatever store it names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="fieldmart-")

@@ -25,9 +25,9 @@ def text_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def titled_list(df: DataFrame, c: str, title: str, path: str, mode: str = "overwrite") -> None:
-    """Values as lines under a title line."""
-    (df.select(F.col(c).cast("string").alias(title)).write.mode(mode).option("header", True)
-     .option("sep", "\u0001").option("quote", "").csv(path))
+    """Values as lines under one title line: the title is the first part file, the values follow."""
+    head = df.sparkSession.range(1, numPartitions=1).select(F.lit(title).alias("value"))
+    head.union(df.select(F.col(c).cast("string").alias("value"))).write.mode(mode).text(path)
 
 
 def parquet_cells(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -96,15 +96,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def commit_alerts(spark: SparkSession, new_rows: DataFrame, ledger: str, keys: list[str], batch_path: str,
-                  runs_path: str, to_batch, to_ledger, to_run) -> DataFrame:
+                  runs_path: str, to_batch, to_ledger, to_run, run_id: str) -> DataFrame:
     """Writes the alert batch, the run record, and last the ledger, from one computation.
 
-    When a run fails before the ledger is written, the next run alerts the same rows again; after
-    that, the ledger keeps them out.
+    When a run fails before the ledger is written, it is tried again under its ``run_id``: the run's
+    own partition of the records is overwritten, so the run is recorded once. After that, the ledger
+    keeps its rows out.
     """
     rows = staged(new_rows, "alerts")
     replace(to_batch(rows), batch_path)
-    append(to_run(rows), runs_path)
+    replace(to_run(rows), f"{runs_path.rstrip('/')}/run={run_id}")
     entries = anti_join(to_ledger(rows), spark.table(ledger), keys)
     entries.select(*spark.table(ledger).columns).write.insertInto(ledger)
     return rows

@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def created_sink(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer for output mode ``update``: each batch adds the counts it changed, in a
+    partition of its own that a repeated batch overwrites."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.select("dia", *keys, batch.columns[-1]).write.mode("overwrite").parquet(f"{path}/batch_no={number}")
+
+    return write
+
+
+def latest_counts(written: DataFrame, keys: Sequence[str], count: str = "quantidade") -> DataFrame:
+    """The newest count of each day and key that a :func:`created_sink` wrote."""
+    return written.groupBy("dia", *keys).agg(F.max_by(count, "batch_no").alias(count))
+
+
 def created_per_day(stream: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 day",
                     count: str = "quantidade") -> DataFrame:
-    """Rows per key and calendar day; a day is final once the watermark has passed it."""
+    """Rows per key and calendar day; a day is final, and leaves the state, once the watermark has passed it."""
     timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
     counted = timed.groupBy(F.window("_ts", "1 day"), *keys).agg(F.count(F.lit(1)).alias(count))
     return counted.select(F.col("window.start").cast("date").alias("dia"), *keys, count)

@@ -5,28 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.joins import anti_join
+from ..session import exists
 
 
-def once_sink(ledger_path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def once_sink(ledger_path: str, keys: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer: rows with a new key are added to the ledger.
 
-    Every micro-batch owns the ledger partition of its number. A repeated batch overwrites what
-    its first try wrote and compares itself only with the other partitions, so each key is stored
-    exactly once.
+    The ledger is partitioned by a hash of the key and by batch. A batch reads the hash partitions of
+    its own keys only. It owns the partitions of its number: a repeated batch overwrites what its
+    first try wrote and compares itself only with the others, so each key is stored exactly once.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        schema = batch.schema.add("batch_no", "long")
-        try:
-            known = spark.read.schema(schema).parquet(ledger_path)
-        except Exception as error:  # the folder does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            known = spark.createDataFrame([], schema)
-        fresh = anti_join(batch, known.filter(known.batch_no != number), keys, dedupe_batch=True, known_unique=True)
-        (fresh.write.mode("overwrite").parquet(f"{ledger_path}/batch_no={number}"))
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        if exists(spark, ledger_path):
+            touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+            known = spark.read.schema(rows.schema.add("batch_no", "long")).parquet(ledger_path)
+            known = known.filter(F.col("bucket").isin(touched) & (F.col("batch_no") != number))
+            rows = anti_join(rows, known, keys, dedupe_batch=True, known_unique=True)
+        else:
+            rows = rows.dropDuplicates(list(keys))
+        (rows.withColumn("batch_no", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "batch_no").parquet(ledger_path))
 
     return write
 

@@ -115,8 +115,9 @@ def test_distinct_counts_without_expand(spark):
 def test_top_counts_and_listing(spark, rows):
     df = frame(spark, "c string", ("b",), ("a",), ("b",), (None,), (None,), (None,), ("c",))
     assert [tuple(r) for r in aggregates.top_counts(df, "c", 2).collect()] == [("b", 2), ("a", 1)]
-    ids = frame(spark, "i string", ("5",), ("12",), ("11",), ("12",), ("x",))
-    assert [(int(b), t) for b, t in rows(aggregates.id_listing(ids, "i", 10))] == [(0, "5"), (1, "11, 12")]
+    ids = frame(spark, "i string", ("5",), ("12",), ("11",), ("12",), ("x",), ("007",), ("7",), ("1" * 40,), ("1" * 39 + "2",), ("0012",), (None,))
+    assert rows(aggregates.id_listing(ids, "i", 1)) == [
+        ("001?", "0012"), ("00?", "007"), ("1" * 39 + "?", f"{'1' * 40}, {'1' * 39}2"), ("1?", "11, 12"), ("?", "5, 7, x")]
 
 
 def test_quality(spark, rows):

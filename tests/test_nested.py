@@ -46,7 +46,7 @@ def test_travel_tables_from_landed_pages(spark, tmp_path, rows):
 
 def test_incomplete_or_empty_feeds_are_refused(spark, tmp_path):
     gap = write_pages(tmp_path / "gap", numbered(1, 3, {"id": 1}), numbered(3, 3, {"id": 2}))
-    with pytest.raises(IncompleteData, match=r"missing pages \[2\]"):
+    with pytest.raises(IncompleteData, match=r"1 missing pages, first \[2\]"):
         travel.travel_tables(spark, {"centro_custo": gap})
     empty = write_pages(tmp_path / "empty", numbered(1, 1))
     with pytest.raises(IncompleteData, match="no rows"):

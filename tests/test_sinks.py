@@ -40,8 +40,9 @@ def test_csv_report_with_mark(spark, tmp_path):
 
 def test_text_reports(spark, tmp_path):
     df = spark.createDataFrame([("12",), ("7",)], "number string").coalesce(1)
-    reports.titled_list(df, "number", "Not found:", str(tmp_path / "t"))
-    assert part_files(tmp_path / "t")[0].decode().splitlines() == ["Not found:", "12", "7"]
+    reports.titled_list(df.repartition(3, "number"), "number", "Not found:", str(tmp_path / "t"))
+    lines = [line for part in part_files(tmp_path / "t") for line in part.decode().splitlines()]
+    assert lines[0] == "Not found:" and sorted(lines[1:]) == ["12", "7"]
     reports.text_report(df, str(tmp_path / "l"))
     assert part_files(tmp_path / "l")[0].decode().splitlines() == ["12", "7"]
 
@@ -96,7 +97,7 @@ def test_commit_alerts_is_safe_to_repeat(spark, table, tmp_path, rows):
         new = demand_alerts.anti_join(due, spark.table(ledger), demand_alerts.LEDGER_KEY)
         tables.commit_alerts(spark, new, ledger, list(demand_alerts.LEDGER_KEY), batch, runs, demand_alerts.alert_batch,
                              lambda df: demand_alerts.ledger_rows(df, "2025-03-10"),
-                             lambda df: demand_alerts.run_record(df, "2025-03-10"))
+                             lambda df: demand_alerts.run_record(df, "2025-03-10"), f"r{turn}")
         assert spark.read.parquet(batch).count() == 1 - turn
         assert (spark.table(ledger).count(), spark.read.parquet(runs).count()) == (1, 1)
 
