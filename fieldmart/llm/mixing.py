@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, cut
 
 BLOCK_WORDS = 1 << 15
+SHARD_WORDS = 1 << 21  # words of the mix in an output shard, if their number isn't given
 BUCKET_ROWS = 512  # documents whose places are counted together
 MOST_SOURCES = 100_000
 
@@ -152,7 +153,7 @@ def _fill(zone: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, shards: int = 64, seed: int = 7,
+        weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, shards: int | None = None, seed: int = 7,
         block: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, key, size, source_size, target, shards), one row for each row of ``docs``.
 
@@ -169,6 +170,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"over {MOST_SOURCES} sources; group them first")
     quotas = plan({r.source: r.size for r in totals}, weights, share, most, block)
+    shards = shards or max(8, int(sum(q.target for q in quotas) // SHARD_WORDS) + 1)
     count = {r.source: r.n for r in totals}
     listed = spark.createDataFrame(
         [(i, q.source, q.size, float(q.target), q.passes, float(q.rest), q.blocks, q.rest_blocks, -(-count[q.source] // BUCKET_ROWS)) for i, q in enumerate(quotas)],
