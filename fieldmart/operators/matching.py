@@ -1,139 +1,146 @@
-"""Nearest official name by token-sort similarity.
-
-Spark has no built-in subsequence distance, and pairing every name with every official name as
-rows is out of the question, so the scoring is a vectorised helper inside the tasks: each distinct
-name meets the packed official list once and leaves with its best partner only.
+"""Nearest official name by token-sort similarity, one way for every size.
+
+The score of two texts is ``200 * common / (la + lb)``, with the length of their longest common
+subsequence as ``common``. That is at most the number of letters they share, counted in any
+classes of letters, and this bound prunes: official names lie in cells of equal class counts, a
+name scores a few members of the cell with the highest bound, and then only the official names
+whose own bound reaches that score. Cells depend on the letters of a text alone, so their number
+follows from the length of the texts and not from the number of official names.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import as_col
 from ..functions.text import token_sort
 
-# Official names sent to every executor; longer lists are cut into blocks that are shuffled.
-BROADCAST_LIMIT = 100_000
-NAMES_PER_SLICE = 20_000
-_WORD = 64
-
-
-class PackedNames:
-    """Official names as a (position, name) matrix of letter numbers, in rank order."""
-
-    def __init__(self, texts: list[str]):
-        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        letters = sorted(set("".join(texts)))
-        self.number = {ch: i + 1 for i, ch in enumerate(letters)}
-        self.codes = np.zeros((int(self.lengths.max(initial=0)), len(texts)), dtype=np.int32)
-        for col, text in enumerate(texts):
-            self.codes[: len(text), col] = [self.number[ch] for ch in text]
-
-    def lcs(self, text: str) -> np.ndarray:
-        """Common-subsequence length of the text with every name, 64 letters per machine word."""
-        words = max(1, math.ceil(len(text) / _WORD))
-        masks = np.zeros((words, len(self.number) + 1), dtype=np.uint64)
-        for i, ch in enumerate(text):
-            n = self.number.get(ch)
-            if n:
-                masks[i // _WORD, n] |= np.uint64(1 << (i % _WORD))
-        state = np.full((words, len(self.lengths)), np.iinfo(np.uint64).max, dtype=np.uint64)
-        for row in self.codes:
-            carry = np.zeros(len(self.lengths), dtype=np.uint64)
-            for w in range(words):
-                before = state[w]
-                hit = before & masks[w][row]
-                half = before + hit
-                total = half + carry
-                carry = ((half < before) | (total < half)).astype(np.uint64)
-                state[w] = total | (before - hit)
-        return np.bitwise_count(~state).sum(axis=0).astype(np.int64)
-
-    def best(self, text: str) -> tuple[int, float]:
-        """Index of the best name (the first of equals) and its 0..100 score."""
-        total = self.lengths + len(text)
-        score = np.where(total == 0, 100.0, 200.0 * self.lcs(text) / np.maximum(total, 1))
-        place = int(np.argmax(score))
-        return place, float(score[place])
-
-
-_RESULT = "name string, matched string, score double"
-
-
-def _tasks(df: DataFrame) -> int:
-    """Partitions for the scoring: given as a number, because scoring is heavy for its few bytes and
-    partitions that look small would otherwise be merged into a few long tasks."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
-def _frame(rows: list[tuple[str, str, float]]) -> pd.DataFrame:
-    """Result rows as plain object and float columns, also when there are none."""
-    name, matched, score = zip(*rows) if rows else ((), (), ())
-    return pd.DataFrame({"name": np.array(name, dtype=object), "matched": np.array(matched, dtype=object),
-                         "score": np.array(score, dtype=np.float64)})
-
-
-def _with_broadcast(joined: DataFrame, official: list) -> DataFrame:
-    shared = joined.sparkSession.sparkContext.broadcast(
-        ([r["sorted_official"] for r in official], [r["matched"] for r in official]))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        texts, matched = shared.value
-        packed = PackedNames(texts)
-        for batch in batches:
-            rows = []
-            for name, text, known in zip(batch["name"], batch["sorted_name"], batch["matched"]):
-                place, score = (None, 100.0) if isinstance(known, str) else packed.best(text)
-                rows.append((name, known if place is None else matched[place], score))
-            yield _frame(rows)
-
-    spread = joined.repartition(_tasks(joined), "sorted_name")
-    return spread.select("name", "sorted_name", "matched").mapInPandas(run, _RESULT)
-
-
-def _with_blocks(joined: DataFrame, official: DataFrame, limit: int) -> DataFrame:
-    """Any list size: bounded slices of names meet bounded blocks of the list, then the best of blocks."""
-    exact = joined.filter(F.col("matched").isNotNull()).select("name", "matched", F.lit(100.0).alias("score"))
-    names = joined.filter(F.col("matched").isNull()).select("name", "sorted_name")
-    blocks = math.ceil(official.count() / limit) * 2
-    slices = max(1, math.ceil(names.count() / NAMES_PER_SLICE)) * 2
-    tasks = _tasks(joined)
-    left = (names.withColumn("s", F.expr(f"pmod(xxhash64(name), {slices}L)"))
-            .withColumn("b", F.expr(f"explode(sequence(0L, {blocks - 1}L))"))).repartition(tasks, "s", "b")
-    right = (official.withColumn("b", F.expr(f"pmod(xxhash64(matched), {blocks}L)"))
-             .withColumn("s", F.expr(f"explode(sequence(0L, {slices - 1}L))"))).repartition(tasks, "s", "b")
-
-    def run(some_names: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if some_names.empty or block.empty:
-            return _frame([])
-        block = block.sort_values(["rank", "matched"])
-        packed, matched = PackedNames(list(block["sorted_official"])), list(block["matched"])
-        best = [packed.best(text) for text in some_names["sorted_name"]]
-        return _frame([(name, matched[place], score) for name, (place, score) in zip(some_names["name"], best)])
-
-    scored = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInPandas(run, _RESULT)
-    ranked = scored.join(official.select("matched", "rank"), "matched")
-    near = (ranked.groupBy("name")
-            .agg(F.min(F.struct((-F.col("score")).alias("loss"), "rank", "matched")).alias("top"))
-            .select("name", F.col("top.matched").alias("matched"), (-F.col("top.loss")).alias("score")))
-    return exact.unionByName(near)
+# Letter classes of the bound; all other letters are one more class. Any choice is right, frequent
+# letters in classes of their own prune best. A cell holds sums of every fourth class.
+LETTERS = ("aA", "eE", "iI", "oO", "rR", "nN", "sS", "tT", "lL", "uU", "dD", "mM", "cC", " ")
+CELL = 4
+# Members of a cell that a name scores for its first, lower limit, and lengths it looks at for them.
+PROBES = 8
+NEAR_LENGTHS = 3
+# Letter comparisons held at once by the scoring of one batch.
+_CELLS_AT_ONCE = 1_000_000
+_SLACK = 1e-9
+
+
+def pair_scorer(of_many: bool = False) -> Callable[[Column, Column], Column]:
+    """0..100 similarity of two columns of sorted texts, whole batches of pairs at a time. With ``of_many``
+    the second holds arrays, none empty, and the highest similarity to a member is given.
+
+    The function carries all it needs, so executors need no copy of this package.
+    """
+    at_once = _CELLS_AT_ONCE
+
+    def matrix(texts: list[str], lengths, filler: int):
+        width = max(int(lengths.max()), 1)
+        codes = np.frombuffer("".join(t.ljust(width) for t in texts).encode("utf-32-le"), dtype=np.uint32)
+        codes = codes.reshape(len(texts), width).copy()
+        codes[np.arange(width) >= lengths[:, None]] = filler
+        return codes
+
+    def common(left, right):
+        """One row of the table of common lengths per letter of the left text, for all pairs."""
+        best = np.zeros((len(right), right.shape[1] + 1), dtype=np.int32)
+        for place in range(left.shape[1]):
+            equal = right == left[:, place:place + 1]
+            best[:, 1:] = np.maximum.accumulate(np.maximum(best[:, 1:], best[:, :-1] + equal), axis=1)
+        return best[:, -1]
+
+    def scores(left: list[str], right: list[str]):
+        la, lb = (np.array([len(t) for t in side], dtype=np.int64) for side in (left, right))
+        order = np.lexsort((la, lb))
+        shared = np.zeros(len(left), dtype=np.int64)
+        start = 0
+        while start < len(order):
+            rows = max(1, at_once // max(int(lb[order[start]]), 1))
+            part = order[start:start + rows]
+            while len(part) > 1 and len(part) * int(lb[part[-1]]) > at_once:
+                part = part[:(len(part) + 1) // 2]
+            shared[part] = common(matrix([left[i] for i in part], la[part], 0xFFFFFFFF),
+                                  matrix([right[i] for i in part], lb[part], 0xFFFFFFFE))
+            start += len(part)
+        total = la + lb
+        return np.where(total == 0, 100.0, 200.0 * shared / np.maximum(total, 1))
+
+    def one(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(scores(list(a), list(b)))
+
+    def highest(a: pd.Series, b: pd.Series) -> pd.Series:
+        sizes = [len(texts) for texts in b]
+        flat = scores([text for text, size in zip(a, sizes) for _ in range(size)], [t for texts in b for t in texts])
+        return pd.Series(np.maximum.reduceat(flat, np.concatenate([[0], np.cumsum(sizes)[:-1]])))
+
+    return F.pandas_udf(highest if of_many else one, "double")
+
+
+def _classes(text: str) -> list[Column]:
+    """Letters of the text in each class."""
+    whole = F.length(text)
+    counts = [whole - F.length(F.translate(F.col(text), letters, "")) for letters in LETTERS]
+    return [*counts, F.length(F.translate(F.col(text), "".join(LETTERS), ""))]
+
+
+def _profiled(df: DataFrame, text: str, side: str) -> DataFrame:
+    """Adds length (``n_len``), class counts (``n0``...) and cell (``nc0``...) under the letter of the side."""
+    counted = df.select("*", F.length(text).alias(f"{side}_len"),
+                        *[c.alias(f"{side}{i}") for i, c in enumerate(_classes(text))])
+    return counted.select("*", *[sum((F.col(f"{side}{i}") for i in range(k + CELL, len(LETTERS) + 1, CELL)),
+                                     F.col(f"{side}{k}")).alias(f"{side}c{k}") for k in range(CELL)])
+
+
+def _bound(prefix: str, count: int) -> Column:
+    """Highest score that the shared counts of a name and an official name (or cell) allow."""
+    shared = sum((F.least(f"n{prefix}{i}", f"o{prefix}{i}") for i in range(1, count)),
+                 F.least(f"n{prefix}0", f"o{prefix}0"))
+    return F.lit(200.0) * shared / F.greatest(F.col("n_len") + F.col("o_len"), F.lit(1))
+
+
+def _nearest(names: DataFrame, listed: DataFrame, facts: Column) -> DataFrame:
+    """``name, near``: the first-ranked of the best official names of each name that has a letter in
+    common with one, as (loss, rank, matched)."""
+    cell = [f"oc{k}" for k in range(CELL)]
+    official = _profiled(listed, "sorted_official", "o")
+    probe = F.pmod(F.xxhash64("sorted_official"), F.lit(PROBES))
+    cells = official.groupBy("o_len", *cell).agg(F.array_compact(F.array(*[
+        F.min(F.when(probe == k, F.col("sorted_official"))) for k in range(PROBES)])).alias("probes"))
+
+    profile = _profiled(names.withColumn("lengths", facts["lengths"]), "sorted_name", "n")
+    by_distance = F.array_sort(F.transform("lengths", lambda n: F.struct(
+        F.abs(n - F.col("n_len")).alias("away"), n.alias("o_len"))))
+    close = profile.withColumn("o_len", F.explode(F.slice(by_distance, 1, NEAR_LENGTHS)["o_len"]))
+    first = (close.join(cells, "o_len").groupBy("name", "sorted_name")
+             .agg(F.max_by("probes", F.struct(_bound("c", CELL), *cell)).alias("probes")))
+    limits = first.select("name", "sorted_name", pair_scorer(of_many=True)("sorted_name", "probes").alias("low"))
+
+    # A text without any letter in common with a name scores 0 there: no candidate, whatever its limit.
+    reach = F.greatest(F.col("low") - _SLACK, F.lit(_SLACK))
+    possible = F.filter("lengths", lambda n: 200.0 * F.least(n, F.col("n_len")) >= reach * (n + F.col("n_len")))
+    again = _profiled(limits.withColumn("lengths", facts["lengths"]), "sorted_name", "n")
+    ways = again.withColumn("o_len", F.explode(possible)).drop("lengths")
+    into = ways.join(cells.drop("probes"), "o_len").filter(_bound("c", CELL) >= reach).drop("o_len")
+    pairs = into.join(official, cell).filter(_bound("", len(LETTERS) + 1) >= reach)
+    loss = (-pair_scorer()("sorted_name", "sorted_official")).alias("loss")
+    return (pairs.select("name", loss, "rank", "matched").groupBy("name")
+            .agg(F.min(F.struct("loss", "rank", "matched")).alias("near")))
 
 
 def best_match(names: DataFrame, name: str, official: DataFrame, official_name: str,
-               rank: str | None = None, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``name, matched, score`` for every distinct non-null name.
+               rank: str | None = None) -> DataFrame:
+    """``name, matched, score`` for every distinct non-null name; no rows without official names.
 
-    Equal scores go to the official name that ranks first (by ``rank``, else alphabetically).
-    Names whose sorted words equal those of an official name are settled by a plain join at
-    score 100; only the others are scored. The official list is broadcast after its size was
-    checked; a longer list takes the block-wise way with the same result.
+    Equal scores go to the official name that ranks first (by ``rank``, else alphabetically), so a
+    name that shares no letter with any gets the first of all at score 0. Names whose sorted words
+    equal those of an official name are settled by a plain join at score 100; of the others, only
+    pairs that can be the best are scored.
     """
     listed = (official.filter(F.col(official_name).isNotNull())
               .groupBy(F.col(official_name).alias("matched"))
@@ -143,14 +150,17 @@ def best_match(names: DataFrame, name: str, official: DataFrame, official_name:
     listed = listed.groupBy("sorted_official").agg(
         F.min(F.struct("rank", "matched")).alias("head")).select(
         "sorted_official", F.col("head.rank").alias("rank"), F.col("head.matched").alias("matched"))
-    head = listed.orderBy("rank", "matched").limit(broadcast_limit + 1).collect()
+    # One row: the lengths that occur, at most as many as the longest name has letters, and the first name.
+    facts = listed.agg(F.struct(F.collect_set(F.length("sorted_official")).alias("lengths"),
+                                F.min(F.struct("rank", "matched")).alias("head")).alias("facts")).scalar()
 
     wanted = (names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
               .withColumn("sorted_name", token_sort("name")))
-    if not head:
-        return wanted.limit(0).select("name", F.lit(None).cast("string").alias("matched"), F.lit(0.0).alias("score"))
-    settled = listed.select(F.col("sorted_official").alias("sorted_name"), "matched")
-    joined = wanted.join(settled, "sorted_name", "left")
-    if len(head) <= broadcast_limit:
-        return _with_broadcast(joined, head)
-    return _with_blocks(joined, listed, broadcast_limit)
+    settled = listed.select(F.col("sorted_official").alias("sorted_name"), F.col("matched").alias("same"))
+    known = wanted.join(settled, "sorted_name", "left")
+    opened = known.filter(F.col("same").isNull()).select("name", "sorted_name")
+    joined = (known.join(_nearest(opened, listed, facts), "name", "left")
+              .withColumn("head", facts["head"]).filter(F.col("head").isNotNull()))
+    return joined.select(
+        "name", F.coalesce("same", "near.matched", "head.matched").alias("matched"),
+        F.when(F.col("same").isNotNull(), 100.0).otherwise(F.coalesce(-F.col("near.loss"), F.lit(0.0))).alias("score"))
