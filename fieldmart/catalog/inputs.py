@@ -237,7 +237,7 @@ def order_documents(t: Tables) -> DataFrame:
     })
     services = F.when(urgent | high, F.array(main, follow)).otherwise(F.array(main))
     return t.orders.select(
-        date.alias("createdAt"), date.alias("lastModifiedDate"),
+        text("o_orderkey").alias("_id"), date.alias("createdAt"), date.alias("lastModifiedDate"),
         F.when(~low, F.concat(F.lit("agent"), text("o_custkey"))).alias("createdBy"),
         customer.alias("customer"), services.alias("services"))
 

@@ -5,7 +5,7 @@ left side can be skewed and can be split."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,17 +92,36 @@ def lookup_first(ids: DataFrame, rows: DataFrame, key: str,
     return found, absent
 
 
-def mark_keys(table: DataFrame, keys: DataFrame, key: str, status: str, value: str,
-              match: Column | None = None) -> DataFrame:
+def mark_keys(table: DataFrame, keys: DataFrame, key: str, status: str, value: str) -> DataFrame:
     """Sets ``status`` to ``value`` on all rows of a key that is in ``keys`` and has at least one row
     with another status. A key whose statuses are all null or already ``value`` is left alone."""
-    known = keys.select((match if match is not None else F.col(key)).alias("_key")).distinct()
-    open_keys = (table.filter(F.col(status) != value).select(F.col(key).alias("_key")).distinct()
+    named = keys.select(F.lit(key).alias("kind"), F.col(key).cast("string").alias("key"))
+    return mark_key_kinds(table, named, {key: status}, value)
+
+
+def mark_key_kinds(table: DataFrame, keys: DataFrame, columns: Mapping[str, str], value: str) -> DataFrame:
+    """``mark_keys`` for several key columns at once: ``columns`` maps each to its status column, and
+    ``keys`` has rows ``kind, key`` with the name of the key column and the key as text.
+
+    One pass finds the open keys of all kinds, one marks. The kind is part of the joined value and no
+    filter, so that every join reads the same open keys, computed once.
+    """
+    def pair(kind: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(kind).cast("string").alias("key"))
+
+    # An open key has both its parts; an entry without a key or open status is null and goes.
+    entries = F.array_compact(F.array(*[
+        F.when((F.col(status) != value) & F.col(key).isNotNull(), pair(key)) for key, status in columns.items()]))
+    known = keys.select(F.struct("kind", "key").alias("_key")).distinct()
+    open_keys = (table.select(F.explode(entries).alias("_key")).distinct()
                  .join(known, "_key", "left_semi").withColumn("_hit", F.lit(True)))
-    hit = table.join(open_keys, table[key] == open_keys["_key"], "left")
-    columns = [F.when(F.col("_hit"), F.lit(value)).otherwise(table[status]).alias(status)
-               if c == status else table[c] for c in table.columns]
-    return hit.select(*columns)
+    hit = table
+    for key in columns:
+        side = open_keys.select(F.col("_key").alias(f"_key_{key}"), F.col("_hit").alias(f"_hit_{key}"))
+        hit = hit.join(side, pair(key) == F.col(f"_key_{key}"), "left")
+    keys_of = {status: key for key, status in columns.items()}
+    return hit.select(*[F.when(F.col(f"_hit_{keys_of[c]}"), F.lit(value)).otherwise(F.col(f"`{c}`")).alias(c)
+                        if c in keys_of else F.col(f"`{c}`") for c in table.columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import moment
 from ..functions.text import digits_only, full_address, or_text, update_statement
 from ..operators.joins import anti_join, lookup_first
-from ..operators.nested import explode_items, first_item
+from ..operators.nested import explode_items, first_item, slim_items
 
 TABLE = "crm_ticket_data"
 
@@ -67,16 +67,24 @@ def order_columns(as_of) -> list[Column]:
 ROW_START = ["protocol_number", "protocol_created_at", "notation", "protocol_channel"]
 
 
-def listed_orders(ids: DataFrame, docs: DataFrame, doc_order: str = "createdAt",
-                  number: str = "number") -> tuple[DataFrame, DataFrame]:
-    """(``number, d, s`` of the first document and service per id, ids without a document)."""
+def listed_orders(ids: DataFrame, docs: DataFrame, doc_order: str = "createdAt", number: str = "number",
+                  doc_id: str = "_id") -> tuple[DataFrame, DataFrame]:
+    """(``number, d, s`` of the first document and service per id, ids without a document).
+
+    The pick reads the numbers, the order and the document ids alone; documents are fetched by the ids
+    of the picked ones. Equal times and places go to the smallest document id, which must not be null.
+    """
+    order = F.col(doc_order).alias("_at"), F.col(doc_id).alias("_doc")
+    leaves = slim_items("services", number="serviceOrder.number", registered="serviceOrder.registeredAt")
+    items = explode_items(docs.select(*order, leaves.alias("leaves")), "leaves", "leaf")
+    keyed = items.select(F.col("leaf.number").alias(number), "_at", "pos", F.col("leaf.registered").alias("_made"), "_doc")
+    picked, _ = lookup_first(ids, keyed, number, ["_at", "pos", "_made", "_doc"])
     whole = F.struct(*[F.col(c) for c in docs.columns if c != "services"]).alias("d")
-    items = explode_items(docs.select(whole, "services"), "services", "s")
-    keyed = items.select(F.col("s.serviceOrder.number").alias(number), "d", "s", "pos")
-    found, _ = lookup_first(ids, keyed, number, [f"d.{doc_order}", "pos", "s.serviceOrder.registeredAt"])
+    documents = docs.select(F.col(doc_id).alias("_doc"), whole, "services")
+    found = picked.join(documents, "_doc").select(number, "d", F.get("services", F.col("pos")).alias("s"))
     # The absent ids need one leaf of the documents, not the documents.
     numbers = docs.select(F.explode_outer("services.serviceOrder.number").alias(number))
-    return found.select(number, "d", "s"), anti_join(ids.select(number), numbers, [number])
+    return found, anti_join(ids.select(number), numbers, [number])
 
 
 def order_export(ids: DataFrame, docs: DataFrame, as_of, mode: str = "csv", table: str = TABLE,

@@ -43,7 +43,7 @@ SERVICE = struct(
 
 # One document per ticket.
 TICKET = struct(
-    createdAt=STAMP, lastModifiedDate=STAMP, createdBy=TEXT,
+    _id=TEXT, createdAt=STAMP, lastModifiedDate=STAMP, createdBy=TEXT,
     customer=struct(
         **texts("name cpf email"),
         cadUnico=struct(**texts("familyCode nis ibgeCode")),

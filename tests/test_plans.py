@@ -90,11 +90,12 @@ def test_reconcile_status(spark, rows):
 def test_order_export(spark, rows):
     df = docs(
         spark,
-        {"createdAt": ago(days=2), "lastModifiedDate": NOW, "customer": {
+        {"_id": "b", "createdAt": ago(days=2), "lastModifiedDate": NOW, "customer": {
             "name": "D'Ávila", "address": {"streetName": "Rua", "city": "C"}, "contacts": [{"value": "p1"}, {"value": "p2"}]},
          "services": [service("8", "X"), {**service("7", "OPEN", "T", NOW, None, schedules=[{"date": NOW, "installer": "I"}]),
                                           "protocol": {"number": "P-5"}}]},
-        {"createdAt": ago(days=1), "services": [service("7", "LATER")]})
+        {"_id": "c", "createdAt": ago(days=2), "services": [service(), service("7", "TIE", "T", NOW)]},
+        {"_id": "a", "createdAt": ago(days=1), "services": [service("7", "LATER")]})
     ids = spark.createDataFrame([("7",), ("99",)], "number string")
     found, absent = order_export.order_export(ids, df, NOW)
     assert len(found.columns) == 36 and found.columns[:4] == order_export.ROW_START
