@@ -18,6 +18,7 @@ EVENTS_AS_OF = "2024-01-31"
 FX_AS_OF = "2001-09-30"
 # Documents are matched by hours: this many reach back before the first order.
 ALL_HOURS = 60_000
+RECENT_HOURS = 2 * 365 * 24
 FOLLOW_UP = 1_000_000_000_000
 
 
@@ -353,10 +354,9 @@ def campaign_rows(t: Tables) -> DataFrame:
 
 
 def official_parts(t: Tables) -> DataFrame:
-    """Official names; two codes per name, as for a name that exists in two states."""
-    return t.part.filter(F.col("p_type").isin("SMALL", "LARGE")).select(
-        F.concat(F.col("p_type"), F.lit(":"), F.col("p_name")).alias("cIBGE"),
-        F.col("p_name").alias("nome_cidade")).distinct()
+    """Official names; several codes per name, as for a name that exists in several states."""
+    return t.part.select(F.concat(F.col("p_type"), F.lit(":"), F.col("p_name")).alias("cIBGE"),
+                         F.col("p_name").alias("nome_cidade")).distinct()
 
 
 def listed_parts(t: Tables) -> DataFrame:

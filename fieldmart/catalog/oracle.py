@@ -271,6 +271,7 @@ FROM services s LEFT JOIN firstline f ON f.l_orderkey = s.number
 """)
 _rec = "services firstline compared"
 query("reconcile_status", _rec, "SELECT * FROM compared")
+query("reconcile_recent", _rec, "SELECT * FROM compared WHERE created_at >= '1999-08-02 00:00:00'")
 query("reconcile_diverging", _rec, """
 SELECT nro_os, status_mongo, status_sql, created_at FROM compared WHERE outcome = 'diverges'
 """)

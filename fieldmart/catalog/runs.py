@@ -13,13 +13,14 @@ from ..operators import aggregates, filters, joins, matching, nested, quality, s
 from ..plans import (call_log, campaigns, capacity, channels, chatbot, demand_alerts, duplicate_orders,
                      exchange_rates, indicators, login_report, maintenance, order_export, pending_orders,
                      phase_status, reconciliation, travel)
-from ..session import tune, work_folder
+from ..session import tune
 from ..sinks import reports, tables
 from ..sources import pages
 from ..sources.tables import parameter_rows, read_parquet
 from ..streaming import created, once, sessions
 from ..streaming import reconciliation as streamed
 from . import inputs as i
+from .scratch import work_folder
 from .travel_inputs import CREDIT, INVOICE, feed_records, land_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,13 @@ def reconcile_status(t):
     return _reconciled(t).compared
 
 
+@query
+def reconcile_recent(t):
+    """The orders of two years up to the report's moment: few against the warehouse."""
+    return reconciliation.reconcile_status(i.order_documents(t), i.warehouse_orders(t), i.ORDERS_AS_OF, i.RECENT_HOURS,
+                                           i.WAREHOUSE_ORDER).compared
+
+
 @query
 def reconcile_diverging(t):
     return _reconciled(t).diverging
@@ -720,7 +728,8 @@ def committed_alerts(t):
     for run_id in ("first", "second"):
         new = demand_alerts.demand_alerts(i.tickets(t), i.cities(t), i.family_counts(t), i.city_campaigns(t), t.spark.table(name), i.SHIP_AS_OF)
         tables.commit_alerts(t.spark, new, name, list(demand_alerts.LEDGER_KEY), f"{path}/batch", f"{path}/runs", demand_alerts.alert_batch,
-                             lambda rows: demand_alerts.ledger_rows(rows, i.SHIP_AS_OF), lambda rows: demand_alerts.run_record(rows, i.SHIP_AS_OF), run_id)
+                             lambda rows: demand_alerts.ledger_rows(rows, i.SHIP_AS_OF), lambda rows: demand_alerts.run_record(rows, i.SHIP_AS_OF), run_id,
+                             f"{path}/staged")
     alerted = t.spark.read.parquet(f"{path}/runs/run=first").agg(F.coalesce(F.sum("qtd_cidades"), F.lit(0))).first()[0]
     again = t.spark.read.parquet(f"{path}/batch").count()
     return t.spark.table(name).filter("data_alerta IS NOT NULL").withColumns({"second_run": F.lit(again), "alerted": F.lit(alerted)})

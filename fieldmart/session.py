@@ -1,11 +1,7 @@
-"""Session settings the library relies on, and the shared work folder."""
+"""Session settings the library relies on, and the files that Spark sees."""
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # UTC because all time shifts are explicit; AQE for join re-planning and skew splitting.
@@ -53,20 +49,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="fieldmart-")
-
-
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder the session names in ``spark.checkpoint.dir``.
-
-    Only when that setting is absent (local tests) a local temporary folder is used, and only
-    with a local master: executors elsewhere could not read it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder that the caller has written itself."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import anti_join, insert_if_absent, replace_window, upsert
-from ..session import work_folder
+from ..session import remove
 from ..sources.tables import DRIVERS
 
 # Column lengths of the two typed database tables.
@@ -87,25 +87,24 @@ def append_absent(spark: SparkSession, table: str, rows: DataFrame, key: str) ->
     fresh.select(*spark.table(table).columns).write.insertInto(table)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a written table: computed once, read by several writers."""
-    spark = df.sparkSession
-    path = work_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """The frame as a table written to ``path``: computed once, read by several writers."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def commit_alerts(spark: SparkSession, new_rows: DataFrame, ledger: str, keys: list[str], batch_path: str,
-                  runs_path: str, to_batch, to_ledger, to_run, run_id: str) -> DataFrame:
+                  runs_path: str, to_batch, to_ledger, to_run, run_id: str, work: str) -> None:
     """Writes the alert batch, the run record, and last the ledger, from one computation.
 
-    When a run fails before the ledger is written, it is tried again under its ``run_id``: the run's
-    own partition of the records is overwritten, so the run is recorded once. After that, the ledger
-    keeps its rows out.
+    ``work`` is a folder that all executors reach, for the rows until they are committed; it is removed
+    at the end. When a run fails before the ledger is written, it is tried again under its ``run_id``: the
+    run's own partition of the records is overwritten, so the run is recorded once. After that, the
+    ledger keeps its rows out.
     """
-    rows = staged(new_rows, "alerts")
+    rows = staged(new_rows, f"{work.rstrip('/')}/run={run_id}")
     replace(to_batch(rows), batch_path)
     replace(to_run(rows), f"{runs_path.rstrip('/')}/run={run_id}")
     entries = anti_join(to_ledger(rows), spark.table(ledger), keys)
     entries.select(*spark.table(ledger).columns).write.insertInto(ledger)
-    return rows
+    remove(spark, f"{work.rstrip('/')}/run={run_id}")

@@ -4,14 +4,14 @@ from pathlib import Path
 import pytest
 
 from fieldmart.plans import demand_alerts
-from fieldmart.session import work_folder
+from fieldmart.catalog.scratch import work_folder
 from fieldmart.sinks import reports, tables
 
 DAY = dt.date(2025, 3, 1)
 
 
 def part_files(path):
-    return [p.read_bytes() for p in Path(path).glob("part-*")]
+    return [p.read_bytes() for p in sorted(Path(path).glob("part-*"))]  # in the order of the file names
 
 
 @pytest.fixture
@@ -97,7 +97,8 @@ def test_commit_alerts_is_safe_to_repeat(spark, table, tmp_path, rows):
         new = demand_alerts.anti_join(due, spark.table(ledger), demand_alerts.LEDGER_KEY)
         tables.commit_alerts(spark, new, ledger, list(demand_alerts.LEDGER_KEY), batch, runs, demand_alerts.alert_batch,
                              lambda df: demand_alerts.ledger_rows(df, "2025-03-10"),
-                             lambda df: demand_alerts.run_record(df, "2025-03-10"), f"r{turn}")
+                             lambda df: demand_alerts.run_record(df, "2025-03-10"), f"r{turn}", str(tmp_path / "work"))
+        assert list((tmp_path / "work").iterdir()) == []
         assert spark.read.parquet(batch).count() == 1 - turn
         assert (spark.table(ledger).count(), spark.read.parquet(runs).count()) == (1, 1)
 
