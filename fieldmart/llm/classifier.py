@@ -144,7 +144,7 @@ def _gather(train: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample: int = SAMPLE) -> Model | None:
-    """The model from all labelled rows that are not held out; None if a class has no row.
+    """The model from all labelled rows that are not held out; None if a class or the sample has no row.
 
     Ids with null, other or contradicting labels are left out; a repeated row counts as often as it stands there.
     """
@@ -168,6 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratio = np.log(shares[1] / shares[0])
 
     rows = gathered.filter("place IS NULL").select("label", "fold", "places").orderBy("label", F.xxhash64("places")).limit(4 * sample).toPandas()
+    if rows.empty:
+        return None
     signs = np.where(rows["label"] == 1, 1, -1)
     vectors = []
     for places in rows["places"]:
