@@ -2,7 +2,7 @@
 
 Each source's documents lie end to end in an order given by a keyed hash; blocks are stretches of that
 order. A source's target says how many times all its documents are taken and how many words one more,
-partial pass takes: whole documents from the start of the order, and around its end those that fit best.
+partial pass takes: whole documents in order, each that fits into what is left, through to the end of the order.
 That gives each source a number of block draws. A tree over the shards splits these numbers: at each
 node the left half gets its share of each source by a multivariate hypergeometric draw, so every shard
 is a random sample without replacement of all draws, and the numbers stay exact. A shard's draws are a
@@ -139,17 +139,70 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 
 def _fill(zone: pd.DataFrame) -> pd.DataFrame:
-    """Of the documents around the end of the partial pass, those that fit, in order; and one more if that is nearer."""
-    zone = zone.sort_values(["place", "key", "doc_id", "size"], kind="stable")
-    left, taken = float(zone["rest"].iloc[0]) - int(zone["place"].iloc[0]), []
+    """Of the documents around the end of the partial pass, those that fit, in order."""
+    zone = zone.sort_values("place")
+    left, taken = float(zone["left"].iloc[0]) - int(zone["at"].iloc[0]), []
     for size in zone["size"]:
         taken.append(size <= left)
         left -= size if size <= left else 0
-    zone["extra"] = np.array(taken, bool)
-    if not zone["extra"].all():
-        smallest = zone.loc[~zone["extra"], "size"].idxmin()
-        zone.loc[smallest, "extra"] = zone.loc[smallest, "size"] < 2 * left
-    return zone[["number", "place", "key", "doc_id", "size", "extra"]]
+    return zone.assign(extra=np.array(taken, bool), left=left)[["number", "place", "at", "size", "extra", "left"]]
+
+
+ZONE = "number int, place long, at long, size long, extra boolean, left double"
+
+
+def _ahead(rows: DataFrame, block: int) -> DataFrame:
+    """``at``: the words of a source's rows before each of them."""
+    rows = rows.withColumn("stretch", F.floor(F.col("place") / block))
+    order = Window.partitionBy("number", "stretch").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy("number").orderBy("stretch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = rows.groupBy("number", "stretch").agg(F.sum("size").alias("words"))
+    sums = sums.select("number", "stretch", (F.sum("words").over(ahead) - F.col("words")).alias("offset"))
+    rows = rows.withColumn("before", F.sum("size").over(order) - F.col("size"))
+    return rows.join(sums, ["number", "stretch"]).withColumn("at", F.col("before") + F.col("offset"))
+
+
+def _partial(placed: DataFrame, quotas: Sequence[Quota], block: int) -> DataFrame:
+    """(n2, p2, at): the documents that the partial pass takes besides those up to ``rest - block``, and
+    where they lie in it.
+
+    The first round tries the documents less than a block from the cut. What is then left goes to later documents that
+    are no larger, again up to a block behind the new cut, until no document fits: the same as trying all
+    in order. At last the smallest document left out is taken if that comes nearer to the target.
+    """
+    spark, places = placed.sparkSession, "n2 int, p2 long, at long"
+    wordy = placed.filter((F.col("size") > 0) & (F.col("rest") > 0)).select("number", "place", "size", "rest")
+    rests = {i: q.rest for i, q in enumerate(quotas) if q.rest > 0}
+    left, after, found = dict(rests), dict.fromkeys(rests, -1), spark.createDataFrame([], places)
+    todo, first = list(rests), True
+    while todo:
+        if first:
+            rows = wordy.withColumns({"at": F.col("place"), "left": F.col("rest")})
+            rows = rows.filter(F.col("place") + F.col("size") > F.greatest(F.lit(0.0), F.col("rest") - block))
+        else:
+            state = spark.createDataFrame([(i, after[i], float(left[i])) for i in todo], "number int, after long, left double")
+            rows = _ahead(wordy.join(state, "number").filter((F.col("place") > F.col("after")) & (F.col("size") <= F.col("left"))), block)
+        rows = rows.filter(F.col("at") < F.col("left") + block)
+        near = F.col("at") + F.col("size") > F.col("left") - block
+        tried = rows.filter(near).groupBy("number").applyInPandas(_fill, ZONE)
+        if not first:
+            sure = rows.filter(~near)
+            tried = tried.unionByName(sure.select("number", "place", "at", "size", F.lit(True).alias("extra"),
+                                                  (F.col("left") - F.col("at") - F.col("size")).alias("left")))
+        tried = cut(tried)
+        ends = tried.groupBy("number").agg(F.max("place").alias("after"), F.min("left").alias("left")).collect()
+        begun = spark.createDataFrame([(i, float(rests[i] - left[i])) for i in todo], "n2 int, begun double")
+        taken = tried.filter("extra").join(begun, F.col("number") == F.col("n2"))
+        found = found.unionByName(taken.select("n2", F.col("place").alias("p2"), F.floor(F.col("begun") + F.col("at")).alias("at")))
+        for r in ends:
+            after[r.number], left[r.number] = r.after, r.left
+        todo, first = [r.number for r in ends if r.left >= 1], False
+    state = spark.createDataFrame([(i, float(v)) for i, v in left.items()], "number int, left double")
+    out = wordy.join(state, "number").filter((F.col("size") < 2 * F.col("left")) & (F.col("place") + F.col("size") > F.col("rest") - block))
+    out = out.join(found, (F.col("number") == F.col("n2")) & (F.col("place") == F.col("p2")), "left_anti")
+    one = out.groupBy("number").agg(F.min(F.struct("size", "place")).alias("least")).collect()
+    more = [(r.number, r.least.place, int(rests[r.number] - left[r.number])) for r in one]
+    return found.unionByName(spark.createDataFrame(more, places))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -159,7 +212,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     ``shards`` has the shard of each time the document is taken, whole: none to ``most`` times. ``key``
     is a hash of the row; rows that are equal get equal keys. A source's taken words differ from its
-    target by less than the smallest document around the end of the partial pass that is left out.
+    target by at most half of the smallest document that the partial pass leaves out.
     Null sources are one source; documents without words are not taken; an empty table gives an empty
     result. Runs with the same rows and seed agree.
     """
@@ -185,14 +238,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = sums.select("number", "bucket", (F.sum("words").over(ahead) - F.col("words")).alias("offset"))
     placed = cut(local.join(sums, ["number", "bucket"]).withColumn("place", F.col("before") + F.col("offset")).drop("before", "offset", "bucket"))
 
-    start, wordy = F.greatest(F.lit(0.0), F.col("rest") - block), F.col("size") > 0
-    zone = placed.filter(wordy & (F.col("rest") > 0) & (F.col("place") + F.col("size") > start) & (F.col("place") < F.col("rest") + block))
-    extra = zone.groupBy("number").applyInPandas(_fill, "number int, place long, key long, doc_id long, size long, extra boolean")
-    extra = extra.filter("extra").select(F.col("number").alias("n2"), F.col("place").alias("p2")).distinct()
+    wordy, extra = F.col("size") > 0, _partial(placed, quotas, block)
     placed = placed.join(extra, wordy & (F.col("number") == F.col("n2")) & (F.col("place") == F.col("p2")), "left")
-    inside = wordy & (F.col("place") + F.col("size") <= start) | F.col("p2").isNotNull()
+    inside = wordy & (F.col("place") + F.col("size") <= F.greatest(F.lit(0.0), F.col("rest") - block)) | F.col("p2").isNotNull()
     drawn = _draw([q.draws for q in quotas], shards, seed)(
-        "number", F.floor(F.col("place") / block), F.when(wordy, F.col("passes")).otherwise(0), inside.cast("int"), "passes", "blocks", "rest_blocks")
+        "number", F.floor(F.col("place") / block), F.floor(F.coalesce("at", "place") / block), F.when(wordy, F.col("passes")).otherwise(0),
+        inside.cast("int"), "passes", "blocks", "rest_blocks")
     return placed.select("doc_id", "key", "size", "source_size", "target", drawn.alias("shards"))
 
 
@@ -203,17 +254,18 @@ def row_key(docs: DataFrame, seed: int) -> Column:
 
 def _draw(draws: list[int], shards: int, seed: int):
     @F.arrow_udf("array<int>")
-    def draw(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def draw(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         tree = SplitTree(draws, shards, seed)
         for part in parts:
-            number, block, whole, extra, passes, blocks, rest_blocks = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in part)
+            number, block, rest_block, whole, extra, passes, blocks, rest_blocks = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in part)
             times = whole + extra
             row = np.repeat(np.arange(len(times)), times)
             turn = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
             last = turn >= whole[row]  # the partial pass
             turn[last] = passes[row][last]
             size = np.where(last, rest_blocks[row], blocks[row])
-            place = turn * blocks[row] + permuted(block[row], size, number[row] * 1_000_003 + turn * 7919 + seed)
+            mine = np.where(last, rest_block[row], block[row])
+            place = turn * blocks[row] + permuted(mine, size, number[row] * 1_000_003 + turn * 7919 + seed)
             shard = tree.shard_of(number[row], place)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(times))), pa.int32()), pa.array(shard, pa.int32()))
     return draw

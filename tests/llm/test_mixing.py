@@ -47,6 +47,16 @@ def test_mix(spark):
     assert sorted(map(key, found)) == sorted(map(key, again))
 
 
+def test_a_document_over_a_block_across_the_cut(spark):
+    rows = [(100 * s + i, "w " * (650 if i == 0 else 10), f"s{s}") for s in range(8) for i in range(100)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1,), share=1.3, block=50).collect()
+    words = Counter()
+    for r in found:
+        words[r.doc_id // 100] += r.size * (len(r.shards) - 1)
+    assert {len(r.shards) for r in found} == {1, 2}
+    assert all(abs(words[s] - 0.3 * 1640) <= 5 for s in range(8))  # the short ones fill it
+
+
 def test_mixed_rows(spark):
     frame = docs(spark).drop("shard")
     out = mixing.mixed(frame, block=200)
