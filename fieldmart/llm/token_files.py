@@ -219,6 +219,8 @@ def checksum(ids: np.ndarray) -> int:
 
 
 PLAIN = 0x250  # up to here a character is one letter, digit or sign in its composed form
+# Those whose small letters lie there as well; 24 capitals, as in Azerbaijani and Ewe, have others.
+PLAIN_CHARACTERS = "".join(re.escape(chr(c)) for c in range(PLAIN) if all(ord(x) < PLAIN for x in chr(c).lower()))
 
 
 def _class_of(kind: str) -> str:
@@ -234,8 +236,8 @@ class UnitIds:
     """Ids of texts by the tokenizers library, each distinct unit encoded once.
 
     The tokenizer lower-cases, drops white space, and merges inside units only, so a text's ids are those
-    of its units. Texts with characters over ``PLAIN`` or with special strings are cut at spaces alone,
-    and the library finds the units inside.
+    of its units. Texts with characters that aren't in ``PLAIN_CHARACTERS`` or with special strings are cut
+    at spaces alone, and the library finds the units inside.
     """
 
     def __init__(self, path: str):
@@ -243,7 +245,7 @@ class UnitIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = re.compile(f"[\\x00-{chr(PLAIN - 1)}]*").fullmatch
+        self.plain = re.compile(f"[{PLAIN_CHARACTERS}]*").fullmatch
         self.units = re.compile(UNITS).findall
         self.forget()
 

@@ -68,3 +68,11 @@ def test_units_give_the_library_ids():
     library, own = Tokenizer.from_file(WORD), token_files.UnitIds(WORD)
     some = [t or "" for t in texts()] + ["it's I'LL ''s x'sy 1½²ª \x1c\x85'd", "é İ ΑΣ ς"]
     assert [x.tolist() for x in own.texts([t.encode() for t in some], 2)] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in some]
+
+
+def test_capitals_whose_small_letters_lie_further_up():
+    from tokenizers import Tokenizer
+
+    library, some = Tokenizer.from_file(WORD), ["President Əliyev said", *(f"a{c}b {c}x {c}" for c in "İƁƆƉƊƏƐƓƔƖƗƜƝƟƦƩƮƱƲƷȺȾɄɅ")]
+    for t in some:  # each alone, so that each is seen by a fresh one
+        assert token_files.UnitIds(WORD).texts([t.encode()], 2)[0].tolist() == [*library.encode(t, add_special_tokens=False).ids, 2]
