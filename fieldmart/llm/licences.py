@@ -1,6 +1,6 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form: without copyright lines, in lower case, every run of ASCII
+A text is brought to a canonical form: without copyright statements, in lower case, every run of ASCII
 punctuation and spaces as one space, and equivalent spellings as one. The SHA-256 of the form is joined
 with those of the known licence texts and notices: once for the whole text, once for each of its lines.
 All of it is DataFrame functions.
@@ -15,7 +15,17 @@ from pyspark.sql import functions as F
 
 from .license_texts import known
 
+# The rule of the SQL, which also drops licence wording that a line begins with; the scan goes by the two below.
 COPYRIGHT = "(?i)^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)"
+# A line that is a copyright statement: the word with a sign, a year or a holder's kind, a sign with a year or
+# a name, or the reservation alone.
+_SIGN = "(?:\\(c\\)|©|&copy;|(?:c\\W+)?\\d{4}|[\\[<{](?:yyyy|year))"
+_WORDING = "(?:holder|owner|notice|licen[cs]e|law|treat|act|statement|protection|interest|and|or|of|in|to|for|is|are|as)"
+STATEMENT = (f"(?i)^[^a-z0-9]*(?:copyright[\\W_]*{_SIGN}|©|&copy;|\\(c\\)\\W*\\d{{4}}|all rights reserved\\W*$"
+             f"|copyright\\s+(?!{_WORDING}s?\\b)(?=.*\\b(?:inc|ltd|llc|corp|gmbh|foundation|university|contributors?|authors?|developers|team)\\b).{{1,100}}$"
+             "|(?-i:\\([cC]\\)\\s+[A-Z][\\w.&'-]*(?:[ ,]+(?:and|of|the|&|[A-Z][\\w.&'-]*))*[\\s.]*$))")
+# A statement inside a line, up to the words with which a licence begins.
+INLINE = f"(?is)\\bcopyright[\\W_]*{_SIGN}.{{0,300}}?(?=permission is hereby granted|permission to use, copy|redistribution and use in source)"
 GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Spellings that mean the same, after lower case and gaps as spaces.
 SPELLINGS = (("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("non infringement", "noninfringement"),
@@ -23,14 +33,15 @@ SPELLINGS = (("licence", "license"), ("sub license", "sublicense"), ("non commer
 
 
 def canonical_lines(text: Column) -> Column:
-    """The canonical form of each line that has words and isn't a copyright line."""
+    """The canonical form of each line that has words and isn't a copyright statement."""
     def form(line):
         out = F.concat(F.lit(" "), F.regexp_replace(F.lower(line), GAPS, " "), F.lit(" "))
         for one, other in SPELLINGS:
             out = F.replace(out, F.lit(one), F.lit(other))
         return F.trim(F.regexp_replace(out, " +", " "))
 
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: ~line.rlike(COPYRIGHT))
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.regexp_replace(line, INLINE, " "))
+    lines = F.filter(lines, lambda line: ~line.rlike(STATEMENT))
     return F.filter(F.transform(lines, form), lambda line: line != "")
 
 
@@ -47,7 +58,7 @@ def known_digests(spark, texts: Sequence[tuple[str, str]]) -> DataFrame:
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """(doc_id, n_lines, text_sha256, license_id, notices).
 
-    ``n_lines`` counts lines with words that aren't copyright lines, ``text_sha256`` is the digest of the
+    ``n_lines`` counts lines with words that aren't copyright statements, ``text_sha256`` is the digest of the
     whole canonical text, ``license_id`` its licence (null: none known), ``notices`` the licences that
     lines name, sorted and comma-joined. Null texts are empty. Rows with one doc_id and one canonical text
     give one row. An empty table gives an empty result; other columns are not read.

@@ -56,6 +56,65 @@ def test_licences(spark):
     assert licences.licence_scan(docs(spark)).count() == docs(spark).select("doc_id", "text").distinct().count()
 
 
+MIT_WRAPPED = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+ISC_WRAPPED = """ISC License
+
+Copyright (c) 2004-2010 by Internet Systems Consortium, Inc. ("ISC")
+Copyright (c) 1995-2003 by Internet Software Consortium
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+
+def test_licences_in_any_wrapping(spark):
+    wrapped = {"MIT": MIT_WRAPPED, "ISC": ISC_WRAPPED}
+    unsigned = {n: "\n".join(line for line in t.split("\n") if not line.startswith("Copyright")) for n, t in wrapped.items()}
+    forms = [(n, f(t)) for of in (wrapped, unsigned) for n, t in of.items() for f in (str, str.upper, lambda t: " ".join(t.split()))]
+    forms += [(n, "\n".join(t.split())) for n, t in unsigned.items()]
+    found = licences.licence_scan(spark.createDataFrame(enumerate(t for _, t in forms), "doc_id long, text string"))
+    assert {r.doc_id: r.license_id for r in found.collect()} == {i: n for i, (n, _) in enumerate(forms)}
+    assert found.select("text_sha256").distinct().count() == 2
+
+
+def test_only_copyright_statements_are_dropped(spark):
+    gone = ["Copyright 2021 Somebody", "# Copyright (C) 2020, A. All rights reserved.", "© A", "(c) 2020 a", "(c) Acme Corp.", "All rights reserved.",
+            "Copyright <YEAR> <COPYRIGHT HOLDER>", "Copyright Joyent, Inc. and other Node contributors."]
+    kept = ["copyright law is long", "COPYRIGHT HOLDERS AND CONTRIBUTORS BE LIABLE", "copyright notice and this list", "Copyright License. Subject to the authors",
+            "(c) You must retain, in the Source form", "all rights reserved in this work stay", "copyrighted works"]
+    rows = spark.createDataFrame(enumerate(gone + kept), "doc_id long, text string")
+    found = {r.doc_id: r.n_lines for r in licences.licence_scan(rows).collect()}
+    assert [found[i] for i in range(len(found))] == [0] * len(gone) + [1] * len(kept)
+
+
 def plain_measures(text):
     text = text or ""
     words = [w.decode() for w in text.encode().split()]
