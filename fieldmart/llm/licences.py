@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_texts import known
+from .license_texts import listed
 
 # The rule of the SQL, which also drops licence wording that a line begins with; the scan goes by the two below.
 COPYRIGHT = "(?i)^[^a-z0-9]*(copyright|\\(c\\)|©|all rights reserved)"
@@ -46,13 +46,10 @@ def canonical_lines(text: Column) -> Column:
 
 
 def known_digests(spark, texts: Sequence[tuple[str, str]]) -> DataFrame:
-    """(digest, license_id, bit): ``bit`` numbers the licences."""
-    names = sorted({name for name, _ in texts})
-    if len(names) > 63:
-        raise ValueError("at most 63 licences in one scan")
-    rows = spark.createDataFrame([(name, 1 << names.index(name), text) for name, text in texts], "license_id string, bit long, text string")
+    """(digest, license_id) of a list of any length."""
+    rows = spark.createDataFrame(list(texts), "license_id string, text string")
     digest = F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256)
-    return rows.groupBy(digest.alias("digest")).agg(F.min_by("license_id", "license_id").alias("license_id"), F.min_by("bit", "license_id").alias("bit"))
+    return rows.groupBy(digest.alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: Sequence[tuple[str, str]] | None = None) -> DataFrame:
@@ -63,14 +60,12 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines name, sorted and comma-joined. Null texts are empty. Rows with one doc_id and one canonical text
     give one row. An empty table gives an empty result; other columns are not read.
     """
-    spark, texts = docs.sparkSession, texts or known()
-    names = sorted({name for name, _ in texts})
-    digests = F.broadcast(known_digests(spark, texts))  # a fixed list
+    digests = F.broadcast(known_digests(docs.sparkSession, texts or listed()))  # a fixed list
     rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
     rows = rows.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.sha2(F.array_join("lines", " "), 256).alias("text_sha256"), "lines")
     lines = rows.select("doc_id", "n_lines", "text_sha256", F.explode_outer("lines").alias("line"))
-    found = lines.join(digests.select(F.col("digest").alias("line_digest"), "bit"), F.sha2("line", 256) == F.col("line_digest"), "left")
-    found = found.groupBy("doc_id", "n_lines", "text_sha256").agg(F.bit_or(F.coalesce("bit", F.lit(0))).alias("bits"))
-    named = F.array_join(F.filter(F.array(*[F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, n) for i, n in enumerate(names)]), lambda n: n.isNotNull()), ",")
+    found = lines.join(digests.select(F.col("digest").alias("line_digest"), F.col("license_id").alias("name")), F.sha2("line", 256) == F.col("line_digest"), "left")
+    found = found.groupBy("doc_id", "n_lines", "text_sha256").agg(F.collect_set("name").alias("names"))
+    named = F.array_join(F.sort_array("names"), ",")
     found = found.join(digests.select("digest", "license_id"), F.col("text_sha256") == F.col("digest"), "left")
     return found.select("doc_id", "n_lines", "text_sha256", "license_id", named.alias("notices"))

@@ -1,4 +1,10 @@
-"""Licence texts and notices with their SPDX names; copyright lines are left out."""
+"""Licence texts and notices with their SPDX names; copyright lines are left out.
+
+Short texts stand here, whole ones as published in ``spdx/``, a file for each licence.
+"""
+
+import re
+from importlib.resources import files
 
 # Texts as published by their authors.
 _GRANT_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -46,3 +52,34 @@ def known() -> list[tuple[str, str]]:
     """(licence, text): whole texts, then notices."""
     whole = [(name.removesuffix("-body"), text) for name, text in TEXTS.items()]
     return whole + [(name, line) for name, lines in NOTICES.items() for line in lines]
+
+
+# Titles that some files put before the text.
+TITLES: dict[str, list[str]] = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["The ISC License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License"],
+    "Zlib": ["zlib License", "The zlib License"],
+}
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _forms(name: str, text: str) -> list[str]:
+    """A text as it is usually given: without what follows its terms, with items for numbers, under a title."""
+    forms = [text]
+    if END in text:
+        forms.append(text[: text.index(END)])
+        forms.append(forms[-1] + END)
+    if name.startswith("BSD-"):
+        forms += [f.replace("COPYRIGHT\nHOLDER OR", "COPYRIGHT\nOWNER OR").replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for f in forms]
+        forms += [re.sub(r"(?m)^\s*\d\. ", "* ", f) for f in forms]
+    return forms + [f"{title}\n{f}" for title in TITLES.get(name, ()) for f in forms]
+
+
+def listed() -> list[tuple[str, str]]:
+    """(licence, text): those of ``known()`` and all whole texts in all their forms."""
+    bodies = [("MIT", TEXTS["MIT-body"]), ("ISC", TEXTS["ISC-body"]), ("0BSD", TEXTS["0BSD"])]
+    held = [(f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in sorted((files(__package__) / "spdx").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")]
+    return known() + [(name, form) for name, text in bodies + held for form in _forms(name, text)]

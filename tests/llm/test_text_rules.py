@@ -115,6 +115,23 @@ def test_only_copyright_statements_are_dropped(spark):
     assert [found[i] for i in range(len(found))] == [0] * len(gone) + [1] * len(kept)
 
 
+def test_whole_licences(spark):
+    from pathlib import Path
+
+    whole = {f.stem: f.read_text() for f in sorted((Path(licences.__file__).parent / "spdx").iterdir())}
+    assert len(whole) >= 18 and {"Apache-2.0", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "Zlib", "CC0-1.0"} <= set(whole)
+    texts = [*whole.items(), ("Apache-2.0", whole["Apache-2.0"].split("END OF TERMS")[0]), ("MIT", "The MIT License (MIT)\n" + MIT_WRAPPED.split("\n", 1)[1]),
+             ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + whole["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    found = licences.licence_scan(spark.createDataFrame(enumerate(t for _, t in texts), "doc_id long, text string"))
+    assert {r.doc_id: r.license_id for r in found.collect()} == {i: n for i, (n, _) in enumerate(texts)}
+
+
+def test_any_number_of_licences(spark):
+    names = [f"L-{i:03}" for i in range(200)]
+    frame = spark.createDataFrame([(1, "\n".join(f"line of {n}" for n in reversed(names)))], "doc_id long, text string")
+    assert licences.licence_scan(frame, texts=[(n, f"line of {n}") for n in names]).first().notices == ",".join(names)
+
+
 def plain_measures(text):
     text = text or ""
     words = [w.decode() for w in text.encode().split()]
