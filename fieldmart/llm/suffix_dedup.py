@@ -2,7 +2,7 @@
 
 Every window of 200 bytes is filed under its anchor, the smallest hash of the 32-byte strings inside it;
 equal windows have equal anchors. Neighbouring windows with one anchor form a run, and the text under a
-run is its region. Regions that are equal as a whole are counted with a groupBy. What is left are anchors
+run is its region; the long runs of periodic text are cut, so that a region has at most 368 bytes. Regions that are equal as a whole are counted with a groupBy. What is left are anchors
 with several different regions: their windows may or may not be shared. Their regions (each once) go to
 the partition of their anchor. There, shards of them are sorted and transformed one by one, and the
 transforms of all shards are merged: an interleave of all suffixes starts in one interval and is refined
@@ -189,6 +189,14 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
 
 
+def _cut_runs(first: np.ndarray, last: np.ndarray, anchors: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of at most ``STARTS`` windows; only in periodic text are there longer ones. Each window stays in one run."""
+    parts = (last - first) // STARTS + 1
+    row = np.repeat(np.arange(len(first)), parts)
+    start = first[row] + STARTS * (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
+    return start, np.minimum(start + STARTS - 1, last[row]), anchors[row], twice[row]
+
+
 def region_rows(keyed: DataFrame) -> DataFrame:
     """(doc_id, text_hash, anchor, region, first, last, twice): a row for each run; ``region`` hashes its text."""
     import xxhash
@@ -199,7 +207,7 @@ def region_rows(keyed: DataFrame) -> DataFrame:
         def step(batch):
             rows, out = [], [[], [], [], [], []]
             for i, text in enumerate(as_bytes(batch.column(2))):
-                first, last, anchors, twice = runs(text)
+                first, last, anchors, twice = _cut_runs(*runs(text))
                 rows.append(np.full(len(first), i))
                 hashed = np.fromiter((digest(text[a: b + WINDOW]) for a, b in zip(first.tolist(), last.tolist(), strict=True)), np.uint64, len(first))
                 for column, values in zip(out, (anchors.view(np.int64), hashed.view(np.int64), first, last, twice), strict=True):

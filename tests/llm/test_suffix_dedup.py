@@ -39,6 +39,19 @@ def test_same_as_brute_force(spark, crowd):
             assert all(a.stop < b.start for a, b in zip(r.removed, r.removed[1:]))
 
 
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 1])
+def test_regions_of_periodic_text_are_bounded(spark, crowd):
+    rng = random.Random(9)
+    texts = [prose(rng, 20) + "-" * n + prose(rng, 20) for n in (150, 230, 700, 1900)] + ["abc " * 300 + "end", "bc a" * 250, "ab cd ef " * 90, prose(rng, 300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = [r.last - r.first + suffix_dedup.WINDOW for r in suffix_dedup.region_rows(suffix_dedup._keyed(frame, "doc_id", "text")).collect()]
+    assert max(sizes) < 2 * suffix_dedup.WINDOW
+    for some in (texts, texts[:3], texts[3:4], texts[4:5]):
+        found = suffix_dedup.without_repeats(frame.filter(frame.text.isin(some)), crowd=crowd).collect()
+        got = [(r.n_bytes, sum(s.stop - s.start for s in r.removed), bytes(r.kept)) for r in sorted(found, key=lambda r: r.doc_id)]
+        assert got == plain([t.encode() for t in some])
+
+
 def test_shards_merge_like_one(monkeypatch):
     rng = random.Random(5)
     base = [prose(rng, 80).encode() for _ in range(12)]
