@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import chat, classifier, decontaminate, licences, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_files
+from . import chat, classifier, decontaminate, jaccard, licences, mixing, periodic_runs, prefix_trie, quality_rules, simhash, suffix_dedup, token_counts, token_files
+from .common import space_words, table
 from .license_texts import known
-from .common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -183,3 +183,92 @@ SQL["op10_decontaminate"] = """
            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.words) AS contaminated
     FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op11_jaccard(spark, folder):
+    found = jaccard.similar_sets(table(spark, folder, "documents"), shingle=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+_SPACES = "[\\x20\\x09-\\x0D]+"
+SQL["op11_jaccard"] = f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '{_SPACES}'), lambda w: w <> '') AS words FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(words, p, p + least(4, len(words)) - 1), ' ') AS g
+          FROM d, UNNEST(range(1, greatest(1, len(words) - 3) + 1)) AS t(p) WHERE len(words) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@query
+def op12_prefix_trie(spark, folder):
+    turns = prefix_trie.numbered(table(spark, folder, "conversations"))
+    ids = table(spark, folder, "conversations").filter("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    heads = ids.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), (F.crc32(F.col("conv_id").cast("string")) % 9).alias("shared"))
+    return prefix_trie.trie(prefix_trie.with_shared_beginnings(turns, heads, most=8), ids)
+
+
+SQL["op12_prefix_trie"] = """
+    WITH crc_table AS (
+        SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+        FROM range(256) AS r(b)),
+    own AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base,
+               xor(list_reduce([ord(x) for x in string_split(CAST(conv_id AS VARCHAR), '')],
+                   lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM own), crc_table),
+    rebuilt AS (
+        SELECT c.conv_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY pos) AS d, role, text
+        FROM convs c JOIN own o ON (o.conv_id = c.base AND pos <= h) OR (o.conv_id = c.conv_id AND pos > h)),
+    path AS (
+        SELECT conv_id, d, sha256(array_to_string(list(sha256(strlen(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d), '')) AS node, strlen(text) AS bytes
+        FROM rebuilt UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+    placed AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY d) AS parent, d = max(d) OVER (PARTITION BY conv_id) AS ends FROM path),
+    node AS (
+        SELECT node, min(conv_id) AS conv_id, min(d) AS depth, min(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS own,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM placed GROUP BY node),
+    kids AS (SELECT parent AS node, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+    totals AS (
+        SELECT p.node, count(*) FILTER (k.n IS NULL) AS n_leaves, CAST(sum(x.own) AS BIGINT) AS saved_tokens
+        FROM node x JOIN path p ON p.conv_id = x.conv_id AND p.d <= x.depth LEFT JOIN kids k ON k.node = x.node GROUP BY p.node)
+    SELECT x.conv_id, x.depth, above.conv_id AS parent_conv_id, x.n_convs, coalesce(k.n, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256
+    FROM node x JOIN totals USING (node) LEFT JOIN kids k USING (node) LEFT JOIN node above ON above.node = x.parent
+"""
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """Texts of documents whose hash ends in 0 go on from some word with a period; the others stay as they are."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    turn = F.floor(hashed / 10)
+    rows = docs.select("doc_id", "text", hashed.alias("h"), turn.alias("g"), F.when(hashed % 10 == 0, space_words("text")).alias("words"))
+    n = F.size("words").cast("long")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n))
+    p = F.lit(1).cast("long") + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.withColumn("p", p)
+    cycle = F.flatten(F.array_repeat(F.expr("slice(words, int(a) + 1, int(p))"), F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    tail = F.slice(cycle, F.lit(1), (n - F.col("a")).cast("int"))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    found = periodic_runs.find_runs(_made_periodic(table(spark, folder, "documents")))
+    best = F.col("strongest")
+    line = lambda r: F.concat_ws(",", *(r[n].cast("string") for n in ("start", "length", "period")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+                        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
