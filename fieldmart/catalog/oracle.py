@@ -712,17 +712,26 @@ SELECT {_order}, {_booked}, {_v('o_custkey')} AS client_id, 'Client ' || o_custk
   o_custkey || '; 7' AS "guests_userIds", 'BR; BR' AS guests_nationalities FROM orders
 """)
 query("travel_fatura", "", f"""
-SELECT {_v('o_orderkey')} AS id, o_totalprice / 100 AS amount, o_orderstatus = 'F' AS closed,
-  '[{{"line":' || o_orderkey || ',"note":"' || o_orderpriority || '"}},{{"line":2,"note":null}}]' AS details FROM orders
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice / 100 END AS amount,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE {_v("(o_orderstatus = 'F')")} END AS closed,
+  CASE WHEN o_orderkey % 13 = 0 THEN '{{"customer":' || o_custkey || ',"note":"' || o_orderpriority || '"}}' END AS rare,
+  '[{{"line":' || o_orderkey || ',"note":"' || CASE WHEN o_orderkey % 11 = 0 THEN {_v('o_custkey')} ELSE o_orderpriority END
+    || '"}},{{"line":2,"note":null}}]' AS details FROM orders
 """)
 query("travel_creditos", "", f"""
-SELECT {_v('s_suppkey')} AS id, s_name AS name, '2024-01-01' AS "createdAt", '2024-01-02' AS "updatedAt", c.id AS "credit.id",
-  CASE WHEN c.id IS NOT NULL THEN s_acctbal END AS "credit.totalAmount", c.d AS "credit.description",
-  CASE WHEN c.id IS NOT NULL THEN s_name END AS "credit.user"
+SELECT s_suppkey AS id, s_name AS name, '2024-01-01' AS "createdAt", '2024-01-02' AS "updatedAt", c.id AS "credit.id",
+  CASE WHEN c.id IS NOT NULL THEN CASE WHEN s_suppkey % 3 = 0 THEN 'R$ ' || s_acctbal ELSE regexp_replace({_v('s_acctbal')}, '[.]0$', '') END END AS "credit.totalAmount", c.d AS "credit.description",
+  CASE WHEN c.id IS NOT NULL THEN CASE WHEN s_suppkey % 3 = 0 THEN '{{"name":"' || s_name || '","team":' || s_nationkey || '}}' ELSE s_name END END AS "credit.user"
 FROM (SELECT *, unnest(CASE WHEN s_acctbal > 0 THEN
         [{{'id': {_v('s_suppkey')}, 'd': 'first'}}, {{'id': {_v('s_suppkey')}, 'd': 'first'}},
          {{'id': 'b' || s_suppkey, 'd': NULL}}] ELSE [{{'id': NULL, 'd': NULL}}] END) AS c FROM supplier)
 """)
+query("damaged_page_rows", "", """
+SELECT style, kind, id FROM (
+  SELECT 'read' AS kind, c_custkey AS id FROM customer WHERE c_custkey // 20 % 7 <> 3
+  UNION ALL SELECT 'quarantine', min(c_custkey) FROM customer WHERE c_custkey // 20 % 7 = 3 GROUP BY c_custkey // 20),
+  (VALUES ('offset'), ('numbered'), ('content')) AS s(style)
+""")
 
 # --- functions ----------------------------------------------------------------------------------------
 

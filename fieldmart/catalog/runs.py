@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from ..streaming import created, once, sessions
 from ..streaming import reconciliation as streamed
 from . import inputs as i
 from .scratch import work_folder
-from .travel_inputs import CREDIT, INVOICE, feed_records, land_pages
+from .travel_inputs import feed_records, land_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUNS: dict[str, Query] = {}
@@ -317,7 +318,32 @@ def token_similarity(t):
 
 @query
 def call_log_rows(t):
-    return text_rows(call_log.call_log(_landed(t, i.call_records(t), "content"), i.EVENTS_AS_OF))
+    path = work_folder(t.spark, "calls")
+    rows = i.call_records(t)
+    land_pages(rows, path, "content")
+    return text_rows(call_log.call_log(call_log.call_records(t.spark, path, one_per_line=True, record=rows.schema), i.EVENTS_AS_OF))
+
+
+@query
+def damaged_page_rows(t):
+    """Pages of customers in each style, every seventh cut off in its middle: ids of the records that are read, and the
+    first id of each page in the quarantine."""
+    found = []
+    for style in ("offset", "numbered", "content"):
+        path = work_folder(t.spark, f"damaged-{style}")
+        rows = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+        listed = rows.groupBy(F.floor(F.col("id") / 20).alias("page")).agg(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("data"))
+        meta = F.struct(F.struct(F.col("page").alias("current_page")).alias("pagination"))
+        page = {"offset": F.struct("data"), "numbered": F.struct("data", meta.alias("meta")),
+                "content": F.struct(F.col("page").alias("pagina"), F.col("data").alias("content"))}[style]
+        whole = F.to_json(page)
+        cut = F.when(F.col("page") % 7 == 3, F.substring(whole, F.lit(1), (F.length(whole) / 2).cast("int"))).otherwise(whole)
+        listed.select(cut.alias("value")).write.text(path)
+        read = pages.read_pages(t.spark, path, rows.schema, style, one_per_line=True)
+        first = F.regexp_extract("text", r'"id":(\d+)', 1).cast("long").alias("id")
+        found += [pages.records(read, refuse=False).select(F.lit(style).alias("style"), F.lit("read").alias("kind"), "id"),
+                  pages.damaged_pages(read).select(F.lit(style).alias("style"), F.lit("quarantine").alias("kind"), first)]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -359,7 +385,7 @@ def _travel(feed: str) -> None:
         """The feed landed as pages with many records, read with its guards, at full width."""
         path = work_folder(t.spark, f"travel-{feed}")
         land_pages(feed_records(t, feed), path, "numbered")
-        return travel.travel_tables(t.spark, {feed: path}, {"fatura": INVOICE, "creditos": CREDIT}, one_per_line=True)[feed]
+        return travel.travel_tables(t.spark, {feed: path}, one_per_line=True)[feed]
 
     run.__name__ = f"travel_{feed}"
     query(run)
@@ -712,10 +738,13 @@ def stream_session_pairing(t):
 
 # --- the write side -------------------------------------------------------------------------------------
 
-def _table(t, rows: DataFrame, path: str) -> str:
-    """A catalog table of the rows, in a folder of the run."""
+def _table(t, rows: DataFrame, path: str, column: str | None = None) -> str:
+    """A catalog table of the rows, in a folder of the run, partitioned by the column if there is one."""
     name = f"t_{path.rsplit('-', 1)[1]}"
-    tables.switch_table(t.spark, name, rows, path)
+    if column:
+        tables.create_partitioned(t.spark, name, rows, column, f"{path}/table")
+    else:
+        tables.switch_table(t.spark, name, rows, path)
     return name
 
 
@@ -737,12 +766,13 @@ def committed_alerts(t):
 
 @query
 def upserted_table(t):
-    """The calendar merge on a stored table."""
+    """The calendar merge on a stored table with a partition for each year."""
     path = work_folder(t.spark, "upsert")
-    name = _table(t, i.fx_table(t), path)
-    rows = exchange_rates.fx_calendar(t.spark.table(name), _quote(t), i.FX_AS_OF, repair_attributes=True)
-    tables.upsert_table(t.spark, name, rows.withColumn("CotacaoGBP", F.col("CotacaoGBP") * 2), "Data", path)
-    return text_rows(t.spark.table(name))
+    year = F.year("Data").alias("year")
+    name = _table(t, i.fx_table(t).select("*", year), path, "year")
+    rows = exchange_rates.fx_calendar(t.spark.table(name).drop("year"), _quote(t), i.FX_AS_OF, repair_attributes=True)
+    tables.upsert_table(t.spark, name, rows.withColumn("CotacaoGBP", F.col("CotacaoGBP") * 2).select("*", year), "Data", path)
+    return text_rows(t.spark.table(name).drop("year"))
 
 
 @query
@@ -757,13 +787,13 @@ def appended_absent(t):
 
 @query
 def replaced_trailing(t):
-    """The trailing days of the stored metrics replaced by fresh ones."""
+    """The trailing days of the stored metrics, a partition each, replaced by fresh ones."""
     path = work_folder(t.spark, "trailing")
-    name = _table(t, i.stored_metrics(t), path)
+    name = _table(t, i.stored_metrics(t), path, "data")
     start = dt.date.fromisoformat(i.EVENTS_AS_OF) - dt.timedelta(days=2)
     fresh = _metrics(t).filter(F.col("data") >= F.lit(start))
     tables.replace_trailing(t.spark, name, fresh, "data", start, path)
-    return t.spark.table(name)
+    return t.spark.table(name).select(*i.stored_metrics(t).columns)
 
 
 def _csv_back(t, **form) -> DataFrame:

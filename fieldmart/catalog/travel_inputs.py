@@ -6,9 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..sources.schemas import TEXT, struct
 from .inputs import Tables, text
 
 
@@ -41,7 +39,7 @@ def land_pages(rows: DataFrame, path: str, style: str, per_page: int = 500) -> N
     total = rows.count()
     n = max(1, math.ceil(total / per_page))
     record = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    filled = rows.select(record.alias("r"), (F.pmod(F.xxhash64(record), F.lit(n)) + 1).alias("page")).groupBy("page").agg(F.collect_list("r").alias("data"))
+    filled = rows.select(record.alias("r"), (F.pmod(F.xxhash64(F.to_json(record)), F.lit(n)) + 1).alias("page")).groupBy("page").agg(F.collect_list("r").alias("data"))
     every = rows.sparkSession.range(1, n + 1).withColumnRenamed("id", "page").join(filled, "page", "left")
     data = F.coalesce("data", F.array().cast(filled.schema["data"].dataType))
     if style == "content":
@@ -54,13 +52,12 @@ def land_pages(rows: DataFrame, path: str, style: str, per_page: int = 500) -> N
     every.select(F.to_json(page).alias("value")).write.text(path)
 
 
-INVOICE = struct(id=TEXT, amount=TEXT, description=TEXT, invoicedCompany=TEXT,
-                 details=T.ArrayType(struct(line=T.LongType(), note=TEXT)), closed=T.BooleanType())
-CREDIT = struct(
-    id=TEXT, name=TEXT, createdAt=TEXT, updatedAt=TEXT,
-    credits=struct(data=T.ArrayType(struct(
-        id=TEXT, totalAmount=T.DoubleType(), description=TEXT, user=TEXT,
-        data=T.ArrayType(struct(kind=TEXT))))))
+def either(number: str, kinds: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    """A value whose JSON kind differs from record to record: the first kind whose condition on the number holds."""
+    value = F.to_json(F.struct(otherwise.alias("v")))
+    for holds, kind in reversed(kinds):
+        value = F.when(holds, F.to_json(F.struct(kind.alias("v")))).otherwise(value)
+    return F.when(F.col(number).isNotNull(), F.variant_get(F.parse_json(value), "$.v", "variant"))
 
 
 def _order_base() -> dict:
@@ -130,18 +127,26 @@ def feed_records(t: Tables, feed: str) -> DataFrame:
             approvalFlowHistory={"data": [{"actionLabel": F.lit("Asked"), "date": F.date_format("o_orderdate", "yyyy-MM-dd")},
                                           {"actionLabel": none(), "date": none()}]},
             guests={"data": _person("Guest", nationality=F.lit("BR"))})
-    if feed == "fatura":
+    if feed == "fatura":  # fields of unlike kinds, and one that few records have
+        def every(n: int) -> Column:
+            return F.col("o_orderkey") % n == 0
+
         return as_records(
-            t.orders, id="o_orderkey", amount="o_totalprice", description=F.lit("d"), invoicedCompany=F.lit("c"),
-            closed=F.col("o_orderstatus") == "F",
-            details=[{"line": "o_orderkey", "note": F.col("o_orderpriority")},
-                     {"line": F.lit(2).cast("bigint"), "note": none()}])
+            t.orders, id="o_orderkey", description=F.lit("d"), invoicedCompany=F.lit("c"),
+            amount=either("o_orderkey", [(every(7), F.lit("n/a")), (every(3), text("o_totalprice"))], F.col("o_totalprice")),
+            closed=either("o_orderkey", [(every(5), F.col("o_orderstatus"))], F.col("o_orderstatus") == "F"),
+            rare=F.when(every(13), F.struct(F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("note"))),
+            details=[{"line": "o_orderkey", "note": either("o_orderkey", [(every(11), F.col("o_custkey"))], F.col("o_orderpriority"))},
+                     {"line": F.lit(2).cast("bigint"), "note": F.lit(None).cast("variant")}])
     if feed == "creditos":
         moves = [{"kind": F.lit("in")}, {"kind": F.lit("out")}]
+        third = F.col("s_suppkey") % 3 == 0
+        amount = either("s_suppkey", [(third, F.concat(F.lit("R$ "), text("s_acctbal")))], F.col("s_acctbal"))
+        user = either("s_suppkey", [(third, F.struct(F.col("s_name").alias("name"), F.col("s_nationkey").alias("team")))], F.col("s_name"))
         credit = F.array(
-            nest(id=text("s_suppkey"), totalAmount="s_acctbal", description=F.lit("first"), user="s_name",
+            nest(id=text("s_suppkey"), totalAmount=amount, description=F.lit("first"), user=user,
                  data=F.array(*[_value(m) for m in moves])),
-            nest(id=F.concat(F.lit("b"), text("s_suppkey")), totalAmount="s_acctbal", description=none(), user="s_name",
+            nest(id=F.concat(F.lit("b"), text("s_suppkey")), totalAmount=amount, description=none(), user=user,
                  data=F.array(*[_value(m) for m in moves[:1]])))
         return as_records(t.supplier, id="s_suppkey", name="s_name", createdAt=F.lit("2024-01-01"), updatedAt=F.lit("2024-01-02"),
                         credits={"data": F.when(F.col("s_acctbal") > 0, credit)})

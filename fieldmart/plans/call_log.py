@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casts import day_text, moment, try_stamp
 from ..functions.text import listed_text
 from ..operators.aggregates import freshness
+from ..operators.quality import require_complete
+from ..sources.pages import read_pages, records
+from ..sources.schemas import CALL
 
 # The flattened attributes, and the two that are renamed in the table.
 ATTENDANCE = ("tipo", "tempoEspera", "tempoAtendimento", "atendidaAte60Seg", "desistenciaAte60Seg",
@@ -17,6 +21,11 @@ RENAMED = {"tempoEspera": "tempoEspera_ms", "tempoAtendimento": "tempoAtendiment
 NESTED = ("atendimento", "interlocutor", "csv")
 
 
+def call_records(spark: SparkSession, path: str, one_per_line: bool = False, record: T.StructType = CALL) -> DataFrame:
+    """The call records of all landed pages; refused when a page is damaged or one of the declared pages is missing."""
+    return records(require_complete(read_pages(spark, path, record, "content", one_per_line), "calls"))
+
+
 def call_log(calls: DataFrame, as_of, fix_cpf: bool = False) -> DataFrame:
     """Header fields, seven attendance lists, eight caller fields and the load date.
 

@@ -19,7 +19,7 @@ from ..operators.filters import drop_existing, select_existing
 from ..operators.nested import (explode_ids, explode_structs, flatten_all, joined, joined_field,
                                 joined_pairs, text_or_blank, to_plain_cells)
 from ..operators.quality import require_complete, require_rows
-from ..sources.pages import read_pages, records
+from ..sources.pages import open_pages, read_pages, records
 from ..sources.schemas import TEXT, travel_type
 
 
@@ -298,12 +298,15 @@ def travel_table(feed: str, df: DataFrame) -> DataFrame:
 def travel_tables(spark: SparkSession, folders: dict[str, str],
                   schemas: dict[str, T.StructType] | None = None,
                   one_per_line: bool = False) -> dict[str, DataFrame]:
-    """All given feeds from their landed page folders, refused when pages are missing or a feed is
-    empty. ``schemas`` must name the record schema of ``fatura`` and ``creditos``, which have no
-    fixed field list."""
+    """All given feeds from their landed page folders, refused when pages are damaged or missing or a feed
+    is empty. ``fatura`` and ``creditos`` have no fixed field list: their fields are those that the pages
+    hold, unless ``schemas`` names a record schema."""
     tables = {}
     for feed, path in folders.items():
-        schema = (schemas or {}).get(feed) or record_schema(feed)
-        pages = require_complete(read_pages(spark, path, schema, "numbered", one_per_line), feed)
-        tables[feed] = require_rows(travel_table(feed, records(pages)), feed)
+        schema = (schemas or {}).get(feed) or (record_schema(feed) if feed in FEEDS else None)
+        if schema is None:
+            pages = open_pages(spark, path, "numbered", one_per_line)
+        else:
+            pages = read_pages(spark, path, schema, "numbered", one_per_line)
+        tables[feed] = require_rows(travel_table(feed, records(require_complete(pages, feed))), feed)
     return tables

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from fieldmart.operators import nested
 from fieldmart.operators.quality import IncompleteData
-from fieldmart.plans import travel
+from fieldmart.plans import call_log, travel
 from fieldmart.sources import pages, schemas, tables
 
 
@@ -142,3 +142,62 @@ def test_jdbc_options():
     assert options["dbtable"] == "(SELECT 1 AS id) AS q" and options["numPartitions"] == "4"
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:postgresql://host/d", {}, table="t", query="q")
+
+
+RECORD = T.StructType([T.StructField("id", T.LongType()), T.StructField("ok", T.BooleanType())])
+WHOLE = {"offset": '{{"data":[{0}]}}', "numbered": '{{"data":[{0}],"meta":{{"pagination":{{"current_page":1,"total_pages":1,"total":2}}}}}}',
+         "content": '{{"pagina":1,"content":[{0}],"totalPaginas":1}}'}
+TWO = '{"id":1,"ok":true},{"id":2,"ok":"odd"}'
+
+
+@pytest.mark.parametrize("style", list(WHOLE))
+@pytest.mark.parametrize("form", ["files", "lines", "cells"])
+def test_no_record_of_a_damaged_page_is_lost_without_a_word(spark, tmp_path, style, form):
+    """Cut off, no JSON, no list: an error that names the page, or a row with its whole text in the quarantine."""
+    whole = WHOLE[style].format(TWO)
+    bad = [whole[:-15] if style == "content" else whole[: whole.index(',{"id":2') + 5], "<html>busy</html>", WHOLE[style].format("5"),
+           WHOLE[style].replace("[{0}]", '"oops"').format(""), '{"data":']
+    texts = [whole, *bad, WHOLE[style].format("")]
+    if form == "cells":
+        lines = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+        read = pages.parse_pages(lines, "t", RECORD, style, F.lit("cells"))
+    elif form == "lines":
+        (tmp_path / "all").write_text("\n".join(texts))
+        read = pages.read_pages(spark, str(tmp_path), RECORD, style, one_per_line=True)
+    else:
+        for n, t in enumerate(texts):
+            (tmp_path / f"{n}.json").write_text(t)
+        read = pages.read_pages(spark, str(tmp_path), RECORD, style)
+    assert sorted(r["text"] for r in pages.damaged_pages(read).collect()) == sorted(bad)
+    assert all(r["file"] for r in pages.damaged_pages(read).collect())
+    assert sorted(tuple(r) for r in pages.records(read, refuse=False).collect()) == [(1, True), (2, None)]
+    with pytest.raises(Exception, match="damaged page in"):
+        pages.records(read).collect()
+
+
+def test_schema_of_open_feeds_comes_from_all_pages(spark, tmp_path):
+    for n, records in enumerate((
+            '{"id":1,"amount":12.5,"who":{"a b":1,"more":[1]},"none":null,"big":1,"list":[{"x":1}]}',
+            '{"id":2,"amount":"n/a","who":{"a b":"t"},"late":true,"big":123456789012345678901,"list":[{"y":"z"}]}',
+            '{"id":2.5,"amount":{"v":1,"w":[2]},"empty":{}}', "")):
+        (tmp_path / f"{n}.json").write_text('{"data":[' + records + "]}")
+    (tmp_path / "cut.json").write_text('{"data":[{"id":')
+    read = pages.open_pages(spark, str(tmp_path))
+    assert [r["text"] for r in pages.damaged_pages(read).collect()] == ['{"data":[{"id":']
+    got = pages.records(read, refuse=False)
+    assert dict(got.dtypes) == {"id": "double", "amount": "string", "who": "struct<a b:string,more:array<bigint>>", "none": "string", "big": "decimal(21,0)",
+                                "list": "array<struct<x:bigint,y:string>>", "late": "boolean", "empty": "string"}
+    assert {r["id"]: r["amount"] for r in got.collect()} == {1.0: "12.5", 2.0: "n/a", 2.5: '{"v":1,"w":[2]}'}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "0.json").write_text('{"data":[]}')
+    assert pages.records(pages.open_pages(spark, str(tmp_path / "none"))).columns == []
+
+
+def test_calls_need_all_declared_pages(spark, tmp_path):
+    page = '{"pagina":%d,"content":[{"id":"c%d","midia":"voz"}],"totalPaginas":3}'
+    for n in (1, 3):
+        (tmp_path / f"{n}.json").write_text(page % (n, n))
+    with pytest.raises(IncompleteData, match="1 missing pages"):
+        call_log.call_records(spark, str(tmp_path))
+    (tmp_path / "2.json").write_text(page % (2, 2))
+    assert sorted(r["id"] for r in call_log.call_records(spark, str(tmp_path)).collect()) == ["c1", "c2", "c3"]

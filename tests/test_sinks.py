@@ -109,3 +109,53 @@ def test_work_folder_follows_the_session(spark):
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
     if named:
         assert first.startswith(named.rstrip("/") + "/a-")
+
+
+def files(path):
+    return {str(p): (p.stat().st_mtime_ns, p.stat().st_ino) for p in Path(path).rglob("part-*")}
+
+
+def test_upsert_touches_only_the_partitions_of_its_keys(spark, tmp_path, rows):
+    base, name = str(tmp_path / "fx"), "fx_parts"
+    start = spark.createDataFrame([(n, float(n), "x", n // 10) for n in range(50)], "k int, v double, note string, part int")
+    tables.create_partitioned(spark, name, start, "part", f"{base}/table")
+    try:
+        before = files(f"{base}/table")
+        assert len({f.rsplit("/", 2)[1] for f in before}) == 5
+        changed = spark.createDataFrame([(12, -1.0, 1), (13, None, 1), (99, 9.0, 9)], "k int, v double, part int")
+        own = spark.table(name).filter("k = 15").selectExpr("k", "v * 100 AS v", "part")  # reads what it replaces
+        for _ in range(2):
+            tables.upsert_table(spark, name, changed.union(own), "k", base)
+            own = spark.createDataFrame([], own.schema)
+        after = files(f"{base}/table")
+        assert {f for f in before if "part=1/" not in f} == {f for f in after if "part=1/" not in f and "part=9/" not in f}
+        assert all(after[f] == before[f] for f in before if "part=1/" not in f)
+        got = {r["k"]: (r["v"], r["note"], r["part"]) for r in spark.table(name).collect()}
+        assert got == {**{n: (float(n), "x", n // 10) for n in range(50)}, 12: (-1.0, "x", 1), 15: (1500.0, "x", 1), 99: (9.0, None, 9)}
+        tables.upsert_table(spark, name, changed.limit(0), "k", base)
+        assert files(f"{base}/table") == after and sorted(p.name for p in Path(base).iterdir()) == ["table"]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_trailing_days_leave_history_alone(spark, tmp_path, rows):
+    base, name = str(tmp_path / "days"), "metric_days"
+    stored = spark.createDataFrame([(n, DAY + dt.timedelta(days=n)) for n in (0, 1, 2, 3, 5)] + [(77, DAY)], "n int, data date")
+    tables.create_partitioned(spark, name, stored, "data", f"{base}/table")
+    try:
+        before = files(base)
+        start = DAY + dt.timedelta(days=2)
+        fresh = spark.createDataFrame([(30, DAY + dt.timedelta(days=3)), (60, DAY + dt.timedelta(days=6))], "n int, data date")
+        expected = rows(tables.replace_window(stored, fresh, "data", start))
+        for _ in range(2):
+            tables.replace_trailing(spark, name, fresh, "data", start, base)
+            assert rows(spark.table(name)) == expected
+            assert before.items() <= files(base).items()  # not one old file was written again
+            assert tables.partition_values(spark, name) == [str(DAY + dt.timedelta(days=n)) for n in (0, 1, 3, 6)]
+        own = spark.table(name).filter("n = 60").selectExpr("n + 1 AS n", "data")
+        tables.replace_trailing(spark, name, own, "data", start, base)
+        assert [r["n"] for r in spark.table(name).orderBy("n").collect()] == [0, 1, 61, 77]
+        tables.replace_trailing(spark, name, fresh.limit(0), "data", DAY, base)
+        assert spark.table(name).isEmpty()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
