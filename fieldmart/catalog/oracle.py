@@ -235,6 +235,10 @@ part("newpairs", """
 SELECT * FROM pairs WHERE NOT ("StatusInstalacaoCRM_EAF" = '1-URGENT' AND year("CriacaoCRM_EAF") = 1998)
 """)
 query("duplicate_order_pairs", "pairs", "SELECT * FROM pairs")
+query("crowded_people", "pairs", """
+SELECT "CPF_Fresh" AS person, CAST(count(DISTINCT "OsFresh") AS BIGINT) AS n_legacy, count(DISTINCT "OsCRM_EAF") AS n_orders
+FROM pairs GROUP BY 1 HAVING count(DISTINCT "OsFresh") * count(DISTINCT "OsCRM_EAF") > 8
+""")
 query("new_duplicate_pairs", "pairs newpairs", "SELECT * FROM newpairs")
 query("pair_once_capped", "pairs newpairs", 'SELECT * FROM newpairs ORDER BY "OsFresh", "OsCRM_EAF" LIMIT 11')
 query("duplicate_run", "pairs newpairs", """

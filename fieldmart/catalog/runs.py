@@ -127,6 +127,12 @@ def pair_once_capped(t):
     return duplicate_orders.new_duplicates(_pairs(t), i.pair_ledger(t), n=11)
 
 
+@query
+def crowded_people(t):
+    """Person ids with more than eight pairs."""
+    return duplicate_orders.crowded_people(i.legacy_tickets(t), i.crm_orders(t), order_prefix="199", most_pairs=8)
+
+
 @query
 def duplicate_run(t):
     new = duplicate_orders.new_duplicates(_pairs(t), i.pair_ledger(t))
@@ -631,10 +637,7 @@ def guarded_rows(t):
 @query
 def csv_report_rows(t):
     """Pending orders written as a report and read back."""
-    path = work_folder(t.spark, "csv")
-    reports.csv_report(pending_orders.pending_orders(i.order_documents(t), i.ORDERS_AS_OF), path)
-    back = t.spark.read.option("header", True).option("sep", ";").option("escape", '"').csv(path)
-    return back.toDF(*[c.lstrip(reports.BOM) for c in back.columns])
+    return _csv_back(t)
 
 
 @query
@@ -705,7 +708,7 @@ def stream_created_per_day(t):
     path = work_folder(t.spark, "created")
     counted = created.created_per_day(_stream(t, "events"), "ts", ["event_type"])
     _run(counted.writeStream.outputMode("update").foreachBatch(created.created_sink(f"{path}/out", ["event_type"])), f"{path}/checkpoint")
-    return created.latest_counts(t.spark.read.parquet(f"{path}/out"), ["event_type"])
+    return created.latest_counts(created.written_counts(t.spark, f"{path}/out"), ["event_type"])
 
 
 @query
@@ -713,7 +716,7 @@ def stream_alert_once(t):
     path = work_folder(t.spark, "once")
     rows = _stream(t, "events").select("user_id", "event_type")
     _run(rows.writeStream.foreachBatch(once.once_sink(f"{path}/ledger", ["user_id", "event_type"])), f"{path}/checkpoint")
-    return t.spark.read.parquet(f"{path}/ledger").drop("batch_no", "bucket")
+    return once.read_ledger(t.spark, f"{path}/ledger", rows.schema)
 
 
 @query
@@ -797,10 +800,9 @@ def replaced_trailing(t):
 
 
 def _csv_back(t, **form) -> DataFrame:
-    path = work_folder(t.spark, "csv")
-    reports.csv_report(pending_orders.pending_orders(i.order_documents(t), i.ORDERS_AS_OF), path, **form)
-    back = t.spark.read.option("header", True).option("sep", form.get("sep", ";")).option("escape", '"').csv(path)
-    return back.toDF(*[c.lstrip(reports.BOM) for c in back.columns])
+    path, rows = work_folder(t.spark, "csv"), pending_orders.pending_orders(i.order_documents(t), i.ORDERS_AS_OF)
+    reports.csv_report(rows, path, **form)
+    return reports.read_csv_report(t.spark, path, rows.columns, form.get("sep", ";"))
 
 
 @query

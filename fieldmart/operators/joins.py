@@ -59,6 +59,39 @@ def keys_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = N
     return df.join(listed, key, "left_semi")
 
 
+KEYS_PUSHED = 5_000
+
+
+def only_keys(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str | None = None, pushed: int = KEYS_PUSHED) -> DataFrame:
+    """Rows of a large table whose key is among a few wanted ones.
+
+    Up to ``pushed`` distinct keys become a list in the scan's filter, so files and row groups without any of them
+    (by their least and greatest key, or Bloom filter) are not read. More keys go through a semi join. Both have the
+    same rows. Null keys match nothing. The wanted keys are computed at once.
+    """
+    column = wanted.schema[wanted_key or key].dataType
+    keys = wanted.select(F.col(wanted_key or key).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    first = [r[0] for r in keys.limit(pushed + 1).collect()]  # bounded
+    if len(first) > pushed or column != df.schema[key].dataType:  # a cast would not reach the scan
+        return df.join(keys, key, "left_semi")
+    return df.filter(F.col(key).isin(first))
+
+
+def crowded_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int) -> DataFrame:
+    """``key, n_left, n_right`` of the keys whose rows on both sides would make more than ``most`` pairs.
+
+    Counted before anything is joined: one combined aggregate on each side, no pair is made.
+    """
+    a = left.filter(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias("key")).agg(F.count(F.lit(1)).alias("n_left"))
+    b = right.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias("key")).agg(F.count(F.lit(1)).alias("n_right"))
+    return a.join(b, "key").filter(F.col("n_left").cast("decimal(20,0)") * F.col("n_right") > most)
+
+
+def without_keys(df: DataFrame, key: str, crowded: DataFrame) -> DataFrame:
+    """Rows whose key is not among the crowded ones; rows without a key stay."""
+    return df.join(crowded.select(F.col("key").alias("_crowded")), F.col(key) == F.col("_crowded"), "left_anti")
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str,
               order: Sequence[str], small_left: bool = False) -> DataFrame:
     """Compares every left row with the first right row of its key.

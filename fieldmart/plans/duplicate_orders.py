@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_filled, postal_key
 from ..operators.filters import not_listed
-from ..operators.joins import anti_join
+from ..operators.joins import anti_join, crowded_keys, without_keys
 from .demand_alerts import run_record
 
 # Vocabulary of both systems.
@@ -22,12 +22,13 @@ ORDER_PREFIX, CANCELLED_PREFIX = "2025", "CANCELLED"
 PAIR = ("OsFresh", "OsCRM_EAF")
 
 
-def duplicate_orders(ticket: DataFrame, crm: DataFrame, groups: DataFrame, cities: DataFrame,
-                     postal: DataFrame, order_prefix: str = ORDER_PREFIX) -> DataFrame:
-    """Every (legacy ticket, new order) pair of one person, with installer, city phase and city code.
+# Pairs that one person may make. A person has a handful of orders; a placeholder (blank, 000...) can stand on
+# any number of rows of both systems.
+MOST_PAIRS = 10_000
 
-    Both sides are filtered and cut to the needed columns before they meet on the person.
-    """
+
+def _sides(ticket: DataFrame, crm: DataFrame, order_prefix: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides, filtered and cut to the needed columns."""
     legacy = ticket.filter(
         F.col("Status").isin(*CLOSED) & not_listed("MotivodocontatoInstalação", EXCLUDED_REASONS)
         & (F.col("StatusdaInstalação") == DONE)
@@ -50,6 +51,27 @@ def duplicate_orders(ticket: DataFrame, crm: DataFrame, groups: DataFrame, citie
         F.col("customer_cpf").alias("_person"), F.col("customer_ibge").alias("_ibge"),
         postal_key("customer_postal_code").alias("_postal"),
     )
+    return legacy, orders
+
+
+def crowded_people(ticket: DataFrame, crm: DataFrame, order_prefix: str = ORDER_PREFIX, most_pairs: int = MOST_PAIRS) -> DataFrame:
+    """``person, n_legacy, n_orders`` of the person ids that ``duplicate_orders`` leaves out and somebody has to look at."""
+    legacy, orders = _sides(ticket, crm, order_prefix)
+    found = crowded_keys(legacy, orders, "CPF_Fresh", "_person", most_pairs)
+    return found.select(F.col("key").alias("person"), F.col("n_left").alias("n_legacy"), F.col("n_right").alias("n_orders"))
+
+
+def duplicate_orders(ticket: DataFrame, crm: DataFrame, groups: DataFrame, cities: DataFrame, postal: DataFrame,
+                     order_prefix: str = ORDER_PREFIX, most_pairs: int | None = MOST_PAIRS) -> DataFrame:
+    """Every (legacy ticket, new order) pair of one person, with installer, city phase and city code.
+
+    Both sides are filtered and cut to the needed columns before they meet on the person. A person id that would
+    make more than ``most_pairs`` pairs makes none and is listed by ``crowded_people``; None sets no limit.
+    """
+    legacy, orders = _sides(ticket, crm, order_prefix)
+    if most_pairs is not None:
+        crowded = crowded_keys(legacy, orders, "CPF_Fresh", "_person", most_pairs)
+        legacy = without_keys(legacy, "CPF_Fresh", crowded)
     installers = groups.select(F.col("id").alias("_group"), F.col("instaladora").alias("InstaladoraFresh"))
     phases = cities.select(F.col("cIBGE").alias("IBGE_Fresh"), F.col("fase").alias("FaseCidade"))
     codes = postal.select(postal_key("postal_code").alias("_postal"), F.col("IBGE").alias("_postal_ibge"))

@@ -49,6 +49,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below the path whose writer has finished."""
+    jvm = spark.sparkContext._jvm
+    parent = jvm.org.apache.hadoop.fs.Path(path)
+    store = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(parent):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(parent) if s.isDirectory()]
+    return sorted(n for n in names if store.exists(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{n}/_SUCCESS")))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder that the caller has written itself."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

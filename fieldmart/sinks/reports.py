@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.nested import to_plain_cells
@@ -11,12 +13,25 @@ BOM = "﻿"
 
 
 def csv_report(df: DataFrame, path: str, sep: str = ";", bom: bool = True, mode: str = "overwrite") -> None:
-    """CSV with a header in every part file. The byte-order mark comes first in each file: it is part
-    of the first header cell."""
-    first = df.columns[0]
-    out = df.withColumnRenamed(first, BOM + first) if bom else df
-    (out.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
-     .option("escape", '"').option("emptyValue", "").csv(path))
+    """CSV whose part files, one after the other, are one report: the header, after a byte-order mark, stands once, in
+    the first part. A report without rows has its header."""
+    form = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": ""}
+    names = df.sparkSession.range(1, numPartitions=1).select(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    head = F.to_csv(F.struct(*names.columns), form)
+    cells = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    lines = names.select((F.concat(F.lit(BOM), head) if bom else head).alias("value")).union(df.select(F.to_csv(cells, form).alias("value")))
+    lines.write.mode(mode).text(path)
+
+
+def read_csv_report(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";") -> DataFrame:
+    """The rows of such a report as texts; the header, wherever its part is read, is left out."""
+    first, *others = columns
+    kind = ", ".join(f"`{c}` STRING" for c in columns)
+    rows = spark.read.schema(kind).option("sep", sep).option("escape", '"').csv(path)
+    is_head = F.translate(f"`{first}`", BOM, "").eqNullSafe(F.lit(first))
+    for c in others:
+        is_head = is_head & F.col(f"`{c}`").eqNullSafe(F.lit(c))
+    return rows.filter(~is_head)
 
 
 def text_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:

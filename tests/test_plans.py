@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from fieldmart.plans import (call_log, campaigns, capacity, channels, chatbot, demand_alerts, duplicate_orders,
                              exchange_rates, indicators, login_report, maintenance, order_export, pending_orders,
                              phase_status, reconciliation)
@@ -340,3 +342,27 @@ def test_mark_installed(spark, rows):
     assert rows(once) == sorted([("1", 10, "Instalado", "P"), ("1", 11, "Instalado", "P"), ("2", 20, None, "Instalado"),
                                  ("3", 30, "P", "P"), (None, None, "P", "P")], key=repr)
     assert rows(phase_status.mark_installed(a, b, once)) == rows(once)
+
+
+def test_a_person_id_that_stands_for_many_makes_no_pairs_and_is_reported(spark, rows):
+    """A placeholder on 3000 rows of both systems would make nine million pairs."""
+    ticket = spark.range(3005).select(
+        F.concat(F.lit("F"), "id").alias("IDdoticket"), F.lit("4").alias("Status"), F.lit("Agendamento").alias("MotivodocontatoInstalação"),
+        F.lit("Instalada").alias("StatusdaInstalação"), F.lit("10").alias("B_IBGE"), F.lit("N").alias("B_NOME"),
+        F.when(F.col("id") < 3000, "").when(F.col("id") < 3004, F.col("id").cast("string")).alias("B_CPF"), F.lit(1).alias("Grupo"),
+        F.lit(NOW).cast("timestamp_ntz").alias("Horadetérminodocompromisso"))
+    crm = spark.range(3010).select(
+        F.concat(F.lit("2025"), "id").alias("service_order_number"), F.lit("OPEN").alias("service_order_status"), F.lit("Agendamento").alias("service_order_type"),
+        F.lit("x").alias("installer_response_classification"), F.lit(NOW).cast("timestamp_ntz").alias("service_order_created_at"),
+        F.lit(NOW).cast("timestamp_ntz").alias("schedule_date_time"), F.lit("N").alias("customer_name"),
+        F.when(F.col("id") < 3000, "").when(F.col("id") < 3008, (3000 + F.col("id") % 2).cast("string")).alias("customer_cpf"),
+        F.lit(None).cast("string").alias("customer_ibge"), F.lit(None).cast("string").alias("customer_postal_code"), F.lit("crew").alias("installer"))
+    groups = spark.createDataFrame([(1, "G")], "id int, instaladora string")
+    cities = spark.createDataFrame([("10", "F1")], "cIBGE string, fase string")
+    postal = spark.createDataFrame([], "postal_code string, IBGE string")
+    pairs = duplicate_orders.duplicate_orders(ticket, crm, groups, cities, postal)
+    assert sorted({(r["OsFresh"], r["CPF_Fresh"]) for r in pairs.collect()}) == [("F3000", "3000"), ("F3001", "3001")]
+    assert pairs.count() == 8
+    assert rows(duplicate_orders.crowded_people(ticket, crm)) == [("", 3000, 3000)]
+    assert rows(duplicate_orders.crowded_people(ticket, crm, most_pairs=3)) == [("", 3000, 3000), ("3000", 1, 4), ("3001", 1, 4)]
+    assert duplicate_orders.duplicate_orders(ticket, crm, groups, cities, postal, most_pairs=None).count() == 3000 * 3000 + 8

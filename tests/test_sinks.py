@@ -38,6 +38,26 @@ def test_csv_report_with_mark(spark, tmp_path):
     assert part_files(tmp_path / "c")[0].startswith(b"n,v")
 
 
+def test_a_report_of_many_parts_has_one_header(spark, tmp_path, rows):
+    data = [(str(n), None if n % 3 else 'x;"y"\nz', f"ç{n}") for n in range(40)]
+    df = spark.createDataFrame(data, "`a b` string, v string, w string").repartition(5)
+    for bom in (True, False):
+        path = str(tmp_path / f"r{bom}")
+        reports.csv_report(df, path, bom=bom)
+        parts = part_files(path)
+        whole = b"".join(parts).decode("utf-8")
+        assert len(parts) > 3 and whole.startswith(reports.BOM * bom + "a b;v;w\n") and whole.count("a b;v;w") == 1
+        assert whole.count(reports.BOM) == bom and parts[0].decode("utf-8").startswith(reports.BOM * bom + "a b")
+        import csv
+        import io
+        got = list(csv.reader(io.StringIO(whole.lstrip(reports.BOM)), delimiter=";"))
+        assert sorted(got[1:]) == sorted([a, v or "", w] for a, v, w in data)
+    back = reports.read_csv_report(spark, str(tmp_path / "rTrue"), ["a b", "v", "w"]).filter("v IS NULL")
+    assert rows(back) == sorted([r for r in data if r[1] is None], key=repr)
+    reports.csv_report(df.limit(0), str(tmp_path / "none"))
+    assert b"".join(part_files(tmp_path / "none")).decode("utf-8-sig") == "a b;v;w\n"
+
+
 def test_text_reports(spark, tmp_path):
     df = spark.createDataFrame([("12",), ("7",)], "number string").coalesce(1)
     reports.titled_list(df.repartition(3, "number"), "number", "Not found:", str(tmp_path / "t"))
