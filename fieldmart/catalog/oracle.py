@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import re
 
-from ..plans import travel
 
 PARTS: dict[str, str] = {}
 SQL: dict[str, str] = {}
@@ -651,69 +650,111 @@ FROM registry
 
 _v = "CAST({0} AS VARCHAR)".format
 _date = "strftime(o_orderdate, '%Y-%m-%d')"
-_base = (f"{_v('o_orderkey')} AS id, {_v('o_orderkey')} AS protocol, o_totalprice / 100 AS amount")
-_order = (f"{_base}, o_orderstatus AS status, CAST(NULL AS DOUBLE) AS refunds, o_custkey || ', ' || o_orderkey AS \"tagsIds\"")
-_booked = f"""{_v('o_custkey')} AS "costCenterId", {_date} AS "createdAt\""""
-_lists = {feed: {f.name if isinstance(f, travel.Ids) else f.alias for f in fields if not isinstance(f, (travel.Plain, travel.Inside))}
-          for feed, fields in travel.FEEDS.items()}
-
-
-def _whole(feed: str, select: str) -> None:
-    """The select at full width: what the input leaves out is null, or an empty list's text."""
-    named = set(re.findall(r'AS "?(\w+)"?(?:,| FROM)', select))
-    kind = {"string": "VARCHAR"}
-    rest = [f"""{"''" if n in _lists[feed] else f"CAST(NULL AS {kind.get(k.simpleString(), k.simpleString())})"} AS "{n}\""""
-            for n, k in travel.flat_types(feed).items() if n not in named]
-    query(f"travel_{feed}", "", f"SELECT *{''.join(', ' + r for r in rest)} FROM ({select})")
-
-
-_whole("colaboradores", f"""
-SELECT {_v('c_custkey')} AS id, c_name AS name, CASE WHEN c_acctbal > 0 THEN lower(c_name) || '@example.com' END AS email,
-  {_v('c_nationkey')} AS position_id, c_mktsegment AS position_label, c_acctbal > 5000 AS "hasApp",
-  {_v('c_acctbal > 0')} AS active, {_v('c_nationkey')} AS "costCenter_id", 'Center' AS "costCenter_name",
-  {_v('c_custkey')} AS document_number, 'CPF' AS document_type_label,
-  'RG:' || c_name || '; ' || c_mktsegment || ':' AS "allDocuments" FROM customer
-""")
-_whole("centro_custo", f"""
-SELECT {_v('n_nationkey')} AS id, {_v('n_regionkey')} AS "v3Id", n_name AS name, '2024-01-01' AS "createdAt" FROM nation
-""")
-_whole("grupo", f"""
-SELECT {_v('p_partkey')} AS id, p_brand AS name,
-  unnest(CASE WHEN p_type <> 'PROMO' THEN string_split(p_name, ' ') ELSE [NULL] END) AS "employeesIds",
-  {_v('p_size')} AS "amountEmployees" FROM part
-""")
-_whole("despesa", f"""
-SELECT {_v('l_orderkey')} AS id, {_v('l_orderkey')} AS protocol, l_extendedprice / 100 AS amount,
-  l_tax > 0.045 AS "isReimbursable", l_returnflag || ', ' || l_linestatus AS receipts,
-  l_partkey || ', ' || l_suppkey AS "tagsIds", CAST(NULL AS DOUBLE) AS "afterUpdateBlueValue",
-  l_quantity / 100 AS "beforeUpdateBlueValue", {_v('l_linenumber')} AS quantity FROM lineitem
-""")
-_whole("automovel", f"""
-SELECT {_order}, {_v('o_custkey')} AS "costCenterId", {_date} AS "createdAt", 12.5::DOUBLE AS "amountPerDay",
-  {_v('o_custkey')} AS client_id, 'Client ' || o_custkey AS client_name, {_date} AS withdraw_date,
-  o_orderpriority AS withdraw_city, 'Driver ' || o_custkey || '; Guest' AS drivers_nomes,
-  '; g@example.com' AS drivers_emails, 'D1; ' AS drivers_documentos, o_custkey || '; 7' AS "drivers_userIds" FROM orders
-""")
-_whole("aereo", f"""
-SELECT {_order}, {_booked}, '3' AS outbound_cia_id, '; g@example.com' AS travellers_emails, 'D1; ' AS travellers_documentos,
-  o_custkey || '; 7' AS "travellers_userIds", o_orderstatus = 'F' AS "isRoundTrip", o_orderkey || '; ' AS "ticketOutbound", '' AS "ticketInbound",
-  'GRU' AS outbound_from, o_orderpriority AS outbound_to, 50.25::DOUBLE AS outbound_tax, 'Air' AS outbound_cia_name,
-  CAST(NULL AS DOUBLE) AS inbound_tax, 'Traveller ' || o_custkey || '; Guest' AS travellers_nomes,
-  '100; 100' AS "travellers_bestPrice", 'BR; BR' AS travellers_nationalities FROM orders
-""")
-_whole("onibus", f"""
-SELECT {_order}, {_booked}, 'Client ' || o_custkey AS client_name, '2' AS outbound_to_id, o_orderstatus = 'O' AS "isRoundTrip", {_v('o_custkey')} AS client_id, 'leito' AS outbound_type,
-  o_totalprice / 100 AS outbound_price, {_v('o_custkey')} AS outbound_from_id, 'Recife' AS outbound_from_city,
-  o_orderpriority AS outbound_to_station, 'Bus' AS "outbound_cia_displayName",
-  CAST(NULL AS DOUBLE) AS "inbound_insurancePrice", o_orderstatus AS inbound_cia_id FROM orders
-""")
-_whole("hotel", f"""
-SELECT {_order}, {_booked}, {_v('o_custkey')} AS client_id, 'Client ' || o_custkey AS client_name, '; g@example.com' AS guests_emails, o_totalprice / 100 AS "dailyAmount", 'Hotel ' || o_custkey AS "hotelName",
-  o_orderstatus = 'P' AS "isRefundable", {_v('o_custkey')} AS "costCenter_id", 'v' AS "costCenter_v3Id",
-  o_orderpriority AS address_region, 'a; ; ' || o_orderstatus AS tags_nomes, 'Boss' AS "nextApprovers_nomes",
-  'b@example.com' AS "nextApprovers_emails", 'Asked(' || {_date} || '); ()' AS "approvalFlowHistory",
-  'Guest ' || o_custkey || '; Guest' AS guests_nomes, 'D1; ' AS guests_documentos,
-  o_custkey || '; 7' AS "guests_userIds", 'BR; BR' AS guests_nationalities FROM orders
+_order = (f"id={_v('o_orderkey')}|protocol={_v('o_orderkey')}|amount=o_totalprice / 100|refunds=CAST(NULL AS DOUBLE)|"
+          f"createdAt={_date}|tagsIds=o_custkey || ', ' || o_orderkey")
+
+
+def _feed(feed: str, table: str, key: str, columns: str, values: str) -> None:
+    """A feed's columns in their order ($: held in cents) with the given values; the others have a value in every fourth row."""
+    given = dict(v.strip().split("=", 1) for v in re.split(r"(?<![|])[|](?![|])", values))
+    cells = []
+    for number, marked in enumerate(columns.split()):
+        name = marked.rstrip("$")
+        value = f"'{number}/' || ({key})"
+        if re.search(r"(^|_)(is|has)[A-Z][A-Za-z]*$", name):
+            value = f"({key}) % 8 < 4"
+        elif marked != name:
+            value = f"(({key}) % 977 + {number}) / 100"
+        cells.append(f'{given.get(name) or f"CASE WHEN (({key}) + {number}) % 4 = 0 THEN {value} END"} AS "{name}"')
+    query(f"travel_{feed}", "", f"SELECT {', '.join(cells)} FROM {table}")
+
+
+_feed("colaboradores", "customer", "c_custkey", """
+id name username email gender role position_id position_label firstLogin groupId language permission birthday costCenterId integrationMetadata
+onVacation hasPin active parentEmail phoneNumber avatar isPasswordTemporary hasPhysicalBlueCard hasLoginRestriction hasApp createdAt updatedAt typeKey
+keyPix acceptedTermLgpd costCenter_id costCenter_name costCenter_customFieldMsSelectOptionId costCenter_integrationMetadata costCenter_deletedAt
+costCenter_createdAt costCenter_updatedAt document_id document_number document_label document_type_id document_type_label document_createdAt
+document_updatedAt allDocuments
+""", f"""
+id={_v('c_custkey')}|name=c_name|email=CASE WHEN c_acctbal > 0 THEN lower(c_name) || '@example.com' END|position_id={_v('c_nationkey')}|
+position_label=c_mktsegment|active={_v('c_acctbal > 0')}|hasApp=c_acctbal > 5000|allDocuments='RG:' || c_name || '; ' || c_mktsegment || ':'
+""")
+_feed("centro_custo", "nation", "n_nationkey", """
+id v3Id name integrationMetadata deletedAt invoicing_email invoicing_cnpj createdAt updatedAt
+""", f"""
+id={_v('n_nationkey')}|v3Id={_v('n_regionkey')}|name=n_name
+""")
+_feed("grupo", "part", "p_partkey", """
+id name employeesIds amountEmployees createdAt updatedAt
+""", f"""
+id={_v('p_partkey')}|name=p_brand|amountEmployees={_v('p_size')}|
+employeesIds=unnest(CASE WHEN p_type <> 'PROMO' THEN string_split(p_name, ' ') ELSE [NULL] END)
+""")
+_feed("despesa", "lineitem", "l_orderkey * 8 + l_linenumber", """
+id protocol description date amount$ currency originalCurrencyAmount defaultCurrencyCompany isReimbursable receipts rdvId costCenterId isValid userId
+expenditureTypeId pixId isNFe accessKey category mcc postalCode commerce_lat commerce_lng commerce_document updatedByBlue quoteHasModified nfeUri
+nfeUF establishmentAddress merchant afterUpdateBlueValue$ beforeUpdateBlueValue$ integrationMetadata quantity blueMsId isAnnexRequired tagsIds
+createdAt updatedAt
+""", f"""
+id={_v('l_orderkey')}|protocol={_v('l_orderkey')}|amount=l_extendedprice / 100|isReimbursable=l_tax > 0.045|
+receipts=l_returnflag || ', ' || l_linestatus|tagsIds=l_partkey || ', ' || l_suppkey|afterUpdateBlueValue=CAST(NULL AS DOUBLE)|
+beforeUpdateBlueValue=l_quantity / 100|quantity={_v('l_linenumber')}
+""")
+_feed("automovel", "orders", "o_orderkey", """
+id oldId protocol bookingId bookingType status labelStatus reason costCenterId tagsIds cancelReason consumer discount refunds$ additionalCharge
+antecedence paymentMethod amount$ netAmount$ consumersQuantity integrationMetadata reprovedReason approvalExpirationDate withinPolitics noHasInvoice
+createdAt updatedAt reservedBy slug orderCreatedByReqOffline withdraw_date withdraw_city withdraw_address deposit_date deposit_city deposit_address
+depositInAnotherLocation group description renter allowanceDescription amountPerDay$ totalDays dailyAmount$ rateDepositAnotherPlace
+withdrawObservation depositObservation usedAgreement corporateNameOfAgreement reserveCode bookingDays client_id client_name client_email
+client_username client_birthday client_costCenterId client_groupId client_permission client_active client_language client_createdAt client_updatedAt
+drivers_nomes drivers_emails drivers_documentos drivers_userIds
+""", f"""
+{_order}|drivers_nomes='Driver ' || o_custkey || '; Guest'|drivers_emails='; g@example.com'|drivers_documentos='D1; '|
+drivers_userIds=o_custkey || '; 7'
+""")
+_feed("aereo", "orders", "o_orderkey", """
+id oldId protocol bookingId bookingType status labelStatus reason costCenterId tagsIds cancelReason consumer discount$ refunds$ additionalCharge$
+antecedence paymentMethod amount$ netAmount$ consumersQuantity integrationMetadata reprovedReason approvalExpirationDate withinPolitics noHasInvoice
+createdAt updatedAt reservedBy slug orderCreatedByReqOffline type isRoundTrip creditRefunds hasBag bagAmount$ hasComfortSeat comfortSeatAmount$
+hasInsurance insuranceAmount$ hasAutoCheckin autoCheckinAmount$ isInternational totalEmissionGrams ticketOutbound ticketInbound outbound_from
+outbound_to outbound_departureDate outbound_arrivalDate outbound_tax$ outbound_flightNumber outbound_cabinType outbound_hasStops outbound_duration
+outbound_cabinBusinessClass outbound_emissionGrams outbound_cia_id outbound_cia_name outbound_cia_iata outbound_cia_callSign outbound_cia_status
+inbound_from inbound_to inbound_departureDate inbound_arrivalDate inbound_tax$ inbound_flightNumber inbound_cabinType inbound_hasStops
+inbound_duration inbound_cabinBusinessClass inbound_emissionGrams inbound_cia_id inbound_cia_name inbound_cia_iata inbound_cia_callSign
+inbound_cia_status travellers_nomes travellers_emails travellers_documentos travellers_userIds travellers_bestPrice travellers_nationalities
+""", f"""
+{_order}|ticketOutbound=o_orderkey || '; '|ticketInbound={_v('o_custkey')}|travellers_nomes='Traveller ' || o_custkey || '; Guest'|
+travellers_emails='; g@example.com'|travellers_documentos='D1; '|travellers_userIds=o_custkey || '; 7'|travellers_bestPrice='100; 100'|
+travellers_nationalities='BR; BR'
+""")
+_feed("onibus", "orders", "o_orderkey", """
+id oldId protocol bookingId bookingType status labelStatus reason costCenterId tagsIds cancelReason consumer discount$ refunds$ additionalCharge$
+antecedence paymentMethod amount$ netAmount$ consumersQuantity integrationMetadata reprovedReason approvalExpirationDate withinPolitics noHasInvoice
+createdAt updatedAt reservedBy slug orderCreatedByReqOffline isRoundTrip hasInsurance client_id client_name client_email client_username
+client_birthday client_costCenterId client_groupId client_permission client_active client_language client_createdAt client_updatedAt outbound_type
+outbound_seatClass outbound_departureDate outbound_arrivalDate outbound_price$ outbound_tax$ outbound_insurancePrice$ outbound_refundable
+outbound_from_id outbound_from_name outbound_from_city outbound_from_station outbound_from_address outbound_to_id outbound_to_name outbound_to_city
+outbound_to_station outbound_to_address outbound_cia_id outbound_cia_name outbound_cia_displayName inbound_type inbound_seatClass
+inbound_departureDate inbound_arrivalDate inbound_price$ inbound_tax$ inbound_insurancePrice$ inbound_refundable inbound_from_id inbound_from_name
+inbound_from_city inbound_from_station inbound_from_address inbound_to_id inbound_to_name inbound_to_city inbound_to_station inbound_to_address
+inbound_cia_id inbound_cia_name inbound_cia_displayName
+""", f"""
+{_order}|outbound_price=o_totalprice / 100|inbound_insurancePrice=CAST(NULL AS DOUBLE)
+""")
+_feed("hotel", "orders", "o_orderkey", """
+id oldId protocol bookingId bookingType status labelStatus reason costCenterId tagsIds cancelReason consumer discount$ refunds$ additionalCharge$
+antecedence paymentMethod amount$ netAmount$ consumersQuantity integrationMetadata reprovedReason approvalExpirationDate withinPolitics noHasInvoice
+createdAt updatedAt reservedBy slug orderCreatedByReqOffline checkin checkout hotelName city roomDescription allowancesDescription thumbnail
+isRefundable refundDeadline dailyAmount$ bookingDays daysHosted bestPrice$ isBestPrice costCenter_id costCenter_name costCenter_v3Id
+costCenter_integrationMetadata costCenter_deletedAt client_id client_name client_email client_username client_birthday client_costCenterId
+client_groupId client_permission client_active client_language client_createdAt client_updatedAt address_streetName address_streetNumber
+address_postCode address_region address_district address_countryName address_placeId address_description address_name address_type address_lat
+address_lng address_cityName tags_nomes nextApprovers_nomes nextApprovers_emails approvalFlowHistory guests_nomes guests_emails guests_documentos
+guests_userIds guests_nationalities
+""", f"""
+{_order}|isRefundable=o_orderstatus = 'P'|dailyAmount=o_totalprice / 100|tags_nomes='a; ; ' || o_orderstatus|nextApprovers_nomes='Boss'|
+nextApprovers_emails='b@example.com'|approvalFlowHistory='Asked(' || {_date} || '); ()'|guests_nomes='Guest ' || o_custkey || '; Guest'|
+guests_emails='; g@example.com'|guests_documentos='D1; '|guests_userIds=o_custkey || '; 7'|guests_nationalities='BR; BR'
 """)
 query("travel_fatura", "", f"""
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice / 100 END AS amount,

@@ -6,7 +6,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..plans import travel
+from ..sources.schemas import travel_type
 from .inputs import Tables, text
 
 
@@ -60,16 +63,6 @@ def either(number: str, kinds: list[tuple[Column, Column]], otherwise: Column) -
     return F.when(F.col(number).isNotNull(), F.variant_get(F.parse_json(value), "$.v", "variant"))
 
 
-def _order_base() -> dict:
-    return dict(id=text("o_orderkey"), protocol=F.concat(F.lit("#"), text("o_orderkey")), status="o_orderstatus",
-                amount="o_totalprice", refunds=F.lit("n/a"), costCenterId=F.col("o_custkey"),
-                tagsIds=["o_custkey", "o_orderkey"], createdAt=F.date_format("o_orderdate", "yyyy-MM-dd"))
-
-
-def _client() -> dict:
-    return {"data": {"id": "o_custkey", "name": F.concat(F.lit("Client "), text("o_custkey"))}}
-
-
 def _person(tag: str, **more) -> list:
     return [{"name": F.concat(F.lit(f"{tag} "), text("o_custkey")), "email": none(), "document": F.lit("D1"),
              "userId": F.col("o_custkey"), **more},
@@ -77,56 +70,89 @@ def _person(tag: str, **more) -> list:
              "userId": F.lit(7).cast("bigint"), **more}]
 
 
+def _leaves(feed: str) -> list[tuple[str, str]]:
+    """(flat column, path in the record) of the single fields of a described feed, in table order; lists have no path."""
+    found = []
+    for f in travel.FEEDS[feed]:
+        if isinstance(f, travel.Plain):
+            found += [(n, n) for n in f.names.split()]
+        elif isinstance(f, travel.Inside):
+            found += [(f"{f.prefix or f.path}_{n}", f"{f.path}.{n}") for n in f.names.split()]
+        else:
+            found.append((f.name if isinstance(f, travel.Ids) else f.alias, ""))
+    return found
+
+
+def filled(rows: DataFrame, feed: str, key: str, lists: dict[str, Column], **given) -> DataFrame:
+    """Records of a feed with a value in every field in every fourth row: the field's number and the row's key.
+
+    ``given`` has other values by flat column, ``lists`` the lists by their path."""
+    money = set(travel.CENTS.get(feed, "").split())
+    tree: dict = {}
+    for number, (name, path) in enumerate(_leaves(feed)):
+        if not path:
+            continue
+        if name in given:
+            value = _value(given[name])
+        else:
+            last = path.rsplit(".", 1)[-1]
+            if isinstance(travel_type(last), T.BooleanType):
+                value = F.col(key) % 8 < 4
+            elif name in money:
+                value = F.col(key) % 977 + number
+            else:
+                value = F.concat(F.lit(f"{number}/"), text(key))
+            value = F.when((F.col(key) + number) % 4 == 0, value)
+        _put(tree, path, value)
+    for path, value in lists.items():
+        _put(tree, path, value)
+    return as_records(rows, **tree)
+
+
+def _put(tree: dict, path: str, value: Column) -> None:
+    *parents, last = path.split(".")
+    for part in parents:
+        tree = tree.setdefault(part, {})
+    tree[last] = value
+
+
 def feed_records(t: Tables, feed: str) -> DataFrame:
     if feed == "colaboradores":
-        return as_records(
-            t.customer, id="c_custkey", name="c_name",
-            email=F.when(F.col("c_acctbal") > 0, F.concat(F.lower("c_name"), F.lit("@example.com"))),
-            position={"id": "c_nationkey", "label": "c_mktsegment"}, active=F.col("c_acctbal") > 0,
-            hasApp=F.col("c_acctbal") > 5000, costCenter={"id": "c_nationkey", "name": F.lit("Center")},
-            document={"data": {"number": "c_custkey", "type": {"label": F.lit("CPF")}}},
-            allDocuments={"data": [{"label": "c_name", "type": {"label": F.lit("RG")}},
-                                   {"label": none(), "type": {"label": F.col("c_mktsegment")}}]})
+        return filled(
+            t.customer, feed, "c_custkey", {"allDocuments.data": _value([{"label": "c_name", "type": {"label": F.lit("RG")}},
+                                                                          {"label": none(), "type": {"label": F.col("c_mktsegment")}}])},
+            id="c_custkey", name="c_name", email=F.when(F.col("c_acctbal") > 0, F.concat(F.lower("c_name"), F.lit("@example.com"))),
+            position_id="c_nationkey", position_label="c_mktsegment", active=F.col("c_acctbal") > 0, hasApp=F.col("c_acctbal") > 5000)
     if feed == "centro_custo":
-        return as_records(t.nation, id="n_nationkey", v3Id="n_regionkey", name="n_name", createdAt=F.lit("2024-01-01"))
+        return filled(t.nation, feed, "n_nationkey", {}, id="n_nationkey", v3Id="n_regionkey", name="n_name")
     if feed == "grupo":
         members = F.when(F.col("p_type") != "PROMO", F.split("p_name", " ")).otherwise(F.array().cast("array<string>"))
-        return as_records(t.part, id="p_partkey", name="p_brand", employeesIds=members, amountEmployees="p_size")
+        return filled(t.part, feed, "p_partkey", {"employeesIds": members}, id="p_partkey", name="p_brand", amountEmployees="p_size")
     if feed == "despesa":
-        return as_records(
-            t.lineitem, id="l_orderkey", protocol=F.concat(F.lit("#"), text("l_orderkey"), F.lit("#")),
-            amount="l_extendedprice", isReimbursable=F.col("l_tax") > 0.045, receipts=["l_returnflag", "l_linestatus"],
-            tagsIds=["l_partkey", "l_suppkey"], afterUpdateBlueValue=F.lit("n/a"), beforeUpdateBlueValue="l_quantity",
-            quantity="l_linenumber")
-    if feed == "automovel":
-        return as_records(
-            t.orders, **_order_base(), amountPerDay=F.lit("1250"), client=_client(),
-            withdraw={"date": F.date_format("o_orderdate", "yyyy-MM-dd"), "city": "o_orderpriority"},
-            drivers={"data": _person("Driver")})
-    if feed == "aereo":
-        return as_records(
-            t.orders, **_order_base(), isRoundTrip=F.col("o_orderstatus") == "F",
-            ticketOutbound=[{"ticket": text("o_orderkey")}, {"ticket": none()}],
-            outbound={"from": F.lit("GRU"), "to": "o_orderpriority", "tax": F.lit(5025),
-                      "cia": {"id": F.lit(3), "name": F.lit("Air")}},
-            travellers={"data": _person("Traveller", bestPrice=F.lit(100), nationality=F.lit("BR"))})
-    if feed == "onibus":
-        return as_records(
-            t.orders, **_order_base(), client=_client(), isRoundTrip=F.col("o_orderstatus") == "O",
-            outbound={"type": F.lit("leito"), "price": "o_totalprice",
-                      "from": {"id": "o_custkey", "city": F.lit("Recife")},
-                      "to": {"id": F.lit(2), "station": "o_orderpriority"}, "cia": {"displayName": F.lit("Bus")}},
-            inbound={"insurancePrice": F.lit("x"), "cia": {"id": "o_orderstatus"}})
-    if feed == "hotel":
-        return as_records(
-            t.orders, **_order_base(), client=_client(), hotelName=F.concat(F.lit("Hotel "), text("o_custkey")),
-            isRefundable=F.col("o_orderstatus") == "P", dailyAmount="o_totalprice",
-            costCenter={"data": {"id": "o_custkey", "v3Id": F.lit("v")}}, address={"region": "o_orderpriority"},
-            tags={"data": [{"name": F.lit("a")}, {"name": none()}, {"name": F.col("o_orderstatus")}]},
-            nextApprovalUsers={"data": [{"name": F.lit("Boss"), "email": F.lit("b@example.com")}]},
-            approvalFlowHistory={"data": [{"actionLabel": F.lit("Asked"), "date": F.date_format("o_orderdate", "yyyy-MM-dd")},
-                                          {"actionLabel": none(), "date": none()}]},
-            guests={"data": _person("Guest", nationality=F.lit("BR"))})
+        return filled(
+            t.lineitem.withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber")), feed, "line",
+            {"receipts": _value(["l_returnflag", "l_linestatus"]), "tagsIds": _value(["l_partkey", "l_suppkey"])},
+            id="l_orderkey", protocol=F.concat(F.lit("#"), text("l_orderkey"), F.lit("#")), amount="l_extendedprice",
+            isReimbursable=F.col("l_tax") > 0.045, afterUpdateBlueValue=F.lit("n/a"), beforeUpdateBlueValue="l_quantity", quantity="l_linenumber")
+    if feed in ("automovel", "aereo", "onibus", "hotel"):
+        order = dict(id=text("o_orderkey"), protocol=F.concat(F.lit("#"), text("o_orderkey")), amount="o_totalprice", refunds=F.lit("n/a"),
+                     createdAt=F.date_format("o_orderdate", "yyyy-MM-dd"))
+        lists = {"tagsIds": _value(["o_custkey", "o_orderkey"])}
+        if feed == "automovel":
+            lists["drivers.data"] = _value(_person("Driver"))
+        elif feed == "aereo":
+            lists |= {"ticketOutbound": _value([{"ticket": text("o_orderkey")}, {"ticket": none()}]), "ticketInbound": _value([{"ticket": text("o_custkey")}]),
+                      "travellers.data": _value(_person("Traveller", bestPrice=F.lit(100), nationality=F.lit("BR")))}
+        elif feed == "onibus":
+            order |= dict(outbound_price="o_totalprice", inbound_insurancePrice=F.lit("x"))
+        else:
+            order |= dict(isRefundable=F.col("o_orderstatus") == "P", dailyAmount="o_totalprice")
+            lists |= {"tags.data": _value([{"name": F.lit("a")}, {"name": none()}, {"name": F.col("o_orderstatus")}]),
+                      "nextApprovalUsers.data": _value([{"name": F.lit("Boss"), "email": F.lit("b@example.com")}]),
+                      "approvalFlowHistory.data": _value([{"actionLabel": F.lit("Asked"), "date": F.date_format("o_orderdate", "yyyy-MM-dd")},
+                                                          {"actionLabel": none(), "date": none()}]),
+                      "guests.data": _value(_person("Guest", nationality=F.lit("BR")))}
+        return filled(t.orders, feed, "o_orderkey", lists, **order)
     if feed == "fatura":  # fields of unlike kinds, and one that few records have
         def every(n: int) -> Column:
             return F.col("o_orderkey") % n == 0
