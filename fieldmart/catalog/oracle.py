@@ -650,7 +650,7 @@ FROM registry
 
 _v = "CAST({0} AS VARCHAR)".format
 _date = "strftime(o_orderdate, '%Y-%m-%d')"
-_order = (f"id={_v('o_orderkey')}|protocol={_v('o_orderkey')}|amount=o_totalprice / 100|refunds=CAST(NULL AS DOUBLE)|"
+_order = (f"id={_v('o_orderkey')}|protocol={_v('o_orderkey')}|amount=o_totalprice / 100|refunds=CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 50 / 100 END|"
           f"createdAt={_date}|tagsIds=o_custkey || ', ' || o_orderkey")
 
 
@@ -697,7 +697,7 @@ nfeUF establishmentAddress merchant afterUpdateBlueValue$ beforeUpdateBlueValue$
 createdAt updatedAt
 """, f"""
 id={_v('l_orderkey')}|protocol={_v('l_orderkey')}|amount=l_extendedprice / 100|isReimbursable=l_tax > 0.045|
-receipts=l_returnflag || ', ' || l_linestatus|tagsIds=l_partkey || ', ' || l_suppkey|afterUpdateBlueValue=CAST(NULL AS DOUBLE)|
+receipts=l_returnflag || ', ' || l_linestatus|tagsIds=l_partkey || ', ' || l_suppkey|afterUpdateBlueValue=CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 <> 0 THEN (l_orderkey * 8 + l_linenumber) % 50 / 100 END|
 beforeUpdateBlueValue=l_quantity / 100|quantity={_v('l_linenumber')}
 """)
 _feed("automovel", "orders", "o_orderkey", """
@@ -739,7 +739,7 @@ inbound_departureDate inbound_arrivalDate inbound_price$ inbound_tax$ inbound_in
 inbound_from_city inbound_from_station inbound_from_address inbound_to_id inbound_to_name inbound_to_city inbound_to_station inbound_to_address
 inbound_cia_id inbound_cia_name inbound_cia_displayName
 """, f"""
-{_order}|outbound_price=o_totalprice / 100|inbound_insurancePrice=CAST(NULL AS DOUBLE)
+{_order}|outbound_price=o_totalprice / 100|inbound_insurancePrice=CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 50 / 100 END
 """)
 _feed("hotel", "orders", "o_orderkey", """
 id oldId protocol bookingId bookingType status labelStatus reason costCenterId tagsIds cancelReason consumer discount$ refunds$ additionalCharge$

@@ -109,6 +109,11 @@ def filled(rows: DataFrame, feed: str, key: str, lists: dict[str, Column], **giv
     return as_records(rows, **tree)
 
 
+def mostly(key: str) -> Column:
+    """An amount in cents that is no number in every third row."""
+    return F.when(F.col(key) % 3 == 0, "n/a").otherwise(text(F.col(key) % 50))
+
+
 def _put(tree: dict, path: str, value: Column) -> None:
     *parents, last = path.split(".")
     for part in parents:
@@ -133,9 +138,9 @@ def feed_records(t: Tables, feed: str) -> DataFrame:
             t.lineitem.withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber")), feed, "line",
             {"receipts": _value(["l_returnflag", "l_linestatus"]), "tagsIds": _value(["l_partkey", "l_suppkey"])},
             id="l_orderkey", protocol=F.concat(F.lit("#"), text("l_orderkey"), F.lit("#")), amount="l_extendedprice",
-            isReimbursable=F.col("l_tax") > 0.045, afterUpdateBlueValue=F.lit("n/a"), beforeUpdateBlueValue="l_quantity", quantity="l_linenumber")
+            isReimbursable=F.col("l_tax") > 0.045, afterUpdateBlueValue=mostly("line"), beforeUpdateBlueValue="l_quantity", quantity="l_linenumber")
     if feed in ("automovel", "aereo", "onibus", "hotel"):
-        order = dict(id=text("o_orderkey"), protocol=F.concat(F.lit("#"), text("o_orderkey")), amount="o_totalprice", refunds=F.lit("n/a"),
+        order = dict(id=text("o_orderkey"), protocol=F.concat(F.lit("#"), text("o_orderkey")), amount="o_totalprice", refunds=mostly("o_orderkey"),
                      createdAt=F.date_format("o_orderdate", "yyyy-MM-dd"))
         lists = {"tagsIds": _value(["o_custkey", "o_orderkey"])}
         if feed == "automovel":
@@ -144,7 +149,7 @@ def feed_records(t: Tables, feed: str) -> DataFrame:
             lists |= {"ticketOutbound": _value([{"ticket": text("o_orderkey")}, {"ticket": none()}]), "ticketInbound": _value([{"ticket": text("o_custkey")}]),
                       "travellers.data": _value(_person("Traveller", bestPrice=F.lit(100), nationality=F.lit("BR")))}
         elif feed == "onibus":
-            order |= dict(outbound_price="o_totalprice", inbound_insurancePrice=F.lit("x"))
+            order |= dict(outbound_price="o_totalprice", inbound_insurancePrice=mostly("o_orderkey"))
         else:
             order |= dict(isRefundable=F.col("o_orderstatus") == "P", dailyAmount="o_totalprice")
             lists |= {"tags.data": _value([{"name": F.lit("a")}, {"name": none()}, {"name": F.col("o_orderstatus")}]),
