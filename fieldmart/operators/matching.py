@@ -1,11 +1,10 @@
 """Nearest official name by token-sort similarity, one way for every size.
 
-The score of two texts is ``200 * common / (la + lb)``, with the length of their longest common
-subsequence as ``common``. That is at most the number of letters they share, counted in any
-classes of letters, and this bound prunes: official names lie in cells of equal class counts, a
-name scores a few members of the cell with the highest bound, and then only the official names
-whose own bound reaches that score. Cells depend on the letters of a text alone, so their number
-follows from the length of the texts and not from the number of official names.
+The score of two texts is ``200 * common / (la + lb)``, with the length of their longest common subsequence as
+``common``. Distinct names meet the official names in blocks of a fixed size on both sides, so a task holds one
+block of each and no list is sent whole. Inside a block all pairs are scored at once and bit-parallel: a machine
+word holds 64 places of a name, and a letter of an official name moves all of them, for all pairs, in four
+operations. A name's best of each block then goes into one aggregate.
 """
 
 from __future__ import annotations
@@ -13,154 +12,115 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casts import as_col
 from ..functions.text import token_sort
 
-# Letter classes of the bound; all other letters are one more class. Any choice is right, frequent
-# letters in classes of their own prune best. A cell holds sums of every fourth class.
-LETTERS = ("aA", "eE", "iI", "oO", "rR", "nN", "sS", "tT", "lL", "uU", "dD", "mM", "cC", " ")
-CELL = 4
-# Members of a cell that a name scores for its first, lower limit, and lengths it looks at for them.
-PROBES = 8
-NEAR_LENGTHS = 3
-# Letter comparisons held at once by the scoring of one batch.
-_CELLS_AT_ONCE = 1_000_000
-_SLACK = 1e-9
+NAMES_BLOCK, OFFICIAL_BLOCK = 2048, 512  # names of a block on either side, about
+_PAIRS_AT_ONCE = 1 << 19
 
 
-def pair_scorer(of_many: bool = False) -> Callable[[Column, Column], Column]:
-    """0..100 similarity of two columns of sorted texts, whole batches of pairs at a time. With ``of_many``
-    the second holds arrays, none empty, and the highest similarity to a member is given.
+def common_lengths() -> Callable[[list[str], list[str]], np.ndarray]:
+    """A function of two lists of texts: the length of the longest common subsequence of each pair, (right, left).
 
-    The function carries all it needs, so executors need no copy of this package.
+    Each bit of ``free`` is a place of a left text; it is cleared when the subsequence grows there. The function
+    carries all it needs, so executors need no copy of this package.
     """
-    at_once = _CELLS_AT_ONCE
-
-    def matrix(texts: list[str], lengths, filler: int):
-        width = max(int(lengths.max()), 1)
-        codes = np.frombuffer("".join(t.ljust(width) for t in texts).encode("utf-32-le"), dtype=np.uint32)
-        codes = codes.reshape(len(texts), width).copy()
-        codes[np.arange(width) >= lengths[:, None]] = filler
-        return codes
-
-    def common(left, right):
-        """One row of the table of common lengths per letter of the left text, for all pairs."""
-        best = np.zeros((len(right), right.shape[1] + 1), dtype=np.int32)
-        for place in range(left.shape[1]):
-            equal = right == left[:, place:place + 1]
-            best[:, 1:] = np.maximum.accumulate(np.maximum(best[:, 1:], best[:, :-1] + equal), axis=1)
-        return best[:, -1]
-
-    def scores(left: list[str], right: list[str]):
-        la, lb = (np.array([len(t) for t in side], dtype=np.int64) for side in (left, right))
-        order = np.lexsort((la, lb))
-        shared = np.zeros(len(left), dtype=np.int64)
-        start = 0
-        while start < len(order):
-            rows = max(1, at_once // max(int(lb[order[start]]), 1))
-            part = order[start:start + rows]
-            while len(part) > 1 and len(part) * int(lb[part[-1]]) > at_once:
-                part = part[:(len(part) + 1) // 2]
-            shared[part] = common(matrix([left[i] for i in part], la[part], 0xFFFFFFFF),
-                                  matrix([right[i] for i in part], lb[part], 0xFFFFFFFE))
-            start += len(part)
-        total = la + lb
-        return np.where(total == 0, 100.0, 200.0 * shared / np.maximum(total, 1))
-
-    def one(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(scores(list(a), list(b)))
-
-    def highest(a: pd.Series, b: pd.Series) -> pd.Series:
-        sizes = [len(texts) for texts in b]
-        flat = scores([text for text, size in zip(a, sizes) for _ in range(size)], [t for texts in b for t in texts])
-        return pd.Series(np.maximum.reduceat(flat, np.concatenate([[0], np.cumsum(sizes)[:-1]])))
-
-    return F.pandas_udf(highest if of_many else one, "double")
-
-
-def _classes(text: str) -> list[Column]:
-    """Letters of the text in each class."""
-    whole = F.length(text)
-    counts = [whole - F.length(F.translate(F.col(text), letters, "")) for letters in LETTERS]
-    return [*counts, F.length(F.translate(F.col(text), "".join(LETTERS), ""))]
-
-
-def _profiled(df: DataFrame, text: str, side: str) -> DataFrame:
-    """Adds length (``n_len``), class counts (``n0``...) and cell (``nc0``...) under the letter of the side."""
-    counted = df.select("*", F.length(text).alias(f"{side}_len"),
-                        *[c.alias(f"{side}{i}") for i, c in enumerate(_classes(text))])
-    return counted.select("*", *[sum((F.col(f"{side}{i}") for i in range(k + CELL, len(LETTERS) + 1, CELL)),
-                                     F.col(f"{side}{k}")).alias(f"{side}c{k}") for k in range(CELL)])
-
-
-def _bound(prefix: str, count: int) -> Column:
-    """Highest score that the shared counts of a name and an official name (or cell) allow."""
-    shared = sum((F.least(f"n{prefix}{i}", f"o{prefix}{i}") for i in range(1, count)),
-                 F.least(f"n{prefix}0", f"o{prefix}0"))
-    return F.lit(200.0) * shared / F.greatest(F.col("n_len") + F.col("o_len"), F.lit(1))
-
-
-def _nearest(names: DataFrame, listed: DataFrame, facts: Column) -> DataFrame:
-    """``name, near``: the first-ranked of the best official names of each name that has a letter in
-    common with one, as (loss, rank, matched)."""
-    cell = [f"oc{k}" for k in range(CELL)]
-    official = _profiled(listed, "sorted_official", "o")
-    probe = F.pmod(F.xxhash64("sorted_official"), F.lit(PROBES))
-    cells = official.groupBy("o_len", *cell).agg(F.array_compact(F.array(*[
-        F.min(F.when(probe == k, F.col("sorted_official"))) for k in range(PROBES)])).alias("probes"))
-
-    profile = _profiled(names.withColumn("lengths", facts["lengths"]), "sorted_name", "n")
-    by_distance = F.array_sort(F.transform("lengths", lambda n: F.struct(
-        F.abs(n - F.col("n_len")).alias("away"), n.alias("o_len"))))
-    close = profile.withColumn("o_len", F.explode(F.slice(by_distance, 1, NEAR_LENGTHS)["o_len"]))
-    first = (close.join(cells, "o_len").groupBy("name", "sorted_name")
-             .agg(F.max_by("probes", F.struct(_bound("c", CELL), *cell)).alias("probes")))
-    limits = first.select("name", "sorted_name", pair_scorer(of_many=True)("sorted_name", "probes").alias("low"))
-
-    # A text without any letter in common with a name scores 0 there: no candidate, whatever its limit.
-    reach = F.greatest(F.col("low") - _SLACK, F.lit(_SLACK))
-    possible = F.filter("lengths", lambda n: 200.0 * F.least(n, F.col("n_len")) >= reach * (n + F.col("n_len")))
-    again = _profiled(limits.withColumn("lengths", facts["lengths"]), "sorted_name", "n")
-    ways = again.withColumn("o_len", F.explode(possible)).drop("lengths")
-    into = ways.join(cells.drop("probes"), "o_len").filter(_bound("c", CELL) >= reach).drop("o_len")
-    pairs = into.join(official, cell).filter(_bound("", len(LETTERS) + 1) >= reach)
-    loss = (-pair_scorer()("sorted_name", "sorted_official")).alias("loss")
-    return (pairs.select("name", loss, "rank", "matched").groupBy("name")
-            .agg(F.min(F.struct("loss", "rank", "matched")).alias("near")))
+    at_once = _PAIRS_AT_ONCE
+
+    def block(left: list[str], right: list[str]) -> np.ndarray:
+        words = max(1, -(-max(map(len, left)) // 64))
+        letters: dict[str, int] = {}
+        for text in left:
+            for letter in text:
+                letters.setdefault(letter, len(letters))
+        places = np.zeros((words, len(letters) + 1, len(left)), np.uint64)  # the last row: letters that no left text has
+        for column, text in enumerate(left):
+            for place, letter in enumerate(text):
+                places[place >> 6, letters[letter], column] |= np.uint64(1 << (place & 63))
+        order = sorted(range(len(right)), key=lambda i: -len(right[i]))
+        longest = len(right[order[0]])
+        codes = np.full((len(right), max(longest, 1)), len(letters), np.int64)
+        for row, i in enumerate(order):
+            codes[row, : len(right[i])] = [letters.get(letter, len(letters)) for letter in right[i]]
+        going = [sum(1 for i in order if len(right[i]) > step) for step in range(longest)]
+        free = np.full((words, len(right), len(left)), np.uint64(2**64 - 1))
+        for step, rows in enumerate(going):
+            carry = None
+            for word in range(words):
+                now = free[word, :rows]
+                met = now & places[word][codes[:rows, step]]
+                moved = now + met
+                over = moved < now
+                if carry is not None:
+                    moved += carry
+                    over |= (moved == 0) & carry.astype(bool)
+                free[word, :rows] = moved | (now & ~met)
+                carry = over.astype(np.uint64)
+        common = np.empty((len(right), len(left)), np.int64)
+        common[order] = 64 * words - np.bitwise_count(free).sum(axis=0, dtype=np.int64)
+        return common
+
+    def common(left: list[str], right: list[str]) -> np.ndarray:
+        if not left or not right:
+            return np.zeros((len(right), len(left)), np.int64)
+        wide = -(-max(map(len, left)) // 64) or 1
+        size = max(1, at_once // (len(right) * wide))
+        return np.concatenate([block(left[i: i + size], right) for i in range(0, len(left), size)], axis=1)
+
+    return common
+
+
+def _block_best():
+    """Of one block of names and one of official names: each name's best, the first by rank among equals."""
+    common = common_lengths()
+
+    def best(names: pa.Table, official: pa.Table) -> pa.Table:
+        kinds = official.schema.field("rank").type
+        rows = sorted(zip(*(official.column(c).to_pylist() for c in ("rank", "matched", "sorted_official")), strict=True),
+                      key=lambda r: (r[0] is not None, r[0], r[1]))
+        left, right = names.column("sorted_name").to_pylist(), [r[2] for r in rows]
+        if not left or not right:
+            rows, score, first, name = [], np.empty(0), [], []
+        else:
+            total = np.array([len(t) for t in right])[:, None] + np.array([len(t) for t in left])[None, :]
+            scores = np.where(total == 0, 100.0, 200.0 * common(left, right) / np.maximum(total, 1))
+            top = scores.argmax(axis=0)  # the first of equal ones
+            score, first, name = scores[top, np.arange(len(left))], top.tolist(), names.column("name").to_pylist()
+        return pa.table({"name": pa.array(name, pa.string()), "loss": pa.array(-score, pa.float64()),
+                         "rank": pa.array([rows[i][0] for i in first], kinds), "matched": pa.array([rows[i][1] for i in first], pa.string())})
+
+    return best
 
 
 def best_match(names: DataFrame, name: str, official: DataFrame, official_name: str,
                rank: str | None = None) -> DataFrame:
     """``name, matched, score`` for every distinct non-null name; no rows without official names.
 
-    Equal scores go to the official name that ranks first (by ``rank``, else alphabetically), so a
-    name that shares no letter with any gets the first of all at score 0. Names whose sorted words
-    equal those of an official name are settled by a plain join at score 100; of the others, only
-    pairs that can be the best are scored.
+    Equal scores go to the official name that ranks first (by ``rank``, a number or text, else alphabetically), so a
+    name that shares no letter with any gets the first of all at score 0. Every name is scored against every official
+    name with other sorted words than the rest: the work is their product, in equal blocks.
     """
-    listed = (official.filter(F.col(official_name).isNotNull())
-              .groupBy(F.col(official_name).alias("matched"))
-              .agg(F.min(as_col(rank or official_name)).alias("rank"))
-              .withColumn("sorted_official", token_sort("matched")))
+    listed = official.filter(F.col(official_name).isNotNull()).withColumn("sorted_official", token_sort(official_name))
     # One row per sorted text: only the first-ranked of equal texts can ever win.
     listed = listed.groupBy("sorted_official").agg(
-        F.min(F.struct("rank", "matched")).alias("head")).select(
+        F.min(F.struct(as_col(rank or official_name).alias("rank"), F.col(official_name).alias("matched"))).alias("head")).select(
         "sorted_official", F.col("head.rank").alias("rank"), F.col("head.matched").alias("matched"))
-    # One row: the lengths that occur, at most as many as the longest name has letters, and the first name.
-    facts = listed.agg(F.struct(F.collect_set(F.length("sorted_official")).alias("lengths"),
-                                F.min(F.struct("rank", "matched")).alias("head")).alias("facts")).scalar()
-
-    wanted = (names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
-              .withColumn("sorted_name", token_sort("name")))
-    settled = listed.select(F.col("sorted_official").alias("sorted_name"), F.col("matched").alias("same"))
-    known = wanted.join(settled, "sorted_name", "left")
-    opened = known.filter(F.col("same").isNull()).select("name", "sorted_name")
-    joined = (known.join(_nearest(opened, listed, facts), "name", "left")
-              .withColumn("head", facts["head"]).filter(F.col("head").isNotNull()))
-    return joined.select(
-        "name", F.coalesce("same", "near.matched", "head.matched").alias("matched"),
-        F.when(F.col("same").isNotNull(), 100.0).otherwise(F.coalesce(-F.col("near.loss"), F.lit(0.0))).alias("score"))
+    wanted = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct().withColumn("sorted_name", token_sort("name"))
+
+    def blocks(df: DataFrame, c: str, size: int):  # about so many; any number is right
+        return df.agg(F.greatest(F.ceil(F.approx_count_distinct(c) / size), F.lit(1)).cast("int").alias("n")).scalar()
+
+    rows, columns = blocks(names, name, NAMES_BLOCK), blocks(official, official_name, OFFICIAL_BLOCK)
+    left = wanted.select(F.pmod(F.xxhash64("name"), rows).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("j"), "name", "sorted_name")
+    right = listed.select(F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"), F.pmod(F.xxhash64("sorted_official"), columns).cast("int").alias("j"),
+                          "sorted_official", "rank", "matched")
+    kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("loss", T.DoubleType()),
+                         T.StructField("rank", right.schema["rank"].dataType), T.StructField("matched", T.StringType())])
+    best = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_block_best(), kind)
+    near = best.groupBy("name").agg(F.min(F.struct("loss", "rank", "matched")).alias("near"))
+    return near.select("name", F.col("near.matched").alias("matched"), (-F.col("near.loss")).alias("score"))

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldmart.functions.text import token_sort_ratio
-from fieldmart.operators.matching import best_match, pair_scorer
+from fieldmart.operators import matching
+from fieldmart.operators.matching import best_match, common_lengths
 
 
 def lcs(a, b):
@@ -27,13 +28,13 @@ def words(rng, longest):
 
 
 @pytest.mark.parametrize("longest", [4, 30, 90])
-def test_pair_scores(spark, longest):
+def test_common_lengths(longest):
+    """Texts of less than one machine word and of several."""
     rng = random.Random(longest)
-    sides = [words(rng, longest) for _ in range(25)] + ["", "z", "\0", "\U0001F600 a"]
-    pairs = [(a, b) for a in sides for b in rng.sample(sides, 12)] + [("", "")]
-    df = spark.createDataFrame(pairs, "a string, b string")
-    for a, b, score in df.select("a", "b", pair_scorer()("a", "b").alias("s")).collect():
-        assert score == pytest.approx(100.0 if not a and not b else 200.0 * lcs(a, b) / (len(a) + len(b)))
+    left, right = ([words(rng, longest) for _ in range(40)] + ["", "z", "\0", "\U0001F600 a", "a" * 64, "a" * 128, "ab" * 64] for _ in range(2))
+    found = common_lengths()(left, right)
+    assert [[lcs(a, b) for a in left] for b in right] == found.tolist()
+    assert common_lengths()([], right).shape == (len(right), 0) and common_lengths()([""], [""]).tolist() == [[0]]
 
 
 def check(spark, names, official):
@@ -87,6 +88,19 @@ def test_best_match_of_thousands(spark):
         assert got[name] == (ordered[int(scores.argmax())], pytest.approx(scores.max()))
 
 
+def test_small_blocks_and_few_shuffles(spark, monkeypatch):
+    rng = random.Random(23)
+    official = list(dict.fromkeys(words(rng, 5) for _ in range(40)))
+    names = list(dict.fromkeys(words(rng, 5) for _ in range(60)))
+    monkeypatch.setattr(matching, "NAMES_BLOCK", 7)
+    monkeypatch.setattr(matching, "OFFICIAL_BLOCK", 5)
+    check(spark, names, official)
+    sent, listed = spark.createDataFrame([("a",)], "city string"), spark.createDataFrame([("b",)], "name string")
+    plan = best_match(sent, "city", listed, "name")._jdf.queryExecution().explainString(
+        spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert plan.count("Exchange hashpartitioning") <= 8
+
+
 def test_no_job_while_defining(spark):
     tracker = spark.sparkContext.statusTracker()
     sent, listed = spark.createDataFrame([("a",)], "city string"), spark.createDataFrame([("b",)], "name string")
