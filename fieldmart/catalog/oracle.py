@@ -212,6 +212,11 @@ SELECT count(DISTINCT IDdoticket) FILTER (WHERE Status = 'IN_CORRECTION') AS qtd
 FROM phase
 """)
 
+query("kpi_distinct_over_days", "aged tickets phase", """
+SELECT desde, Status, count(DISTINCT IDdoticket) AS quantidade
+FROM phase JOIN (VALUES ('1990-01-01'), ('1999-01-01'), ('2001-01-01')) AS d(desde) ON Horadacriacao >= CAST(desde AS DATE) GROUP BY desde, Status
+""")
+
 # --- duplicates ---------------------------------------------------------------------------------
 
 part("pairs", """

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, casts, risk, text
-from ..operators import aggregates, filters, joins, matching, nested, quality, sequence
+from ..operators import aggregates, bitmaps, filters, joins, matching, nested, quality, sequence
 from ..plans import (call_log, campaigns, capacity, channels, chatbot, demand_alerts, duplicate_orders,
                      exchange_rates, indicators, login_report, maintenance, order_export, pending_orders,
                      phase_status, reconciliation, travel)
@@ -105,6 +105,19 @@ def kpi_distinct_by_status(t):
     return indicators.indicator_history(i.phase_tickets(t), i.SHIP_AS_OF)[1]
 
 
+@query
+def kpi_distinct_over_days(t):
+    """Distinct tickets by status over three ranges of days, from bitmaps that were stored for every day in two runs."""
+    path, rows = work_folder(t.spark, "bitmaps"), i.phase_tickets(t).select("IDdoticket", "Status", F.col("Horadacriação").alias("dia"))
+    for run, part in (("a", rows.filter("dia < DATE '2000-06-01'")), ("b", rows.filter("dia >= DATE '2000-06-01'"))):
+        numbering = bitmaps.number_ids(t.spark, f"{path}/numbering", part, "IDdoticket", run)
+        bitmaps.day_bitmaps(part, ["dia", "Status"], "IDdoticket", numbering).write.parquet(f"{path}/days/run={run}")
+    stored = t.spark.read.parquet(f"{path}/days")
+    found = [bitmaps.united_counts(stored.filter(F.col("dia") >= F.lit(first).cast("date")), ["Status"]).select(F.lit(first).alias("desde"), "*")
+             for first in ("1990-01-01", "1999-01-01", "2001-01-01")]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 # --- duplicates ---------------------------------------------------------------------------------
 
 def _pairs(t) -> DataFrame:
