@@ -427,6 +427,11 @@ query("stream_session_pairing", "logins pairedbyday", f"""
 SELECT "user", day, strftime(ts, {_stamp}) AS started, strftime(stopped, {_stamp}) AS stopped FROM pairedbyday
 """)
 
+query("stream_open_sessions", "logins pairedbyday", f"""
+SELECT "user", day, strftime(ts, {_stamp}) AS started, strftime(stopped, {_stamp}) AS stopped FROM pairedbyday
+WHERE day < (SELECT CAST(max(ts) - INTERVAL 1 HOUR AS DATE) FROM logins)
+""")
+
 # --- calendar and rates -------------------------------------------------------------------------
 
 part("quotes", """

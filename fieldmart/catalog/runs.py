@@ -18,7 +18,7 @@ from ..session import tune
 from ..sinks import reports, tables
 from ..sources import pages
 from ..sources.tables import parameter_rows, read_parquet
-from ..streaming import created, once, sessions
+from ..streaming import created, once, open_sessions, sessions
 from ..streaming import reconciliation as streamed
 from . import inputs as i
 from .scratch import work_folder
@@ -752,6 +752,18 @@ def stream_session_pairing(t):
     return text_rows(t.spark.read.parquet(f"{path}/report").drop("batch_no"))
 
 
+@query
+def stream_open_sessions(t):
+    """Pairs as they end; of the days that are over an hour before the newest event."""
+    path = work_folder(t.spark, "open")
+    logins = i.login_events(StreamTables(t, "events"))
+    found = open_sessions.session_stream(logins, "username", "loginTime", "event", "id")
+    _run(found.writeStream.format("parquet").option("path", f"{path}/out"), f"{path}/checkpoint")
+    newest = i.login_events(t).filter(F.col("event").isin("LOGIN", "LOGOUT")).agg(F.max(F.col("loginTime").cast("timestamp_ntz"))).first()[0]
+    over = F.col("day") < F.lit((newest - dt.timedelta(hours=1)).date())
+    return text_rows(t.spark.read.parquet(f"{path}/out").filter(over & ~F.col("late")).drop("late"))
+
+
 # --- the write side -------------------------------------------------------------------------------------
 
 def _table(t, rows: DataFrame, path: str, column: str | None = None) -> str:
