@@ -1,12 +1,15 @@
 """Quality rules with cutoffs whose false rejections are bounded.
 
-Base measures come from each whole text. A rule rejects a text whose measure (a share, in thousandths)
-is over the rule's cutoff. Cutoffs come from a fixed list and are tested on the labelled holdout, per
-stratum: of n good texts k would be rejected, and if texts were rejected at rate ``risk / rules`` or
-more, seeing k or fewer would have a binomial probability of at most ``doubt / tests`` (exact, and
-corrected for all tests over strata, rules and cutoffs). The lowest cutoff that passes is used; a rule
-without one does not reject in that stratum. So with probability 1 - ``doubt`` the rules reject at most
-``risk`` of the good texts in every stratum.
+Base measures come from each whole text. A rule rejects a text whose measure (a share by the rule's weight, in
+thousandths) is over a cutoff. The cutoffs, the same for all rules, are tested on the labelled holdout per stratum, in a fixed sequence from
+the loosest on, each for all rules together: of n good texts k would be rejected by any rule, and if good texts were
+rejected at rate ``risk`` or more, seeing k or fewer would have a binomial probability of at most ``doubt / strata``
+(exact). The sequence ends with the first cutoff that fails; all before it are certified. In a fixed sequence no further
+correction is due for the number of cutoffs and rules, only the one for the strata: so with probability 1 - ``doubt``
+every certified cutoff rejects at most ``risk`` of the good texts in every stratum, and about 110 good labels are enough
+to certify one (with four strata, at the default risk). The bound holds for all of them at once, so the choice among them
+is free: the one with the widest gap between the shares of bad and of good labelled texts that it rejects, of equal ones
+the loosest. A stratum without a certified cutoff has the base alone.
 
 All of it is DataFrame functions.
 """
@@ -21,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, cut
 
-RULES = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
-         "repeats": ("n_repeat_words", "n_words"), "capitals": ("n_capitals", "word_chars")}
-CUTOFFS = (20, 50, 100, 150, 200, 300, 400, 500, 700)
+# Part, whole, and how much more of it a clean text may have than of symbols: lists, tables and headings repeat lines and
+# words and have capitals, but few of these signs.
+RULES = {"symbols": ("n_symbols", "word_chars", 1), "dup_lines": ("n_dup_lines", "n_lines", 4),
+         "repeats": ("n_repeat_words", "n_words", 4), "capitals": ("n_capitals", "word_chars", 4)}
+CUTOFFS = (700, 500, 400, 300, 200, 150, 120, 100, 80, 60, 50, 40, 30, 20)  # thousandths, in the order of the tests
 RISK, DOUBT = 0.04, 0.05
 SPACE = "[ \\t\\n\\x0b\\f\\r]+"
 
@@ -74,9 +79,14 @@ def _repeated_words(words: Column) -> Column:
 
 
 def measure(rule: str) -> Column:
-    """The rule's share, in whole thousandths; 0 for texts without words."""
-    part, whole = RULES[rule]
-    return F.when(F.col(whole) > 0, F.floor(1000 * F.col(part) / F.col(whole))).otherwise(0)
+    """The rule's share by its weight, in whole thousandths; 0 for texts without words."""
+    part, whole, weight = RULES[rule]
+    return F.when(F.col(whole) > 0, F.floor(1000 * F.col(part) / (weight * F.col(whole)))).otherwise(0)
+
+
+def worst() -> Column:
+    """The greatest measure: any rule rejects a text for which this is over the cutoff."""
+    return F.greatest(*[measure(rule) for rule in RULES])
 
 
 def _log_tail(n: Column, k: Column, rate: float) -> Column:
@@ -90,16 +100,22 @@ def _log_tail(n: Column, k: Column, rate: float) -> Column:
     return F.when(k >= n * rate, 0.0).when(k == 0, first).otherwise(step)
 
 
-def cutoffs(good: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """(stratum, one column per rule): the lowest cutoff that passed its test, or null. ``good``: measures of good texts."""
-    counted = good.groupBy("stratum").agg(F.count("*").alias("n"), *[
-        F.count_if(measure(rule) > c).alias(f"{rule}_{c}") for rule in RULES for c in CUTOFFS])
+def cutoffs(labelled: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
+    """(stratum, cutoff): the chosen cutoff of each stratum with good texts, null if none is certified.
+
+    ``labelled``: measures of labelled texts, with ``good``. One row per stratum comes out of the first aggregate.
+    """
+    over = [(F.count_if(F.col("good") & (worst() > c)).alias(f"good_{c}"), F.count_if(~F.col("good") & (worst() > c)).alias(f"bad_{c}")) for c in CUTOFFS]
+    counted = labelled.groupBy("stratum").agg(F.count_if("good").alias("n"), F.count_if(~F.col("good")).alias("n_bad"), *[x for pair in over for x in pair])
     strata = F.count("*").over(Window.partitionBy(F.lit(1)))
-    tested = counted.withColumn("strata", strata).select("stratum", "n", "strata", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{rule}_{c}").alias("k")) for rule in RULES for c in CUTOFFS])).alias("test"))
-    passed = _log_tail(F.col("n"), F.col("test.k"), risk / len(RULES)) <= F.ln(F.lit(doubt) / (F.col("strata") * len(RULES) * len(CUTOFFS)))
-    return tested.withColumn("passed", passed).groupBy("stratum").agg(*[
-        F.min(F.when(F.col("passed") & (F.col("test.rule") == rule), F.col("test.cutoff"))).alias(rule) for rule in RULES])
+    tested = counted.filter("n > 0").withColumn("strata", strata).select("stratum", "n", "n_bad", "strata", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("cutoff"), F.col(f"good_{c}").alias("k"), F.col(f"bad_{c}").alias("k_bad")) for c in CUTOFFS])).alias("test"))
+    passed = _log_tail(F.col("n"), F.col("test.k"), risk) <= F.ln(F.lit(doubt) / F.col("strata"))
+    failed = F.max(F.when(~F.col("passed"), F.col("test.cutoff")))  # the loosest that failed; those after it don't count
+    tested = tested.withColumn("passed", passed).withColumn("failed", failed.over(Window.partitionBy("stratum")))
+    certified = F.col("failed").isNull() | (F.col("test.cutoff") > F.col("failed"))
+    gap = F.col("test.k_bad") * F.col("n") - F.col("test.k") * F.greatest("n_bad", F.lit(1))
+    return tested.groupBy("stratum").agg(F.max(F.when(certified, F.struct(gap.alias("gap"), F.col("test.cutoff").alias("cutoff"))))["cutoff"].alias("cutoff"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
@@ -112,12 +128,9 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     empty result; other columns are not read. Five-word windows are compared by 64-bit hashes.
     """
     rows = cut(measures(docs, id_col, text_col, stratum_col))
-    known = labels.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("low")).filter("low = 1")
-    good = rows.filter("NOT base_failed").join(known.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
-    limits = cutoffs(good, risk, doubt).withColumnRenamed("stratum", "of")
+    known = labels.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("low"), F.max(label_col).alias("high")).filter("low = high")
+    labelled = rows.filter("NOT base_failed").join(known.hint("merge"), F.col("doc_id") == F.col("id")).withColumn("good", F.col("low") == 1).drop("id", "low", "high")
+    limits = cutoffs(labelled, risk, doubt).withColumnRenamed("stratum", "of")
     found = rows.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")
-    rejected = [F.coalesce(measure(rule) > F.col(rule), F.lit(False)) for rule in RULES]
-    kept = ~F.col("base_failed")
-    for one in rejected:
-        kept = kept & ~one
-    return found.withColumn("kept", kept).drop("of", *RULES)
+    rejected = F.coalesce(worst() > F.col("cutoff"), F.lit(False))
+    return found.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("of", "cutoff")

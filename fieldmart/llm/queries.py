@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import tune
 from . import chat, classifier, decontaminate, jaccard, licences, mixing, periodic_runs, prefix_trie, quality_rules, simhash, suffix_dedup, token_counts, token_files
 from .common import space_words, table
-from .license_texts import known
+from .license_texts import listed
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,19 +49,21 @@ def _canonical(expression: str) -> str:
     form = f"' ' || regexp_replace(lower(line), '{licences.GAPS}', ' ', 'g') || ' '"
     for one, other in licences.SPELLINGS:
         form = f"replace({form}, '{one}', '{other}')"
-    return (f"[x for x in [trim(regexp_replace({form}, ' +', ' ', 'g')) for line in string_split(coalesce({expression}, ''), chr(10)) "
-            f"if NOT regexp_matches(line, '{licences.COPYRIGHT}')] if x <> '']")
+    whole = f"regexp_replace(part, {_text(licences.INLINE)}, ' \\1', 'g')"
+    statement = f"regexp_matches(line, {_text(licences.SIGNED)}) OR regexp_matches(line, {_text(licences.HELD)}) AND NOT regexp_matches(line, {_text(licences.WORDED)})"
+    lines = f"[{whole} for part in string_split(coalesce({expression}, ''), chr(10))]"
+    return f"[x for x in [trim(regexp_replace({form}, ' +', ' ', 'g')) for line in {lines} if NOT ({statement})] if x <> '']"
 
 
 SQL["op3_licences"] = f"""
-    WITH listed(license_id, text) AS (VALUES {", ".join(f"({_text(n)}, {_text(t)})" for n, t in known())}),
+    WITH listed(license_id, text) AS (VALUES {", ".join(f"({_text(n)}, {_text(t)})" for n, t in listed())}),
     known AS (SELECT sha256(array_to_string({_canonical("text")}, ' ')) AS digest, min(license_id) AS license_id FROM listed GROUP BY 1),
-    d AS (SELECT doc_id, {_canonical("text")} AS lines FROM documents),
-    t AS (SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, sha256(array_to_string(lines, ' ')) AS text_sha256, lines FROM d),
-    named AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
-              FROM (SELECT doc_id, sha256(unnest(lines)) AS digest FROM t) JOIN known USING (digest) GROUP BY doc_id)
+    d AS (SELECT row_number() OVER () AS row, doc_id, {_canonical("text")} AS lines FROM documents),
+    t AS (SELECT row, doc_id, CAST(len(lines) AS BIGINT) AS n_lines, sha256(array_to_string(lines, ' ')) AS text_sha256, lines FROM d),
+    named AS (SELECT row, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+              FROM (SELECT row, sha256(unnest(lines)) AS digest FROM t) JOIN known USING (digest) GROUP BY row)
     SELECT t.doc_id, n_lines, text_sha256, license_id, coalesce(notices, '') AS notices
-    FROM t LEFT JOIN known ON t.text_sha256 = known.digest LEFT JOIN named USING (doc_id)
+    FROM t LEFT JOIN known ON t.text_sha256 = known.digest LEFT JOIN named USING (row)
 """
 
 
@@ -104,12 +106,9 @@ def op7_quality_rules(spark, folder):
 
 def _rules_sql() -> str:
     q = quality_rules
-    share = {rule: f"CASE WHEN {whole} > 0 THEN floor(1000 * {part} / {whole}) ELSE 0 END" for rule, (part, whole) in q.RULES.items()}
-    tests = ", ".join(f"('{rule}', {c})" for rule in q.RULES for c in q.CUTOFFS)
-    risk = q.RISK / len(q.RULES)
-    measure = "CASE rule " + " ".join(f"WHEN '{rule}' THEN {share[rule]}" for rule in q.RULES) + " END"
-    rejected = " OR ".join(f"coalesce(({share[rule]}) > (SELECT cutoff FROM chosen c WHERE c.rule = '{rule}' AND c.stratum IS NOT DISTINCT FROM f.stratum), false)"
-                           for rule in q.RULES)
+    share = {rule: f"CASE WHEN {whole} > 0 THEN floor(1000 * {part} / ({weight} * {whole})) ELSE 0 END" for rule, (part, whole, weight) in q.RULES.items()}
+    worst = f"greatest({', '.join(share.values())})"
+    tests = ", ".join(f"({c})" for c in q.CUTOFFS)
     spaces = "[\\x20\\x09-\\x0D]+"
     return f"""
     WITH d AS (
@@ -126,18 +125,24 @@ def _rules_sql() -> str:
                CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_capitals
         FROM d LEFT JOIN covered USING (doc_id)),
     f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-    good AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
-    sized AS (SELECT stratum, count(*) AS n, count(*) OVER () AS strata FROM good GROUP BY stratum),
+    marks AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id HAVING min(quality) = max(quality)),
+    labelled AS (SELECT f.*, quality = 1 AS good FROM f JOIN marks USING (doc_id) WHERE NOT base_failed),
+    sized AS (SELECT *, count(*) OVER () AS strata FROM (
+        SELECT stratum, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS n_bad FROM labelled GROUP BY stratum) WHERE n > 0),
     tested AS (
-        SELECT g.stratum, rule, cutoff, count(*) FILTER ({measure} > cutoff) AS k
-        FROM good g, (VALUES {tests}) AS t(rule, cutoff) GROUP BY ALL),
+        SELECT g.stratum, cutoff, count(*) FILTER (good AND {worst} > cutoff) AS k, count(*) FILTER (NOT good AND {worst} > cutoff) AS k_bad
+        FROM labelled g, (VALUES {tests}) AS t(cutoff) GROUP BY ALL),
     tails AS (
-        SELECT t.*, n, strata, list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk}))
-               for j in range(0, k + 1)]) AS tail
+        SELECT t.*, k_bad * n - k * greatest(n_bad, 1) AS gap,
+               k < n * {q.RISK} AND list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({q.RISK}) + (n - j) * ln(1 - {q.RISK}))
+               for j in range(0, k + 1)]) <= {q.DOUBT} / strata AS passed
         FROM tested t JOIN sized s ON t.stratum IS NOT DISTINCT FROM s.stratum),
-    chosen AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tails
-               WHERE k < n * {risk} AND tail <= {q.DOUBT} / (strata * {len(q.RULES) * len(q.CUTOFFS)}) GROUP BY ALL)
-    SELECT *, NOT base_failed AND NOT ({rejected}) AS kept FROM f
+    chosen AS (
+        SELECT stratum, cutoff FROM tails t
+        WHERE NOT EXISTS (SELECT 1 FROM tails u WHERE u.stratum IS NOT DISTINCT FROM t.stratum AND u.cutoff >= t.cutoff AND NOT u.passed)
+        QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gap DESC, cutoff DESC) = 1)
+    SELECT f.*, NOT base_failed AND NOT coalesce({worst} > cutoff, false) AS kept
+    FROM f LEFT JOIN chosen c ON f.stratum IS NOT DISTINCT FROM c.stratum
     """
 
 
