@@ -212,6 +212,10 @@ SELECT count(DISTINCT IDdoticket) FILTER (WHERE Status = 'IN_CORRECTION') AS qtd
 FROM phase
 """)
 
+query("kpi_distinct_sketch", "aged tickets phase", """
+SELECT count(DISTINCT IDdoticket) > 0 AS qtd_correcao, count(DISTINCT IDdoticket) > 0 AS qtd_auditoria,
+  count(DISTINCT IDdoticket) > 0 AS qtd_improdutiva, count(DISTINCT IDdoticket) > 0 AS qtd_backoffice FROM phase
+""")
 query("kpi_distinct_over_days", "aged tickets phase", """
 SELECT desde, Status, count(DISTINCT IDdoticket) AS quantidade
 FROM phase JOIN (VALUES ('1990-01-01'), ('1999-01-01'), ('2001-01-01')) AS d(desde) ON Horadacriacao >= CAST(desde AS DATE) GROUP BY desde, Status
@@ -427,6 +431,7 @@ query("stream_session_pairing", "logins pairedbyday", f"""
 SELECT "user", day, strftime(ts, {_stamp}) AS started, strftime(stopped, {_stamp}) AS stopped FROM pairedbyday
 """)
 
+query("stream_once_within", "", "SELECT DISTINCT user_id, event_type FROM events")
 query("stream_open_sessions", "logins pairedbyday", f"""
 SELECT "user", day, strftime(ts, {_stamp}) AS started, strftime(stopped, {_stamp}) AS stopped FROM pairedbyday
 WHERE day < (SELECT CAST(max(ts) - INTERVAL 1 HOUR AS DATE) FROM logins)
@@ -781,6 +786,7 @@ FROM (SELECT *, unnest(CASE WHEN s_acctbal > 0 THEN
         [{{'id': {_v('s_suppkey')}, 'd': 'first'}}, {{'id': {_v('s_suppkey')}, 'd': 'first'}},
          {{'id': 'b' || s_suppkey, 'd': NULL}}] ELSE [{{'id': NULL, 'd': NULL}}] END) AS c FROM supplier)
 """)
+query("page_row_totals", "", "SELECT count(*) AS declared, count(o_orderkey) AS read FROM orders")
 query("damaged_page_rows", "", """
 SELECT style, kind, id FROM (
   SELECT 'read' AS kind, c_custkey AS id FROM customer WHERE c_custkey // 20 % 7 <> 3

@@ -105,6 +105,14 @@ def kpi_distinct_by_status(t):
     return indicators.indicator_history(i.phase_tickets(t), i.SHIP_AS_OF)[1]
 
 
+@query
+def kpi_distinct_sketch(t):
+    """Whether the sketch of each distinct count is within a tenth of it."""
+    exact, sketch = (indicators.status_counts(i.phase_tickets(t), approximate=a) for a in (False, True))
+    both = exact.select([F.col(c).alias(f"{c}_exact") for c in exact.columns]).withColumn("one", F.lit(1)).join(sketch.withColumn("one", F.lit(1)), "one")
+    return both.select([(F.abs(F.col(c) - F.col(f"{c}_exact")) <= 0.1 * F.col(f"{c}_exact")).alias(c) for c in sketch.columns])
+
+
 @query
 def kpi_distinct_over_days(t):
     """Distinct tickets by status over three ranges of days, from bitmaps that were stored for every day in two runs."""
@@ -645,6 +653,14 @@ def guarded_rows(t):
     return quality.require_rows(t.region, "region")
 
 
+@query
+def page_row_totals(t):
+    """Declared and read records of landed pages."""
+    path, rows = work_folder(t.spark, "totals"), t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    land_pages(rows, path, "numbered")
+    return quality.row_total(pages.read_pages(t.spark, path, rows.schema, "numbered", one_per_line=True))
+
+
 # --- sinks ----------------------------------------------------------------------------------------------
 
 @query
@@ -732,6 +748,16 @@ def stream_alert_once(t):
     return once.read_ledger(t.spark, f"{path}/ledger", rows.schema)
 
 
+@query
+def stream_once_within(t):
+    """Users and kinds of events, once within the horizon."""
+    path = work_folder(t.spark, "within")
+    rows = _stream(t, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    found = once.once_within(rows, ["user_id", "event_type"], "ts", "100 days").select("user_id", "event_type")
+    _run(found.writeStream.format("parquet").option("path", f"{path}/out"), f"{path}/checkpoint")
+    return t.spark.read.parquet(f"{path}/out")
+
+
 @query
 def stream_reconcile_status(t):
     path = work_folder(t.spark, "reconcile")
