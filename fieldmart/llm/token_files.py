@@ -2,17 +2,18 @@
 
 Texts are sorted by doc_id over all partitions; each partition writes segments, rows of one Parquet
 table with whole documents in them. A segment's ids are cut into blocks. Each block starts anew and can
-be read alone: magic, number of ids, number of payload words, CRC-32 of the ids, payload.
+be read with its segment's frequency table alone: magic, number of ids, number of payload words, CRC-32 of the
+ids, payload. The table lists the segment's repeated ids by falling count; all ids are coded as their ranks in it.
 
 Three predictions drive a block's arithmetic coder. Order 2 and order 1 each remember the id that
 followed the last two ids, or the last one, when that context (hashed) was last seen. Order 0 counts
-how often each class of ids occurred, as of the last multiple of 8 ids; a class holds ids of like size,
-uniformly. The mix of the three is
+how often each class of ids occurred, from the counts in the table on and as of the last multiple of 8 ids; a class
+holds ids of neighbouring ranks, so of like counts, uniformly. The mix of the three is
 p2 [id = a] + (1 - p2) p1 [id = b] + (1 - p2) (1 - p1) order0(id), where p2 and p1 follow how often the
 predictions were right. Writer and reader change everything alike.
 
-Blocks don't depend on each other, so a task codes many side by side: one step of the loop handles the
-next id of every block.
+Blocks don't depend on each other, so a task codes ``LANES`` of them side by side: one step of the loop handles the
+next id of every block. What a task holds is bounded in ids and bytes, not in rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,13 +37,15 @@ from .common import as_bytes, work_path
 MAGIC = b"MXR1"
 HEADER = "<4sIII"  # magic, ids, payload words, CRC-32
 BLOCK = 2048  # ids
-SEGMENT = 1 << 16  # ids; a longer document is a segment of its own
-GROUP = 1 << 22  # ids coded side by side, which bounds a task's memory
+SEGMENT = 1 << 20  # ids; a longer document is a segment of its own
+LANES = 512  # blocks coded side by side, which bounds a task's memory
+SLICE = 1 << 22  # bytes of texts that are split into units together
+LISTED = 4  # occurrences from which the table lists an id
 EVERY = 8  # ids between two changes of the order-0 counts
 TABLE = 10  # log2 of the remembered contexts of an order
 STEP, MOST = 16, 1 << 12  # growth of an order-0 count, and bound of their sum; order 0 always has ONE // 16, so each class has a share
 ONE = 1 << 16  # scale of probabilities
-KEPT = 300_000  # units whose ids a task remembers
+KEPT = 1 << 25  # bytes of units whose ids a task remembers
 
 
 def _class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,12 +55,42 @@ def _class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return 4 * bits + (value >> bits) - 4, bits, value & ((1 << bits) - 1)
 
 
+class Table:
+    """Ids of a segment by falling count, the others (``LISTED`` not reached) after them in their own order, and the share
+    of each class of ranks."""
+
+    def __init__(self, listed: np.ndarray, start: np.ndarray, largest: int):
+        rest = np.ones(largest + 1, bool)
+        rest[listed] = False
+        self.listed, self.start = listed.astype(np.int64), start.astype(np.int32)
+        self.id_of = np.concatenate((self.listed, np.flatnonzero(rest))).astype(np.int32)
+        self.rank_of = np.empty(largest + 1, np.int32)
+        self.rank_of[self.id_of] = np.arange(largest + 1, dtype=np.int32)
+
+    @classmethod
+    def of(cls, ids: np.ndarray, largest: int) -> Table:
+        counts = np.bincount(ids, minlength=largest + 1)
+        common = np.flatnonzero(counts >= LISTED)
+        found = cls(common[np.argsort(-counts[common], kind="stable")], np.empty(0), largest)
+        shares = np.bincount(_class(np.arange(largest + 1))[0], weights=counts[found.id_of])
+        found.start = (1 + shares * (MOST // 2) // max(1, len(ids))).astype(np.int32)
+        return found
+
+    def pack(self) -> bytes:
+        return zlib.compress(np.concatenate(([len(self.start)], self.start, self.listed)).astype("<u2").tobytes())
+
+    @classmethod
+    def unpack(cls, raw: bytes, largest: int) -> Table:
+        numbers = np.frombuffer(zlib.decompress(raw), "<u2").astype(np.int64)
+        return cls(numbers[1 + numbers[0]:], numbers[1: 1 + numbers[0]], largest)
+
+
 class _Lanes:
     """What writer and reader know of each block: counts, contexts, trust in the predictions, the range."""
 
-    def __init__(self, lanes: int, largest: int):
-        self.classes = int(_class(np.array([largest]))[0][0]) + 1
-        self.cumulated = np.tile(np.arange(self.classes + 1, dtype=np.int32), (lanes, 1))
+    def __init__(self, lanes: int, table: Table):
+        self.classes = len(table.start)
+        self.cumulated = np.tile(np.concatenate(([0], np.cumsum(table.start))).astype(np.int32), (lanes, 1))
         self.fresh = np.zeros(lanes * self.classes, np.int32)
         self.row = np.arange(lanes, dtype=np.int64) * self.classes
         self.seen = [np.full(lanes << TABLE, -1, np.int32) for _ in range(2)]
@@ -102,15 +136,17 @@ def _longest_first(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, going
 
 
-def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
-    """Each block's ids (0..largest, at most 2^16 - 5) as bytes."""
+def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[bytes]:
+    """Each block's ids (up to the table's largest, at most 2^16 - 5) as bytes."""
+    if len(blocks) > LANES:
+        return [b for i in range(0, len(blocks), LANES) for b in encode_blocks(blocks[i: i + LANES], table)]
     sizes = np.array([len(b) for b in blocks], np.int64)
     order, going = _longest_first(sizes)
     ids = np.zeros((len(going), len(blocks)), np.int32)
     for lane, i in enumerate(order):
-        ids[: sizes[i], lane] = blocks[i]
-    classes, bits, rest = _class(np.arange(largest + 1))
-    state = _Lanes(len(blocks), largest)
+        ids[: sizes[i], lane] = table.rank_of[blocks[i]]
+    classes, bits, rest = _class(np.arange(len(table.rank_of)))
+    state = _Lanes(len(blocks), table)
     low, place = np.zeros(len(blocks), np.uint64), np.zeros(len(blocks), np.int64)
     out = np.zeros((len(blocks), int(sizes.max(initial=0)) + 3), np.uint32)
 
@@ -161,8 +197,10 @@ def encode_blocks(blocks: list[np.ndarray], largest: int) -> list[bytes]:
     return done
 
 
-def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
+def decode_blocks(blocks: list[bytes], table: Table) -> list[np.ndarray]:
     """The ids of each block; raises if a block is not as it was written."""
+    if len(blocks) > LANES:
+        return [b for i in range(0, len(blocks), LANES) for b in decode_blocks(blocks[i: i + LANES], table)]
     heads = [struct.unpack_from(HEADER, b) for b in blocks]
     if any(magic != MAGIC or len(b) != struct.calcsize(HEADER) + 4 * words for b, (magic, _, words, _) in zip(blocks, heads, strict=True)):
         raise ValueError("not a block of token ids")
@@ -171,7 +209,7 @@ def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
     coded = np.zeros((len(blocks), max([h[2] for h in heads], default=0) + 3), np.uint64)
     for lane, i in enumerate(order):
         coded[lane, : heads[i][2]] = np.frombuffer(blocks[i], ">u4", offset=struct.calcsize(HEADER))
-    state = _Lanes(len(blocks), largest)
+    state = _Lanes(len(blocks), table)
     ids = np.zeros((len(going), len(blocks)), np.int32)
     code, place = (coded[:, 0] << np.uint64(32)) | coded[:, 1], np.full(len(blocks), 2, np.int64)
     for t, n in enumerate(going.tolist()):
@@ -207,7 +245,7 @@ def decode_blocks(blocks: list[bytes], largest: int) -> list[np.ndarray]:
             state.recount(n)
     found: list[np.ndarray] = [np.empty(0, np.int32)] * len(blocks)
     for lane, i in enumerate(order):
-        found[i] = ids[: sizes[i], lane]
+        found[i] = table.id_of[np.minimum(ids[: sizes[i], lane], len(table.id_of) - 1)]
         if checksum(found[i]) != heads[i][3]:
             raise ValueError("a block's checksum is wrong")
     return found
@@ -250,7 +288,8 @@ class UnitIds:
         self.forget()
 
     def forget(self) -> None:
-        self.index, self.pool, self.starts, self.sizes, self.held = {}, [], [], [], 0
+        self.index, self.bytes, self.held, self.count = {}, 0, 0, 0
+        self.pool, self.starts, self.sizes = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def split(self, raw: bytes) -> list:
         text = raw.decode()
@@ -266,16 +305,20 @@ class UnitIds:
             self.keep(units, coded.ids, sizes.tolist())
 
     def keep(self, units: list, ids: list[int], sizes: list[int]) -> None:
-        for unit, size in zip(units, sizes, strict=True):
-            size = len(ids) if size < 0 else size
-            self.index[unit] = len(self.sizes)
-            self.starts.append(self.held)
-            self.sizes.append(size)
-            self.held += size
-        self.pool += ids
+        n, m = self.count + len(units), self.held + len(ids)
+        while n > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate((x, np.empty_like(x))) for x in (self.starts, self.sizes))
+        while m > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        self.pool[self.held: m] = ids
+        self.sizes[self.count: n] = sizes
+        self.starts[self.count: n] = self.held + np.cumsum(sizes) - sizes
+        self.index.update(zip(units, range(self.count, n), strict=True))
+        self.bytes += sum(map(len, units)) + 4 * len(ids)
+        self.count, self.held = n, m
 
     def texts(self, texts: list[bytes], end: int) -> list[np.ndarray]:
-        if len(self.index) > KEPT:
+        if self.bytes > KEPT:
             self.forget()
         split = [self.split(t) for t in texts]
         index = self.index
@@ -283,8 +326,9 @@ class UnitIds:
         self.add([w for w in new if isinstance(w, str)])
         for word in new:
             if isinstance(word, bytes):
-                self.keep([word], self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, [-1])
-        starts, sizes, pool = np.array(self.starts, np.int64), np.array(self.sizes, np.int64), np.array(self.pool, np.int32)
+                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                self.keep([word], ids, [len(ids)])
+        starts, sizes, pool = self.starts, self.sizes, self.pool
         out = []
         for words in split:
             at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
@@ -296,9 +340,23 @@ class UnitIds:
         return out
 
 
-SCHEMA = "part int, segment int, first long, n_ids long, largest int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
+SCHEMA = "part int, segment int, first long, n_ids long, largest int, table binary, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("largest", pa.int32()),
-                    ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary()))])
+                    ("table", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary()))])
+
+
+_FOUND = pa.schema([("part", pa.int32()), ("local", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE`` bytes, of one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        yield at, stop
+        at = stop
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -308,53 +366,36 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
     Parts are numbered in order, segments inside their part. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    rows = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = UnitIds(tokenizer)
         largest, part = coder.tokenizer.get_vocab_size() - 1, TaskContext.get().partitionId()
         number = first = 0
-        names: list = []
-        ids: list[np.ndarray] = []
-
-        def flush():
-            nonlocal number, first, names, ids
-            sizes = np.array([len(x) for x in ids], np.int64)
-            cuts, held = [0], 0
-            for i, size in enumerate(sizes.tolist()):
-                if held and held + size > SEGMENT:
-                    cuts.append(i)
-                    held = 0
-                held += size
-            segments, blocks = [], []
-            for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True):
-                joined = np.concatenate(ids[a:b])
-                mine = [joined[i: i + BLOCK] for i in range(0, len(joined), BLOCK)]
-                segments.append((number, first, len(joined), names[a:b], sizes[a:b], len(mine)))
-                blocks += mine
-                number, first = number + 1, first + len(joined)
-            coded = encode_blocks(blocks, largest)
-            names, ids = [], []
-            at = 0
-            for n, start, size, ours, lengths, count in segments:
-                yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(
-                    (part, n, start, size, largest, ours, lengths, coded[at: at + count]), _ARROW, strict=True)], schema=_ARROW)
-                at += count
-
-        held = 0
+
+        def segment(names: list, ids: list[np.ndarray]) -> pa.RecordBatch:
+            nonlocal number, first
+            joined = np.concatenate(ids)
+            table = Table.of(joined, largest)
+            coded = encode_blocks([joined[i: i + BLOCK] for i in range(0, len(joined), BLOCK)], table)
+            row = (part, number, first, len(joined), largest, table.pack(), names, [len(x) for x in ids], coded)
+            number, first = number + 1, first + len(joined)
+            return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
+
+        names, ids, held = [], [], 0
         for batch in batches:
-            texts = as_bytes(batch.column(1))
-            ours = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 1024):
-                new = coder.texts(texts[at: at + 1024], end)
-                ids += new
-                names += ours[at: at + 1024]
-                held += sum(map(len, new))
-                if held >= GROUP:
-                    yield from flush()
-                    held = 0
+            texts, ours = batch.column(1).cast(pa.binary()), batch.column(0).to_pylist()
+            for at, stop in _slices(texts):
+                for name, new in zip(ours[at:stop], coder.texts(as_bytes(texts.slice(at, stop - at)), end), strict=True):
+                    if held and held + len(new) > SEGMENT:
+                        yield segment(names, ids)
+                        names, ids, held = [], [], 0
+                    names.append(name)
+                    ids.append(new)
+                    held += len(new)
         if ids:
-            yield from flush()
+            yield segment(names, ids)
 
     rows.mapInArrow(run, SCHEMA).write.mode("errorifexists").parquet(path)
 
@@ -365,30 +406,16 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.select(["part", "first", "n_ids", "largest", "doc_ids", "lengths"]).to_pylist()
-            column, at = batch.column("blocks"), 0
-            while at < len(rows):
-                stop, held = at, 0
-                while stop < len(rows) and (stop == at or held + rows[stop]["n_ids"] <= GROUP) and rows[stop]["largest"] == rows[at]["largest"]:
-                    held += rows[stop]["n_ids"]
-                    stop += 1
-                coded = column.slice(at, stop - at).to_pylist()
-                decoded = iter(decode_blocks([b for blocks in coded for b in blocks], rows[at]["largest"]))
-                out = {"part": [], "local": [], "doc_id": [], "n_tokens": [], "ids_crc32": []}
-                for row, blocks in zip(rows[at:stop], coded, strict=True):
-                    ids, place = np.concatenate([next(decoded) for _ in blocks]), 0
-                    for doc_id, size in zip(row["doc_ids"], row["lengths"], strict=True):
-                        out["part"].append(row["part"])
-                        out["local"].append(row["first"] + place)
-                        out["doc_id"].append(doc_id)
-                        out["n_tokens"].append(size)
-                        out["ids_crc32"].append(checksum(ids[place: place + size]))
-                        place += size
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("part", pa.int32()), ("local", pa.int64()), ("doc_id", pa.int64()),
-                                                                        ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]))
-                at = stop
-
-    found = segments.select("part", "first", "n_ids", "largest", "doc_ids", "lengths", "blocks").mapInArrow(
+            for at in range(batch.num_rows):  # a segment at a time
+                row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+                ids = np.concatenate(decode_blocks(row["blocks"], Table.unpack(row["table"], row["largest"])))
+                ends = np.cumsum(row["lengths"])
+                starts = ends - row["lengths"]
+                checks = [checksum(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                columns = [np.full(len(ends), row["part"]), row["first"] + starts, row["doc_ids"], row["lengths"], checks]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND)
+
+    found = segments.select("part", "first", "largest", "table", "doc_ids", "lengths", "blocks").mapInArrow(
         run, "part int, local long, doc_id long, n_tokens long, ids_crc32 long")
     sizes = segments.groupBy(F.col("part").alias("of")).agg(F.sum("n_ids").alias("size"))
     ahead = sizes.select("of", (F.sum("size").over(Window.orderBy("of")) - F.col("size")).alias("before"))  # a row per part

@@ -49,17 +49,54 @@ def test_blocks_round_trip():
     rng = np.random.default_rng(4)
     for top in (0, 1, 5, 300, 49_407):
         blocks = [rng.integers(0, top, rng.integers(1, 700), endpoint=True) for _ in range(30)] + [np.tile(rng.integers(0, top, 3, endpoint=True), 400)]
-        coded = token_files.encode_blocks(blocks, 49_407)
-        assert all((a == b).all() for a, b in zip(blocks, token_files.decode_blocks(coded, 49_407), strict=True))
-        assert (token_files.decode_blocks(coded[5:6], 49_407)[0] == blocks[5]).all()  # a block can be read alone
+        packed = token_files.Table.of(np.concatenate(blocks), 49_407).pack()
+        table = token_files.Table.unpack(packed, 49_407)
+        coded = token_files.encode_blocks(blocks, table)
+        assert all((a == b).all() for a, b in zip(blocks, token_files.decode_blocks(coded, table), strict=True))
+        assert (token_files.decode_blocks(coded[5:6], token_files.Table.unpack(packed, 49_407))[0] == blocks[5]).all()  # a block can be read alone
     assert len(coded[-1]) < len(blocks[-1])  # repeated contexts are predicted
 
 
 def test_broken_blocks_are_found():
-    block = bytearray(token_files.encode_blocks([np.arange(100)], 49_407)[0])
+    ids = np.arange(100)
+    table = token_files.Table.of(ids, 49_407)
+    block = bytearray(token_files.encode_blocks([ids], table)[0])
     block[30] ^= 4
     with pytest.raises(ValueError):
-        token_files.decode_blocks([bytes(block)], 49_407)
+        token_files.decode_blocks([bytes(block)], table)
+
+
+def test_files_are_smaller_than_deflated_ids(spark, tmp_path):
+    """On the benchmark texts: under zlib of the same blocks, and within half a bit of the entropy of single ids."""
+    folder, path = "/root/testdata/sf0.01", str(tmp_path / "ids")
+    token_files.write_token_files(spark.read.parquet(f"{folder}/documents.parquet").coalesce(1), path, WORD)
+    rows = spark.read.parquet(path).collect()
+    coded = sum(len(r.table) + sum(map(len, r.blocks)) for r in rows)
+    ids = np.concatenate([x for r in rows for x in token_files.decode_blocks(r.blocks, token_files.Table.unpack(r.table, r.largest))])
+    counts = np.bincount(ids)
+    shares = counts[counts > 0] / len(ids)
+    deflated = sum(len(zlib.compress(ids[i: i + token_files.BLOCK].astype("<u2").tobytes(), 9)) for i in range(0, len(ids), token_files.BLOCK))
+    entropy = float(-(shares * np.log2(shares)).sum())
+    print(8 * coded / len(ids), 8 * deflated / len(ids), entropy)
+    assert coded < deflated and 8 * coded / len(ids) < entropy + 0.5
+
+
+def test_segments_and_memories_are_cut(spark, tmp_path, monkeypatch):
+    """Documents longer than a segment, many segments and parts, and a memory of units that is emptied all the time."""
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(5)
+    long = " ".join(f"w{k}" for k in rng.integers(0, 3000, 60_000))
+    rows = [(1, "short one"), (2, long), (3, None), (None, "a"), (None, "b b"), (5, "日本語" * 4000), (5, long[:5000])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    library = Tokenizer.from_file(WORD)
+    expected = sorted(((i, len(x), zlib.crc32(x.tobytes())) for i, t in rows for x in [np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")]), key=repr)
+    for name, value in (("SEGMENT", 5000), ("LANES", 3), ("SLICE", 1000), ("KEPT", 2000)):
+        monkeypatch.setattr(token_files, name, value)
+    token_files.write_token_files(frame, str(tmp_path / "ids"), WORD)
+    found = token_files.read_token_files(spark, str(tmp_path / "ids"))
+    assert rows_of(found, "doc_id", "n_tokens", "ids_crc32") == expected
+    assert spark.read.parquet(str(tmp_path / "ids")).count() > 2
 
 
 def test_units_give_the_library_ids():
