@@ -60,6 +60,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct named ``row``: names that an operator needs beside it clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def space_words(text: Column | str) -> Column:
     """The words of a text, ``[^\\x20\\x09-\\x0D]+``; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "[ \\t\\n\\x0b\\f\\r]+"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut
+from .common import SPACES, cut, whole_row
 
 BLOCK_WORDS = 1 << 15
 SHARD_WORDS = 1 << 21  # words of the mix in an output shard, if their number isn't given
@@ -271,12 +271,21 @@ def _draw(draws: list[int], shards: int, seed: int):
     return draw
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", seed: int = 7, **settings) -> DataFrame:
-    """The mix itself: the columns of ``docs`` and ``shard``; each row as often as it is taken, in random order inside its shard."""
-    taken = mix(docs, id_col, seed=seed, **settings).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("shards")).alias("_shards"))
-    rows = docs.withColumns({"_id": F.col(id_col).cast("long"), "_key": row_key(docs, seed)}).dropDuplicates(["_id", "_key"])
-    taken = taken.withColumnsRenamed({"doc_id": "_doc", "key": "_row"})
-    rows = rows.join(taken, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_row")))
-    rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"], "_key", F.posexplode("_shards").alias("_turn", "shard"))
-    rows = rows.withColumn("_order", F.xxhash64(F.lit(seed), "shard", "_key", "_turn"))
-    return rows.repartition("shard").sortWithinPartitions("shard", "_order").drop("_key", "_turn", "_order")
+def mixed(docs: DataFrame, id_col: str = "doc_id", seed: int = 7, shard_col: str | None = None, **settings) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, in random order inside its shard, a shard in a partition.
+
+    All columns come back as they are. With ``shard_col`` the number of the shard is added in a column of that name,
+    in place of a column that has it.
+    """
+    number = F.col(f"`{id_col}`").cast("long")
+    taken = mix(docs, id_col, seed=seed, **settings)
+    taken = taken.groupBy(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), "key").agg(F.flatten(F.collect_list("shards")).alias("shards"))
+    keys = ["id", "unnamed", "key"]
+    rows = docs.select(F.coalesce(number, F.lit(0)).alias("id"), number.isNull().alias("unnamed"), row_key(docs, seed).alias("key"), whole_row(docs))
+    rows = rows.dropDuplicates(keys).join(taken.filter(F.size("shards") > 0), keys)
+    rows = rows.select("key", "row", F.posexplode("shards").alias("turn", "shard"))
+    rows = rows.withColumn("order", F.xxhash64(F.lit(seed), "shard", "key", "turn"))
+    dealt = rows.repartition("shard").sortWithinPartitions("shard", "order")
+    if shard_col is None:
+        return dealt.select("row.*")
+    return dealt.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != shard_col], F.col("shard").alias(shard_col))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, map_texts
+from .common import as_bytes, cut, map_texts, whole_row
 from .components import roots
 
 SEGMENT = 2  # bits
@@ -134,13 +134,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id, with all its columns."""
+    """``docs`` with one row of each component: that of the smallest doc_id, with all its columns as they are.
+
+    Texts are shuffled once, for the join and the choice among equal rows together."""
     found = near_duplicates(docs, id_col, text_col, **settings)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    rows = docs.withColumns({"_id": F.col(id_col).cast("long"), "_hash": F.xxhash64(text_col)})
-    kept = rows.join(first.withColumnsRenamed({"_id": "_a", "_hash": "_b"}), F.col("_id").eqNullSafe(F.col("_a")) & (F.col("_hash") == F.col("_b")), "left_semi")
-    return kept.dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    first = first.select("first.unnamed", F.coalesce("first.doc_id", F.lit(0)).alias("id"), "first.text_hash")
+    number = F.col(f"`{id_col}`").cast("long")
+    keys = ["unnamed", "id", "text_hash"]
+    rows = docs.select(number.isNull().alias("unnamed"), F.coalesce(number, F.lit(0)).alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), whole_row(docs))
+    return rows.join(first, keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def hex_digits(fingerprint: Column | str) -> Column:

@@ -58,11 +58,16 @@ def test_a_document_over_a_block_across_the_cut(spark):
 
 
 def test_mixed_rows(spark):
-    frame = docs(spark).drop("shard")
+    frame = docs(spark)
     out = mixing.mixed(frame, block=200)
-    assert out.columns == [*frame.columns, "shard"]
+    assert out.columns == frame.columns
+    given = {tuple(r) for r in frame.collect()}
+    assert {tuple(r) for r in out.collect()} <= given  # every column as it was, "shard" among them
     drawn = mixing.mix(frame, block=200).collect()
     assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in drawn for _ in r.shards)
+    numbered = mixing.mixed(frame, block=200, shard_col="shard")
+    assert numbered.columns == [*(c for c in frame.columns if c != "shard"), "shard"]
+    assert Counter((r.doc_id, r.shard) for r in numbered.collect()) == Counter((r.doc_id, x) for r in drawn for x in r.shards)
 
 
 def test_tree_splits_exactly():
