@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart.llm import classifier, decontaminate, mixing, simhash, token_files
-from fieldmart.llm.common import table, work_path
+from fieldmart.llm.common import table, whole_row, work_path
 from fieldmart.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,14 +31,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too much of the benchmark go."""
-    found = decontaminate.marked(docs, table(spark, sf_dir, "benchmark"), size=13)
+    rows = docs.select(whole_row(docs), "text")
+    found = decontaminate.marked(rows, table(spark, sf_dir, "benchmark"), size=13)
     clean = ~decontaminate.is_contaminated(decontaminate.hit_words(), F.col("decontaminated.n_words"))
-    return found.filter(clean).select(*docs.columns)
+    return found.filter(clean).select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole, in the order of the output shards."""
-    return mixing.mixed(docs, weights=(3, 1, 2), share=1.5, most=2.0).select(*docs.columns)
+    return mixing.mixed(docs, weights=(3, 1, 2), share=1.5, most=2.0)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
