@@ -204,6 +204,7 @@ def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(doc_id, held_out, score, predicted), one row for each row of ``docs``; null texts score as empty ones.
 
     Only the text enters a score. Repeated rows stay, an empty table gives an empty result, other columns are not read.
+    Texts of any length are scored whole.
     """
     model = fit(docs, labels, id_col, text_col, **settings)
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), scorer(docs, model)(text_col).alias("score"))

@@ -127,7 +127,7 @@ def marked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: s
     """``docs`` with a column ``decontaminated``: struct(n_words, spans of hit words, item_ids).
 
     An earlier column of that name is replaced. Null texts and items have no words; repeated rows stay;
-    rows of an item id count as one item; items without an id are left out. With an empty benchmark
+    texts of any length are searched whole; rows of an item id count as one item; items without an id are left out. With an empty benchmark
     nothing is hit.
     """
     index = rare_word_index(docs, items, text_col, item_id, item_text, size)

@@ -58,7 +58,8 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``n_lines`` counts lines with words that aren't copyright statements, ``text_sha256`` is the digest of the
     whole canonical text, ``license_id`` its licence (null: none known), ``notices`` the licences that
-    lines name, sorted and comma-joined. Null texts are empty. Repeated rows and null ids stay, one row each. An empty table gives an empty result; other columns are not read.
+    lines name, sorted and comma-joined. Null texts are empty. Repeated rows and null ids stay, one row each. An empty table gives an empty result; other columns are not read. Texts of any length are
+    scanned whole.
     """
     texts = list(texts or listed())
     digests = known_digests(docs.sparkSession, texts)

@@ -214,7 +214,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     is a hash of the row; rows that are equal get equal keys. A source's taken words differ from its
     target by at most half of the smallest document that the partial pass leaves out.
     Null sources are one source; documents without words are not taken; an empty table gives an empty
-    result. Runs with the same rows and seed agree.
+    result. A text counts whole, whatever its length. Runs with the same rows and seed agree.
     """
     spark = docs.sparkSession
     rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(docs, seed).alias("key"),

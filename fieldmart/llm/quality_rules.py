@@ -125,7 +125,7 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Texts that fail the base (under 10 words, or over a fifth of the words in repeated windows) are not
     kept. Null texts have no words. Null strata are one stratum; strata without good labels only have
     the base. Of contradicting labels of an id none counts. Repeated rows stay; an empty table gives an
-    empty result; other columns are not read. Five-word windows are compared by 64-bit hashes.
+    empty result; other columns are not read. Texts are measured whole, whatever their length. Five-word windows are compared by 64-bit hashes.
     """
     rows = cut(measures(docs, id_col, text_col, stratum_col))
     known = labels.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("low"), F.max(label_col).alias("high")).filter("low = high")

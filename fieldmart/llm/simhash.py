@@ -121,7 +121,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest doc_id that can be reached over links, ``root`` the smallest
     fingerprint. Null and blank texts have fingerprint zero, which links like any other. A null doc_id
     is never the smallest; a component that has no other gets null. Repeated rows stay. An empty table
-    gives an empty result. Other columns of ``docs`` are not read.
+    gives an empty result. Other columns of ``docs`` are not read. Texts of any
+    length are hashed whole, a bounded number of shingles at a time.
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))

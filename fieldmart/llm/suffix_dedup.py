@@ -330,7 +330,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Bytes under a 200-byte string that also starts anywhere else are removed. Null texts are empty; a
     repeated row repeats all its strings; rows with one id are documents of their own. Other columns are
-    not read; an empty table gives an empty result.
+    not read; an empty table gives an empty result. Texts of any length are searched whole.
     """
     keyed = _keyed(docs, id_col, text_col)
     marks = repeated_stretches(keyed, crowd).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))

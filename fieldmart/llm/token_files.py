@@ -363,7 +363,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
     """Writes the ids of all texts, each with ``end`` after it, in ascending doc_id order.
 
     Null ids come first, rows with one id in the order of their texts' hashes; null texts are empty.
-    Parts are numbered in order, segments inside their part. Other columns are not read.
+    Parts are numbered in order, segments inside their part. Other columns are not read. Texts are
+    encoded whole; one text and its ids must fit into a task.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
