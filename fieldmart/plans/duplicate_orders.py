@@ -80,6 +80,7 @@ def duplicate_orders(ticket: DataFrame, crm: DataFrame, groups: DataFrame, citie
                         & (F.col("OsFresh") != F.col("OsCRM_EAF")))
     full = (pairs.join(installers, "_group", "left").join(phases, "IBGE_Fresh", "left")
             .join(codes, "_postal", "left"))
+    # The columns of the report.
     return full.select(
         "OsFresh", "StatusInstalacaoFresh", "IBGE_Fresh", "DataInstalacaoFresh", "InstaladoraFresh",
         "NomeFresh", "CPF_Fresh", "OsCRM_EAF", "StatusCRM_EAF", "StatusInstalacaoCRM_EAF", "CriacaoCRM_EAF",

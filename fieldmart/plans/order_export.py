@@ -23,6 +23,7 @@ def order_columns(as_of) -> list[Column]:
     def col(path: str, name: str) -> Column:
         return F.col(path).alias(name)
 
+    # The 36 columns of the export.
     return [
         digits_only("s.protocol.number").alias("protocol_number"),
         col("s.protocol.createdAt", "protocol_created_at"),
