@@ -11,7 +11,7 @@ In a tile, hashed bitmaps are compared: a bit that only one of two sets has stan
 so bit counts bound the overlap from above. Pairs that pass the bound are counted exactly on the sorted arrays.
 
 Pairs are not emitted for whole tiles. Each set first meets the smallest set of each of its tiles, which settles
-groups of near copies in one pass each. Only tiles that still hold several components go on: those of their sets that
+groups of near copies; pairs inside a component that is known are not looked at again. Only tiles that still hold several components go on: those of their sets that
 are not in the largest component meet all others in blocks of about 256 by 256, split over all tasks.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, cut, map_texts
@@ -215,7 +215,8 @@ def _placed(frame: DataFrame, column: str, component: DataFrame, name: str) -> D
 
 
 def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): pairs of different components in one tile that bitmaps allow to link, without those of the tile's first set."""
+    """(a, b, share): pairs of different components in one tile that bitmaps allow to link, without those of the tile's
+    first set, and the similarity that they allow in thousandths."""
     parts = members.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n"))
     tiles = parts.groupBy("tile").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
@@ -229,7 +230,7 @@ def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     dealt = upright.union(across).join(sets.select("set_id", "size", "bits"), "set_id")
     dealt = dealt.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "side").select("tile", "i", "j", "side", "set_id", "component", "size", "bits")
 
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+    def compare(rows: list[tuple]) -> list[tuple[int, int, int]]:
         split = next((k for k, r in enumerate(rows) if r[0]), len(rows))
         left, right = rows[:split], rows[split:]
         if not left or not right:
@@ -240,8 +241,10 @@ def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
         out = []
         for _, set_id, component, size, bits in left:
             most = overlap_bound((size, _folded(bits, width)), sizes, maps)
-            near = np.flatnonzero((parts != component) & (den * most >= num * (size + sizes - most)))
-            out += [(min(set_id, i), max(set_id, i)) for i in ids[near].tolist()]
+            union = size + sizes - most
+            near = np.flatnonzero((parts != component) & (den * most >= num * union))
+            share = 1000 * most[near] // union[near]
+            out += [(min(set_id, i), max(set_id, i), s) for i, s in zip(ids[near].tolist(), share.tolist(), strict=True)]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,35 +256,62 @@ def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                     pairs += compare(rows)
                     key, rows = (tile, i, j), []
                 rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
-        pairs = compare(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+            yield table_of(pairs)
+        yield table_of(compare(rows))
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    def table_of(pairs: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in range(3)], ["a", "b", "share"])
 
+    return dealt.mapInArrow(run, "a long, b long, share long").groupBy("a", "b").agg(F.max("share").alias("share"))
 
-def set_links(sets: DataFrame, docs: DataFrame, text_col: str, shingle: int, num: int, den: int) -> DataFrame:
-    """(a, b): links that connect all sets whose similarity is at least ``num`` / ``den``, and no others."""
+
+def _merged(component: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components after links between some of them, given as (a, b) by their roots."""
+    higher = roots(edges)
+    up = higher.select(F.col("vertex").alias("at"), F.col("root").alias("up"))
+    known = component.join(up, component.root == F.col("at"), "left").select("vertex", F.coalesce("up", "root").alias("root"))
+    return cut(known.union(higher.join(component.select("vertex"), "vertex", "left_anti").select("vertex", "root")))
+
+
+def _settled(component: DataFrame, pairs: DataFrame, sets: DataFrame, docs: DataFrame, text_col: str, shingle: int, num: int, den: int) -> DataFrame:
+    """The components after all links among the pairs (a, b, share).
+
+    Of the pairs between the same two components, the most similar come first: once one of them links, the others have
+    nothing to add. The pairs taken in a round grow, so few rounds settle also components that many pairs do not link.
+    """
+    take = 1
+    while True:
+        ends = _placed(_placed(pairs, "a", component, "of_a"), "b", component, "of_b").filter("of_a <> of_b")
+        ends = ends.withColumns({"low": F.least("of_a", "of_b"), "high": F.greatest("of_a", "of_b")})
+        order = Window.partitionBy("low", "high").orderBy(F.desc("share"), "a", "b")
+        now = cut(ends.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= take).select("a", "b", "low", "high"))
+        if now.isEmpty():
+            return component
+        ids = now.select(F.col("a").alias("set_id")).union(now.select("b")).distinct()
+        good = cut(_linked(now, _arrays(ids, sets, docs, text_col, shingle), num, den))
+        if not good.isEmpty():
+            component = _merged(component, now.join(good, ["a", "b"]).select(F.col("low").alias("a"), F.col("high").alias("b")).distinct())
+        pairs, take = cut(ends.join(now.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "share")), 32 * take
+
+
+def set_components(sets: DataFrame, docs: DataFrame, text_col: str, shingle: int, num: int, den: int) -> DataFrame:
+    """(vertex, root): the component, named by its smallest set, of every set that links with another one."""
     entries = sets.select("set_id", F.explode("tiles").alias("tile"))
     tiles = entries.groupBy("tile").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last")).filter("first < last").select("tile", "first")
     members = cut(entries.join(cut(tiles), "tile").filter("set_id <> first"))
-    star = cut(_may_link(members.select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct(), sets, num, den))
-    ids = star.select(F.col("a").alias("set_id")).union(star.select("b")).distinct()
-    arrays = cut(_arrays(ids, sets, docs, text_col, shingle))
-    # Each set with the most similar of the first sets of its tiles, then with the others that are elsewhere still.
-    links = cut(_linked(star.groupBy("a").agg(F.max_by("b", "share").alias("b")), arrays, num, den))
-    component = roots(links)
-    apart = _placed(_placed(star, "a", component, "at_a"), "b", component, "at_b").filter("at_a <> at_b").select("a", "b")
-    more = cut(_linked(apart, arrays, num, den))
-    if not more.isEmpty():
-        links = links.union(more)
-        component = roots(links)
+    # Each set with the first set that it shares most tiles with.
+    shared = members.groupBy(F.col("set_id").alias("a"), F.col("first").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    nearest = shared.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    nearest = cut(_may_link(nearest, sets, num, den))
+    ids = nearest.select(F.col("a").alias("set_id")).union(nearest.select("b")).distinct()
+    component = roots(cut(_linked(nearest, _arrays(ids, sets, docs, text_col, shingle), num, den)))
+    # Then with those first sets that are in another component still.
+    apart = _placed(_placed(members, "set_id", component, "of_a"), "first", component, "of_b").filter("of_a <> of_b")
+    star = apart.select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct().join(nearest, ["a", "b"], "left_anti")
+    component = _settled(component, cut(_may_link(star, sets, num, den)), sets, docs, text_col, shingle, num, den)
     # Tiles that hold several components still.
     rest = cut(_blocks(cut(_placed(members, "set_id", component, "component")), sets, num, den))
-    if rest.isEmpty():
-        return links
-    ids = rest.select(F.col("a").alias("set_id")).union(rest.select("b")).distinct()
-    return links.union(cut(_linked(rest, cut(_arrays(ids, sets, docs, text_col, shingle)), num, den)))
+    return _settled(component, rest, sets, docs, text_col, shingle, num, den)
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -298,7 +328,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("the similarity must lie between 0 and 1")
     rows = cut(described(docs, id_col, text_col, shingle, num, den))
     sets = cut(rows.filter("size(tiles) > 0").select("set_id", "text_hash", "size", "bits", "tiles").dropDuplicates(["set_id"]))
-    component = roots(set_links(sets, docs, text_col, shingle, num, den))
+    component = set_components(sets, docs, text_col, shingle, num, den)
     placed = rows.select("doc_id", "set_id", F.col("size").alias("n_shingles"))
     full = _placed(placed.filter("n_shingles > 0"), "set_id", component, "root")
     smallest = full.groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
