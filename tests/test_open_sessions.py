@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 
 from fieldmart.operators.sequence import pair_sessions
@@ -56,3 +58,46 @@ def test_pairs_equal_the_daily_report(store, tmp_path, rows):
     assert rows(found.filter("NOT late").drop("late")) == sorted(expected, key=repr)
     late = found.filter("late").collect()
     assert [(r["user"], r["started"], r["stopped"]) for r in late] == [("hot", None, START + dt.timedelta(minutes=1))]
+
+
+class Store:
+    """A list state that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.calls, self.timers = [], 0, set()
+
+    def getListState(self, name, schema):
+        return self.__dict__.setdefault(name, Store())
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def appendList(self, rows):
+        self.put(self.rows + rows)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, list(rows)
+
+    def clear(self):
+        self.put([])
+
+
+def test_calls_of_the_store_do_not_grow_with_the_users():
+    def calls(users):
+        handle, pairing = Store(), open_sessions._processor("LOGOUT")
+        pairing.init(handle)
+        batch = [(f"u{n}", minute * 60_000_000 + n, n, event) for n in range(users) for minute, event in ((1, "LOGIN"), (5, "LOGIN"), (9, "LOGOUT"), (12, "LOGIN"))]
+        clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+        out = list(pairing.handleInputRows((0, 3), iter([pd.DataFrame(batch, columns=["user", "at_us", "tie", "event"])]), clock))
+        for at in sorted(handle.timers):
+            out += pairing.handleExpiredTimer((0, 3), clock, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))
+        found = pd.concat(out)
+        assert (len(found), found["stopped"].isna().sum(), found["user"].nunique(), found["late"].any()) == (2 * users, users, users, False)
+        assert not (handle.open.rows or handle.held.rows)
+        return handle.open.calls + handle.held.calls
+
+    assert calls(1) == calls(400)
