@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import travel
+from ..session import remove
 from ..sources.schemas import travel_type
 from .inputs import Tables, text
 
@@ -36,23 +35,57 @@ def as_records(rows: DataFrame, **fields) -> DataFrame:
     return rows.select(*[_value(v).alias(k) for k, v in fields.items()])
 
 
+def _bodies(records: DataFrame, per_page: int) -> DataFrame:
+    """The JSON texts of one column joined to bodies of pages, task by task: nothing is shuffled. ``part`` and ``place``
+    tell the pages apart, as long as the frame is computed once."""
+    def cut(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, place, held = TaskContext.get().partitionId(), 0, []
+
+        def page():
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([place], pa.int64()), pa.array([len(held)], pa.int64()),
+                                               pa.array([",".join(held)], pa.string())], ["part", "place", "size", "body"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(text)
+                if len(held) == per_page:
+                    yield page()
+                    place, held = place + 1, []
+        if held:
+            yield page()
+
+    return records.mapInArrow(cut, "part int, place long, size long, body string")
+
+
 def land_pages(rows: DataFrame, path: str, style: str, per_page: int = 500) -> None:
-    """Writes records as JSON pages of the given style, one page per line, about ``per_page`` records each.
-    Every declared page is there, if need be without records."""
-    total = rows.count()
-    n = max(1, math.ceil(total / per_page))
+    """Writes records as JSON pages of the given style, one page per line, of ``per_page`` records each, the last one of
+    each task of fewer. Without any record there is one empty page.
+
+    How many pages there are is known when all are made, so they are written once compressed, and then with their numbers."""
+    spark, staged = rows.sparkSession, f"{path}-staged"
     record = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    filled = rows.select(record.alias("r"), (F.pmod(F.xxhash64(F.to_json(record)), F.lit(n)) + 1).alias("page")).groupBy("page").agg(F.collect_list("r").alias("data"))
-    every = rows.sparkSession.range(1, n + 1).withColumnRenamed("id", "page").join(filled, "page", "left")
-    data = F.coalesce("data", F.array().cast(filled.schema["data"].dataType))
+    _bodies(rows.select(F.to_json(record).alias("record")), per_page).write.option("compression", "zstd").parquet(staged)
+    made = spark.read.parquet(staged)
+    before, n, total = {}, 0, 0
+    for part, pages, records in made.groupBy("part").agg(F.count("*"), F.sum("size")).orderBy("part").collect():  # a row for each task
+        before[part] = n
+        n, total = n + pages, total + records
+    if n:
+        skipped = F.lit([before.get(part, 0) for part in range(max(before) + 1)])
+        made = made.select((F.get(skipped, F.col("part")) + F.col("place") + 1).alias("page"), "body")
+    else:
+        n, made = 1, spark.range(1, 2, 1, 1).select(F.col("id").alias("page"), F.lit("").alias("body"))
     if style == "content":
-        page = F.struct(F.col("page").alias("pagina"), data.alias("content"), F.lit(n).alias("totalPaginas"))
+        form, cells = f'{{"pagina":%d,"content":[%s],"totalPaginas":{n}}}', ("page", "body")
     elif style == "numbered":
-        counted = F.struct(F.col("page").alias("current_page"), F.lit(n).alias("total_pages"), F.lit(total).alias("total"))
-        page = F.struct(data.alias("data"), F.struct(counted.alias("pagination")).alias("meta"))
+        form, cells = f'{{"data":[%s],"meta":{{"pagination":{{"current_page":%d,"total_pages":{n},"total":{total}}}}}}}', ("body", "page")
     else:
-        page = F.struct(data.alias("data"))
-    every.select(F.to_json(page).alias("value")).write.text(path)
+        form, cells = '{"data":[%s]}', ("body",)
+    made.select(F.format_string(form, *cells).alias("value")).write.text(path)
+    remove(spark, staged)
 
 
 def either(number: str, kinds: list[tuple[Column, Column]], otherwise: Column) -> Column:

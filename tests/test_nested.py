@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldmart.catalog.travel_inputs import land_pages
 from fieldmart.operators import nested
 from fieldmart.operators.quality import IncompleteData
 from fieldmart.plans import call_log, travel
@@ -44,6 +45,26 @@ def test_travel_tables_from_landed_pages(spark, tmp_path, rows):
         [("1", "7"), ("1", "8"), ("2", None), ("3", None)], key=repr)
 
 
+def test_landing_joins_records_to_pages_where_they_are(spark, tmp_path):
+    """Pages hold neighbouring records of one task, full but for its last one: no record is shuffled."""
+    rows = spark.range(0, 2000, 1, 2).select("id", F.when(F.col("id") % 2 == 0, F.concat(F.lit('"%d\n'), F.col("id").cast("string"))).alias("note"))
+    for style, listed in (("offset", "data"), ("numbered", "data"), ("content", "content")):
+        for name, frame, sizes in (("all", rows, [400, 400, 200] * 2), ("none", rows.filter("id < 0"), [0])):
+            path = str(tmp_path / f"{style}-{name}")
+            land_pages(frame, path, style, per_page=400)
+            found = [json.loads(r["value"]) for r in spark.read.text(path).collect()]
+            found.sort(key=lambda page: page[listed][0]["id"] if page[listed] else 0)
+            assert [len(page[listed]) for page in found] == sizes
+            assert [r["id"] for page in found for r in page[listed]] == list(range(sum(sizes)))
+            assert all(r.get("note") == (f'"%d\n{r["id"]}' if r["id"] % 2 == 0 else None) for page in found for r in page[listed])
+            numbers = list(range(1, len(sizes) + 1))
+            if style == "numbered":
+                assert [page["meta"]["pagination"] for page in found] == [{"current_page": k, "total_pages": len(sizes), "total": sum(sizes)} for k in numbers]
+            elif style == "content":
+                assert [(page["pagina"], page["totalPaginas"]) for page in found] == [(k, len(sizes)) for k in numbers]
+            assert not (tmp_path / f"{style}-{name}-staged").exists()
+
+
 def test_incomplete_or_empty_feeds_are_refused(spark, tmp_path):
     gap = write_pages(tmp_path / "gap", numbered(1, 3, {"id": 1}), numbered(3, 3, {"id": 2}))
     with pytest.raises(IncompleteData, match=r"1 missing pages, first \[2\]"):
