@@ -7,13 +7,13 @@ ids, payload. The table lists the segment's repeated ids by falling count; all i
 
 Three predictions drive a block's arithmetic coder. Order 2 and order 1 each remember the id that
 followed the last two ids, or the last one, when that context (hashed) was last seen. Order 0 counts
-how often each class of ids occurred, from the counts in the table on and as of the last multiple of 8 ids; a class
+how often each class of ids occurred, from the counts in the table on and as of the last multiple of ``EVERY`` ids; a class
 holds ids of neighbouring ranks, so of like counts, uniformly. The mix of the three is
-p2 [id = a] + (1 - p2) p1 [id = b] + (1 - p2) (1 - p1) order0(id), where p2 and p1 follow how often the
-predictions were right. Writer and reader change everything alike.
+p2 [id = a] + (1 - p2) p1 [id = b] + (1 - p2) (1 - p1) order0(id), where p2 and p1 follow, every ``JUDGED`` ids, how often
+the predictions were right. Writer and reader change everything alike.
 
 Blocks don't depend on each other, so a task codes ``LANES`` of them side by side: one step of the loop handles the
-next id of every block. What a task holds is bounded in ids and bytes, not in rows.
+next id of every block, so the cost of a step's array operations is shared by all of them. What a task holds is bounded in ids and bytes, not in rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +35,22 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, work_path
 
-MAGIC = b"MXR1"
+MAGIC = b"MXR2"
 HEADER = "<4sIII"  # magic, ids, payload words, CRC-32
 BLOCK = 2048  # ids
-SEGMENT = 1 << 20  # ids; a longer document is a segment of its own
-LANES = 512  # blocks coded side by side, which bounds a task's memory
+SEGMENT = 1 << 23  # ids; a longer document is a segment of its own
+LANES = 4096  # blocks coded side by side, which bounds a task's memory
 SLICE = 1 << 22  # bytes of texts that are split into units together
 LISTED = 4  # occurrences from which the table lists an id
-EVERY = 8  # ids between two changes of the order-0 counts
+EVERY = 64  # ids between two changes of the order-0 counts
 TABLE = 10  # log2 of the remembered contexts of an order
 STEP, MOST = 16, 1 << 12  # growth of an order-0 count, and bound of their sum; order 0 always has ONE // 16, so each class has a share
 ONE = 1 << 16  # scale of probabilities
-KEPT = 1 << 25  # bytes of units whose ids a task remembers
+NONE = (1 << 16) - 1  # no id was seen in this context
+EDGE = 15  # log2 of the scale of the cumulated order-0 counts
+WIDE = 64  # places for the cumulated counts of a lane, eight groups of eight; 2^16 ids have 57 classes
+JUDGED = 8  # ids between two changes of the trust in the predictions
+KEPT = 3 << 26  # bytes of words and units whose ids a task remembers, with what Python needs for them
 
 
 def _class(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,43 +95,72 @@ class _Lanes:
 
     def __init__(self, lanes: int, table: Table):
         self.classes = len(table.start)
-        self.cumulated = np.tile(np.concatenate(([0], np.cumsum(table.start))).astype(np.int32), (lanes, 1))
-        self.fresh = np.zeros(lanes * self.classes, np.int32)
-        self.row = np.arange(lanes, dtype=np.int64) * self.classes
-        self.seen = [np.full(lanes << TABLE, -1, np.int32) for _ in range(2)]
-        self.trust = [np.full(lanes, ONE // 4, np.int64) for _ in range(2)]  # of order 2 and order 1
+        self.freq = np.tile(table.start.astype(np.int64), (lanes, 1))
+        self.row, self.other = np.arange(lanes, dtype=np.int64) * self.classes, lanes * self.classes
+        self.came = np.full((EVERY, lanes), self.other, np.int64)  # places in freq of the last ids from order 0
+        self.edges = np.full((lanes, WIDE), 1 << 31, np.uint32)  # cumulated counts, and the first of each further group of eight
+        self.groups = np.full((lanes, 8), 1 << 31, np.uint32)
+        self.edge_row, self.group_row = (np.arange(lanes, dtype=np.int64) * k for k in (WIDE, 8))
+        self.seen = [np.full(lanes << TABLE, NONE, np.uint16) for _ in range(2)]
+        self.trust = [np.full(lanes, ONE // 4, np.uint32) for _ in range(2)]  # of order 2 and order 1
+        self.tried, self.right = (np.zeros((2, lanes), np.uint8) for _ in range(2))
         self.base = np.arange(lanes, dtype=np.int64) << TABLE
-        self.last = [np.zeros(lanes, np.int64) for _ in range(2)]  # the last id and the one before
+        self.last = [np.zeros(lanes, np.uint32) for _ in range(2)]  # the last id and the one before
         self.range = np.full(lanes, 2**64 - 1, np.uint64)
-        self.lane = np.arange(lanes)
+        self.recount(lanes)
 
     def predict(self, n: int):
         """For the first ``n`` lanes: predicted ids of order 2 and 1, and the two and the rest's share of ONE."""
-        one, two = self.last[0][:n], self.last[1][:n]
-        mask = (1 << TABLE) - 1
-        self.at = [self.base[:n] + (((one * 0x9E3779B1 + two * 0x85EBCA6B) >> 15) & mask), self.base[:n] + (((one * 0x9E3779B1) >> 15) & mask)]
-        a, b = self.seen[0][self.at[0]], self.seen[1][self.at[1]]
-        share2 = np.where(a >= 0, self.trust[0][:n], 0)
-        share1 = np.where((b >= 0) & (a != b), ((ONE - share2) * self.trust[1][:n]) >> 16, 0)
-        return a, b, share2, share1, ONE - share2 - share1
-
-    def learn(self, n: int, ids, a, b, classes, literal) -> None:
-        for seen, trust, at, guess in ((self.seen[0], self.trust[0], self.at[0], a), (self.seen[1], self.trust[1], self.at[1], b)):
-            old = trust[:n]
-            old += np.where(guess >= 0, ((ids == guess) * (ONE - ONE // 4) - old) >> 4, 0)
-            np.maximum(old, 64, out=old)
-            seen[at] = ids
+        one = self.last[0][:n] * 0x9E3779B1
+        two = one + self.last[1][:n] * 0x85EBCA6B
+        self.at = self.base[:n] + (two >> (32 - TABLE)), self.base[:n] + (one >> (32 - TABLE))
+        a, b = self.seen[0].take(self.at[0]), self.seen[1].take(self.at[1])
+        self.known = a != NONE, b != NONE
+        share2 = self.trust[0][:n] * self.known[0]
+        left = ONE - share2
+        share1 = (left * self.trust[1][:n] >> 16) * (self.known[1] & (a != b))
+        return a, b, share2, share1, left - share1
+
+    def shares(self, places, share0):
+        """Start and size of the classes at these places of the edges, in what is left to order 0."""
+        flat = self.edges.reshape(-1)
+        start = share0 * flat.take(places) >> EDGE
+        return start, (share0 * flat.take(places + 1) >> EDGE) - start
+
+    def learn(self, t: int, n: int, ids, right, classes, literal) -> None:
+        """What came as id ``t``, and which of the two predictions were ``right``."""
+        for k in range(2):
+            self.seen[k][self.at[k]] = ids
+            self.tried[k, :n] += self.known[k]
+            self.right[k, :n] += right[k]
         self.last[1][:n] = self.last[0][:n]
         self.last[0][:n] = ids
-        self.fresh[self.row[:n] + classes] += STEP * literal
+        self.came[t % EVERY, :n] = np.where(literal, self.row[:n] + classes, self.other)
+        if t % JUDGED == JUDGED - 1:
+            for trust, tried, right in zip(self.trust, self.tried[:, :n], self.right[:, :n], strict=True):
+                old = trust[:n].astype(np.int64)
+                trust[:n] = np.maximum(old + ((right * np.int64(3 * ONE // 4) - tried * old) >> 4), 64)
+            self.tried[:] = self.right[:] = 0
+        if t % EVERY == EVERY - 1:
+            came = np.bincount(self.came[:, :n].reshape(-1), minlength=self.other + 1)
+            self.freq[:n] += STEP * came[: n * self.classes].reshape(n, self.classes)
+            self.recount(n)
 
     def recount(self, n: int) -> None:
-        """The order-0 counts, with what came since the last change."""
-        freq = np.diff(self.cumulated[:n], axis=1) + self.fresh[: n * self.classes].reshape(n, self.classes)
-        full = np.flatnonzero(freq.sum(axis=1) > MOST - STEP * EVERY)
+        """The edges of the order-0 classes by their counts."""
+        freq = self.freq[:n]
+        full = np.flatnonzero(freq.sum(axis=1) > MOST)
         freq[full] = (freq[full] + 1) >> 1
-        self.cumulated[:n, 1:] = np.cumsum(freq, axis=1, dtype=np.int32)
-        self.fresh[:] = 0
+        ends = np.cumsum(freq, axis=1, dtype=np.uint32)
+        self.edges[:n, 0] = 0
+        self.edges[:n, 1: self.classes + 1] = (ends << EDGE) // ends[:, -1:]
+        self.groups[:n, :7] = self.edges[:n, 8::8]
+
+    def find(self, n: int, reach) -> np.ndarray:
+        """Place of the last edge up to ``reach``: its group first, then inside it."""
+        group = self.group_row[:n] + np.bitwise_count((self.groups[:n] <= reach[:, None]).view(np.uint64)[:, 0])
+        inside = self.edges.reshape(-1, 8).take(group, axis=0) <= reach[:, None]
+        return 8 * group + np.bitwise_count(inside.view(np.uint64)[:, 0]) - 1
 
 
 def _longest_first(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,10 +176,11 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[bytes]:
         return [b for i in range(0, len(blocks), LANES) for b in encode_blocks(blocks[i: i + LANES], table)]
     sizes = np.array([len(b) for b in blocks], np.int64)
     order, going = _longest_first(sizes)
-    ids = np.zeros((len(going), len(blocks)), np.int32)
+    ids = np.zeros((len(going), len(blocks)), np.uint16)
     for lane, i in enumerate(order):
         ids[: sizes[i], lane] = table.rank_of[blocks[i]]
     classes, bits, rest = _class(np.arange(len(table.rank_of)))
+    bits, rest = bits.astype(np.uint8), rest.astype(np.uint16)
     state = _Lanes(len(blocks), table)
     low, place = np.zeros(len(blocks), np.uint64), np.zeros(len(blocks), np.int64)
     out = np.zeros((len(blocks), int(sizes.max(initial=0)) + 3), np.uint32)
@@ -158,37 +193,31 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[bytes]:
             lanes, at = lanes[again], at[again] - 1
 
     for t, n in enumerate(going.tolist()):
-        x = ids[t, :n].astype(np.int64)
-        kind = classes[x]
+        x = ids[t, :n]
         a, b, share2, share1, share0 = state.predict(n)
-        hit2 = (x == a) & (share2 > 0)
-        hit1 = (x == b) & (share1 > 0) & ~hit2
+        hit2, hit1 = x == a, x == b
         literal = ~(hit2 | hit1)
-        counts, total = state.cumulated, state.cumulated[:n, -1].astype(np.int64)
-        lane = state.lane[:n]
-        start = share0 * counts[lane, kind] // total
-        size = share0 * counts[lane, kind + 1] // total - start
-        start = np.where(literal, start + share2 + share1, np.where(hit2, 0, share2)).astype(np.uint64)
-        size = np.where(literal, size, np.where(hit2, share2, share1)).astype(np.uint64)
-        unit = state.range[:n] >> np.uint64(16)
-        before = low[:n].copy()
-        more = np.where(literal, bits[x], 0).astype(np.uint64)
-        span = unit * size
-        fine = span >> more
-        now = before + unit * start + fine * np.where(literal, rest[x], 0).astype(np.uint64)
-        low[:n] = now
+        other = x * literal.astype(np.int64)  # the first id's class has it alone, so without bits
+        kind = classes.take(other)
+        start, size = state.shares(state.edge_row[:n] + kind, share0)
+        start = np.where(literal, start + (share2 + share1), share2 * ~hit2)
+        size = np.where(literal, size, np.where(hit2, share2, share1))
+        unit = state.range[:n] >> 16
+        fine = unit * size >> bits.take(other)
+        before = low[:n]
+        now = before + (unit * start + fine * rest.take(other))
         over = np.flatnonzero(now < before)
+        low[:n] = now
         if len(over):
             carry(over)
         state.range[:n] = fine
-        short = np.flatnonzero(fine < np.uint64(1 << 32))
-        out[short, place[short]] = (low[short] >> np.uint64(32)).astype(np.uint32)
-        place[short] += 1
-        low[short] <<= np.uint64(32)
-        state.range[short] <<= np.uint64(32)
-        state.learn(n, x, a, b, kind, literal)
-        if t % EVERY == EVERY - 1:
-            state.recount(n)
+        short = np.flatnonzero(fine < 1 << 32)
+        words, at = now.take(short), place.take(short)
+        out[short, at] = words >> 32
+        place[short] = at + 1
+        low[short] = words << 32
+        state.range[short] = fine.take(short) << 32
+        state.learn(t, n, x, (hit2, hit1), kind, literal)
     done = [b""] * len(blocks)
     for lane, i in enumerate(order):
         words = out[lane, : place[lane] + 2]
@@ -206,43 +235,42 @@ def decode_blocks(blocks: list[bytes], table: Table) -> list[np.ndarray]:
         raise ValueError("not a block of token ids")
     sizes = np.array([h[1] for h in heads], np.int64)
     order, going = _longest_first(sizes)
-    coded = np.zeros((len(blocks), max([h[2] for h in heads], default=0) + 3), np.uint64)
+    coded = np.zeros((len(blocks), max([h[2] for h in heads], default=0) + 3), np.uint32)
     for lane, i in enumerate(order):
         coded[lane, : heads[i][2]] = np.frombuffer(blocks[i], ">u4", offset=struct.calcsize(HEADER))
     state = _Lanes(len(blocks), table)
-    ids = np.zeros((len(going), len(blocks)), np.int32)
-    code, place = (coded[:, 0] << np.uint64(32)) | coded[:, 1], np.full(len(blocks), 2, np.int64)
+    ids = np.zeros((len(going), len(blocks)), np.uint16)
+    first, width = ((4 + np.arange(WIDE) % 4) << np.arange(WIDE) // 4) - 4, np.arange(WIDE, dtype=np.uint64) // 4  # of each class
+    first = first.astype(np.uint64)
+    code, place = coded[:, 0].astype(np.uint64) << 32 | coded[:, 1], np.full(len(blocks), 2, np.int64)
     for t, n in enumerate(going.tolist()):
         a, b, share2, share1, share0 = state.predict(n)
-        unit = state.range[:n] >> np.uint64(16)
-        at = np.minimum(code[:n] // unit, np.uint64(ONE - 1)).astype(np.int64)
+        unit = state.range[:n] >> 16
+        at = np.minimum(code[:n] // unit, ONE - 1).astype(np.uint32)
+        guessed = share2 + share1
         hit2 = at < share2
-        hit1 = ~hit2 & (at < share2 + share1)
-        literal = ~(hit2 | hit1)
-        counts, total = state.cumulated, state.cumulated[:n, -1].astype(np.int64)
-        reach = ((np.maximum(at - share2 - share1, 0) + 1) * total - 1) // share0
-        kind = np.minimum((counts[:n, 1:] <= reach[:, None]).sum(axis=1), state.classes - 1)
-        lane = state.lane[:n]
-        start = share0 * counts[lane, kind] // total
-        size = share0 * counts[lane, kind + 1] // total - start
-        start = np.where(literal, start + share2 + share1, np.where(hit2, 0, share2)).astype(np.uint64)
-        size = np.where(literal, size, np.where(hit2, share2, share1)).astype(np.uint64)
-        width = kind >> 2
-        more = np.where(literal, width, 0).astype(np.uint64)
-        fine = (unit * size) >> more
+        literal = at >= guessed
+        reach = (((np.maximum(at, guessed) - guessed + 1) << EDGE) - 1) // share0
+        places = state.find(n, reach)
+        kind = places - state.edge_row[:n]
+        start, size = state.shares(places, share0)
+        start = np.where(literal, start + guessed, share2 * ~hit2)
+        size = np.where(literal, size, np.where(hit2, share2, share1))
+        more = width.take(kind) * literal
+        fine = unit * size >> more
         left = code[:n] - unit * start
-        rest = np.minimum(left // fine, (np.uint64(1) << more) - np.uint64(1))
-        code[:n] = left - fine * rest
-        x = np.where(literal, ((4 + (kind & 3)) << width) + rest.astype(np.int64) - 4, np.where(hit2, a, b))
+        rest = np.minimum(left // fine, (np.uint64(1) << more) - 1)
+        now = left - fine * rest
+        x = np.where(literal, (first.take(kind) + rest).astype(np.uint16), np.where(hit2, a, b))
         ids[t, :n] = x
+        code[:n] = now
         state.range[:n] = fine
-        short = np.flatnonzero(fine < np.uint64(1 << 32))
-        code[short] = (code[short] << np.uint64(32)) | coded[short, place[short]]
-        place[short] += 1
-        state.range[short] <<= np.uint64(32)
-        state.learn(n, x, a, b, kind, literal)
-        if t % EVERY == EVERY - 1:
-            state.recount(n)
+        short = np.flatnonzero(fine < 1 << 32)
+        at = place.take(short)
+        code[short] = now.take(short) << 32 | coded[short, np.minimum(at, coded.shape[1] - 1)]
+        place[short] = at + 1
+        state.range[short] = fine.take(short) << 32
+        state.learn(t, n, x, (hit2, x == b), kind, literal)
     found: list[np.ndarray] = [np.empty(0, np.int32)] * len(blocks)
     for lane, i in enumerate(order):
         found[i] = table.id_of[np.minimum(ids[: sizes[i], lane], len(table.id_of) - 1)]
@@ -270,12 +298,19 @@ LETTERS, DIGITS, SPACE = _class_of("L"), _class_of("N"), "\t\n\x0b\x0c\r \x85\xa
 UNITS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{SPACE}{LETTERS}{DIGITS}]+"
 
 
+# The tokenizer's signs for bytes: those that print stand for themselves, the others for the next signs from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SIGNS = {byte: 256 + k for k, byte in enumerate(sorted(set(range(256)) - set(_PRINTED))) if byte != 10}  # no unit holds a line end
+
+
 class UnitIds:
-    """Ids of texts by the tokenizers library, each distinct unit encoded once.
+    """Ids of texts by the tokenizers library, each distinct word and unit encoded once.
 
     The tokenizer lower-cases, drops white space, and merges inside units only, so a text's ids are those
-    of its units. Texts with characters that aren't in ``PLAIN_CHARACTERS`` or with special strings are cut
-    at spaces alone, and the library finds the units inside.
+    of its units. Words, cut at ASCII spaces and told apart by Arrow, are cut into units here, and a unit's bytes go to
+    the library's model without its normalizer, which has nothing to do then. A word with characters that aren't in
+    ``PLAIN_CHARACTERS`` or with special strings is left whole to the library, which finds the units inside. Some new
+    words of every call are compared with what the library makes of them as they stand.
     """
 
     def __init__(self, path: str):
@@ -283,29 +318,21 @@ class UnitIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.plain = re.compile(f"[{PLAIN_CHARACTERS}]*").fullmatch
-        self.units = re.compile(UNITS).findall
+        self.units = re.compile(f"\n|{UNITS}").findall
         self.forget()
 
     def forget(self) -> None:
-        self.index, self.bytes, self.held, self.count = {}, 0, 0, 0
+        self.words, self.known, self.bytes, self.held, self.count = {}, {}, 0, 0, 0  # number of each word, of each unit
         self.pool, self.starts, self.sizes = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.keep(self.known, ["\n"], np.empty(0, np.int32), [0])
 
-    def split(self, raw: bytes) -> list:
-        text = raw.decode()
-        return raw.split() if "<|" in text or not self.plain(text) else self.units(text.lower())
-
-    def add(self, units: list[str]) -> None:
-        """Encodes new units together: with a space between them each stays one."""
-        if units:
-            coded = self.tokenizer.encode(" ".join(units), add_special_tokens=False)
-            sizes = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(units))
-            if len(sizes) != len(units) or not sizes.all():
-                raise ValueError("this tokenizer cuts texts in another way")
-            self.keep(units, coded.ids, sizes.tolist())
+    def library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def keep(self, units: list, ids: list[int], sizes: list[int]) -> None:
-        n, m = self.count + len(units), self.held + len(ids)
+    def keep(self, index: dict, names: list[str], ids: np.ndarray, sizes) -> None:
+        n, m = self.count + len(names), self.held + len(ids)
         while n > len(self.sizes):
             self.starts, self.sizes = (np.concatenate((x, np.empty_like(x))) for x in (self.starts, self.sizes))
         while m > len(self.pool):
@@ -313,31 +340,65 @@ class UnitIds:
         self.pool[self.held: m] = ids
         self.sizes[self.count: n] = sizes
         self.starts[self.count: n] = self.held + np.cumsum(sizes) - sizes
-        self.index.update(zip(units, range(self.count, n), strict=True))
-        self.bytes += sum(map(len, units)) + 4 * len(ids)
+        index.update(zip(names, range(self.count, n), strict=True))
+        self.bytes += sum(map(len, names)) + 160 * len(names) + 4 * len(ids)
         self.count, self.held = n, m
 
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these numbers one after the other, and where each number's end."""
+        n = self.sizes.take(at)
+        ends = np.cumsum(n)
+        return self.pool.take(np.repeat(self.starts.take(at) - (ends - n), n) + np.arange(int(n.sum()))), ends
+
+    def encode(self, units: list[str]) -> None:
+        """Encodes new units, those of ASCII signs as they are and the others by the signs for their bytes."""
+        plain, odd = [u for u in units if u.isascii() and u.isprintable()], [u for u in units if not (u.isascii() and u.isprintable())]
+        signs = "\n".join(odd).encode().decode("latin-1").translate(SIGNS).split("\n") if odd else []
+        ids, ends, tokenize = [], [], self.model.tokenize
+        for unit in chain(plain, signs):
+            ids += [t.id for t in tokenize(unit)]
+            ends.append(len(ids))
+        self.keep(self.known, plain + odd, np.array(ids, np.int32), np.diff(ends, prepend=0))
+
+    def add(self, words: list[str]) -> None:
+        """Encodes new words."""
+        joined = "\n".join(words)
+        if "<|" in joined or not self.plain(joined):
+            plain = [bool("<|" not in w and self.plain(w)) for w in words]
+            others = [w for w, p in zip(words, plain, strict=True) if not p]
+            found = [self.library(w) for w in others]
+            self.keep(self.words, others, np.array([*chain.from_iterable(found)], np.int32), list(map(len, found)))
+            words = [w for w, p in zip(words, plain, strict=True) if p]
+            joined = "\n".join(words)
+        if words:
+            units = self.units(joined.lower() + "\n")
+            known = self.known
+            self.encode([u for u in set(units) if u not in known])
+            at = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+            ids, ends = self.ids(at)
+            ends = ends[at == 0]
+            self.keep(self.words, words, ids, np.diff(ends, prepend=0))
+            some = words[:: 1 + len(words) // 1000]
+            if self.library(" ".join(some)) != self.ids(np.array([self.words[w] for w in some]))[0].tolist():
+                raise ValueError("this tokenizer cuts texts in another way")
+
     def texts(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         if self.bytes > KEPT:
             self.forget()
-        split = [self.split(t) for t in texts]
-        index = self.index
-        new = {w for words in split for w in words if w not in index}
-        self.add([w for w in new if isinstance(w, str)])
-        for word in new:
-            if isinstance(word, bytes):
-                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-                self.keep([word], ids, [len(ids)])
-        starts, sizes, pool = self.starts, self.sizes, self.pool
-        out = []
-        for words in split:
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            n = sizes[at]
-            ends = np.cumsum(n)
-            size = int(ends[-1]) if len(ends) else 0
-            ids = pool[np.repeat(starts[at] - (ends - n), n) + np.arange(size)]
-            out.append(np.append(ids, np.int32(end)))
-        return out
+        whole = pa.array(texts, pa.binary()).cast(pa.string())
+        # Special strings are found as they are written, so their texts keep their capitals.
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(whole, "<|"), whole, pc.ascii_lower(whole)))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            names = words[new].tolist()
+            self.add(names)
+            at[new] = np.fromiter(map(self.words.__getitem__, names), np.int64, len(names))
+        ids, ends = self.ids(at.take(coded.indices.to_numpy()))
+        stops = np.concatenate(([0], ends)).take(np.cumsum(np.concatenate(([0], split.value_lengths().to_numpy())))).tolist()
+        return [np.append(ids[a:b], np.int32(end)) for a, b in pairwise(stops)]
 
 
 SCHEMA = "part int, segment int, first long, n_ids long, largest int, table binary, doc_ids array<long>, lengths array<long>, blocks array<binary>"

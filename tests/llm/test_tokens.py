@@ -113,3 +113,35 @@ def test_capitals_whose_small_letters_lie_further_up():
     library, some = Tokenizer.from_file(WORD), ["President Əliyev said", *(f"a{c}b {c}x {c}" for c in "İƁƆƉƊƏƐƓƔƖƗƜƝƟƦƩƮƱƲƷȺȾɄɅ")]
     for t in some:  # each alone, so that each is seen by a fresh one
         assert token_files.UnitIds(WORD).texts([t.encode()], 2)[0].tolist() == [*library.encode(t, add_special_tokens=False).ids, 2]
+
+
+def test_only_words_that_need_it_go_to_the_whole_library():
+    """One foreign or special word does not send its whole text there; of new words some are compared."""
+    own = token_files.UnitIds(WORD)
+    library, given = own.tokenizer, []
+
+    class Counted:
+        def encode(self, text, **settings):
+            given.append(text)
+            return library.encode(text, **settings)
+
+    own.tokenizer = Counted()
+    for extra in ("日本語", "<|endoftext|>ABC", "<|ENDOFTEXT|>", "plain"):
+        text = " ".join(f"Wörd{i:x}q's, x{i}" for i in range(6000)) + " " + extra
+        own.forget()
+        given.clear()
+        assert own.texts([b"", text.encode()], 2)[1].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert sum(map(len, given)) < len(text) / 2
+
+
+def test_many_blocks_are_coded_by_the_same_steps(monkeypatch):
+    """A step handles an id of every block, and the counts are not made anew for each few ids."""
+    steps, counts = [], []
+    for name, seen in (("predict", steps), ("recount", counts)):
+        run = getattr(token_files._Lanes, name)
+        monkeypatch.setattr(token_files._Lanes, name, lambda self, *a, run=run, seen=seen: (seen.append(1), run(self, *a))[1])
+    ids = np.random.default_rng(3).integers(0, 3000, (3000, 128))
+    table = token_files.Table.of(ids.reshape(-1), 49_407)
+    blocks = token_files.encode_blocks(list(ids), table)
+    assert len(steps) == 128 and len(counts) <= 3
+    assert (np.array(token_files.decode_blocks(blocks, table)) == ids).all()
