@@ -12,7 +12,9 @@ so bit counts bound the overlap from above. Pairs that pass the bound are counte
 
 Pairs are not emitted for whole tiles. Each set first meets the smallest set of each of its tiles, which settles
 groups of near copies; pairs inside a component that is known are not looked at again. Only tiles that still hold several components go on: those of their sets that
-are not in the largest component meet all others in blocks of about 256 by 256, split over all tasks.
+are not in the largest component meet one block of about 256 others first, of which only the most similar one is passed on for each of them. Most sets
+that link with any other are placed by that. In tiles that hold several components even then, they meet all others in blocks of about 256 by 256, split
+over all tasks.
 """
 
 from __future__ import annotations
@@ -109,8 +111,8 @@ def tile_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Bit ``hash mod size`` for each element; the size is a power of two, twice to four times as many bits as elements."""
-    size = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    """Bit ``hash mod size`` for each element; the size is a power of two, four to eight times as many bits as elements."""
+    size = max(64, 1 << (4 * len(hashes) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -214,9 +216,10 @@ def _placed(frame: DataFrame, column: str, component: DataFrame, name: str) -> D
     return frame.join(at, F.col(column) == F.col("at"), "left").withColumn(name, F.coalesce("found", column)).drop("at", "found")
 
 
-def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int, whole: bool = True) -> DataFrame:
     """(a, b, share): pairs of different components in one tile that bitmaps allow to link, without those of the tile's
-    first set, and the similarity that they allow in thousandths."""
+    first set, and the similarity that they allow in thousandths. Not ``whole``: of each set in a tile only the most similar
+    pair with one block of others, so no more pairs than there are members."""
     parts = members.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n"))
     tiles = parts.groupBy("tile").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
@@ -224,8 +227,11 @@ def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                                              F.col("most.component").alias("home"))
     inside = members.join(tiles, "tile")
     spot = lambda n: F.pmod(F.xxhash64("set_id"), F.col(n)).cast("int")
-    upright = inside.filter("component <> home").select("tile", spot("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"),
+    chosen = F.pmod(F.xxhash64("tile"), F.col("columns")).cast("int")
+    met = F.sequence(F.lit(0), F.col("columns") - 1) if whole else F.array(chosen)
+    upright = inside.filter("component <> home").select("tile", spot("rows").alias("i"), F.explode(met).alias("j"),
                                                         F.lit(0).alias("side"), "set_id", "component")
+    inside = inside if whole else inside.filter(spot("columns") == chosen)
     across = inside.select("tile", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), spot("columns").alias("j"), F.lit(1).alias("side"), "set_id", "component")
     dealt = upright.union(across).join(sets.select("set_id", "size", "bits"), "set_id")
     dealt = dealt.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "side").select("tile", "i", "j", "side", "set_id", "component", "size", "bits")
@@ -244,6 +250,8 @@ def _blocks(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             union = size + sizes - most
             near = np.flatnonzero((parts != component) & (den * most >= num * union))
             share = 1000 * most[near] // union[near]
+            if len(near) > 1 and not whole:
+                near, share = near[[share.argmax()]], share[[share.argmax()]]
             out += [(min(set_id, i), max(set_id, i), s) for i, s in zip(ids[near].tolist(), share.tolist(), strict=True)]
         return out
 
@@ -309,7 +317,9 @@ def set_components(sets: DataFrame, docs: DataFrame, text_col: str, shingle: int
     apart = _placed(_placed(members, "set_id", component, "of_a"), "first", component, "of_b").filter("of_a <> of_b")
     star = apart.select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct().join(nearest, ["a", "b"], "left_anti")
     component = _settled(component, cut(_may_link(star, sets, num, den)), sets, docs, text_col, shingle, num, den)
-    # Tiles that hold several components still.
+    # Tiles that hold several components still: the most similar pairs first, then all of what is left.
+    some = cut(_blocks(cut(_placed(members, "set_id", component, "component")), sets, num, den, whole=False))
+    component = _settled(component, some, sets, docs, text_col, shingle, num, den)
     rest = cut(_blocks(cut(_placed(members, "set_id", component, "component")), sets, num, den))
     return _settled(component, rest, sets, docs, text_col, shingle, num, den)
 

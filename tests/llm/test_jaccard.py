@@ -74,6 +74,28 @@ def test_blocks_find_what_first_sets_miss(spark, monkeypatch):
     assert rows_of(jaccard.similar_sets(frame, shingle=4, num=85, den=100), "doc_id", "n_shingles", "component_id") == plain(rows, 4, 85, 100)
 
 
+def test_few_pairs_of_a_large_group_are_passed_on(spark, monkeypatch):
+    """Sets that do not link with the first one, but with many others: one of these is enough."""
+    passed, run = [], jaccard._blocks
+
+    def blocks(*args, **settings):
+        found = run(*args, **settings)
+        passed.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_blocks", blocks)
+    rng = random.Random(3)
+    rows = []
+    for i in range(160):
+        words = [f"w{k}" for k in range(200)]
+        for at in rng.sample(range(0, 200, 5), 1 if i % 20 == 0 else 2):
+            words[at] = f"y{i}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(jaccard.similar_sets(frame, shingle=4, num=85, den=100), "doc_id", "n_shingles", "component_id") == plain(rows, 4, 85, 100)
+    assert sum(passed) <= 2 * len(rows)
+
+
 def test_linked_sets_share_a_tile():
     rng, bands = np.random.default_rng(1), jaccard.Bands(85, 100)
     for n in (6, 7, 8, 12, 13, 20, 50, 200, 3000):
