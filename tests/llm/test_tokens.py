@@ -1,7 +1,10 @@
+import os
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import docs, empty, rows_of, texts
 from fieldmart.llm import token_counts, token_files
@@ -145,3 +148,44 @@ def test_many_blocks_are_coded_by_the_same_steps(monkeypatch):
     blocks = token_files.encode_blocks(list(ids), table)
     assert len(steps) == 128 and len(counts) <= 3
     assert (np.array(token_files.decode_blocks(blocks, table)) == ids).all()
+
+
+def test_units_stay_known_between_tasks(spark, tmp_path, monkeypatch):
+    """A worker process makes one encoder for all its tasks of a run."""
+    made = tmp_path / "made"
+    made.mkdir()
+
+    class Noted(token_files.UnitIds):
+        def __init__(self, path):
+            super().__init__(path)
+            with open(made / str(os.getpid()), "a") as f:
+                f.write("1")
+
+    monkeypatch.setattr(token_files, "UnitIds", Noted)
+    settings = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        frame = spark.range(500).selectExpr("id AS doc_id", "concat('word', id, ' and more') AS text")
+        token_files.write_token_files(frame, str(tmp_path / "ids"), WORD)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    times = [f.read_text() for f in made.iterdir()]
+    assert spark.read.parquet(str(tmp_path / "ids")).count() > len(times) and set(times) == {"1"}
+
+
+def test_remembered_units_take_little_memory():
+    """As flat arrays, without an object for each word, and none of a text's ids stay."""
+    text = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17_576)}" for i in range(60_000)).encode()
+    own = token_files.UnitIds(WORD)
+    own.texts([b"one"], 2)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        own.texts([text], 2)
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert held < 40 * 60_000
