@@ -13,7 +13,8 @@ p2 [id = a] + (1 - p2) p1 [id = b] + (1 - p2) (1 - p1) order0(id), where p2 and
 the predictions were right. Writer and reader change everything alike.
 
 Blocks don't depend on each other, so a task codes ``LANES`` of them side by side: one step of the loop handles the
-next id of every block, so the cost of a step's array operations is shared by all of them. What a task holds is bounded in ids and bytes, not in rows.
+next id of every block, so the cost of a step's array operations is shared by all of them. A reader follows the contexts step by step;
+a writer knows its blocks whole and finds what the predictions say by sorting each block's places by context. What a task holds is bounded in ids and bytes, not in rows.
 """
 
 from __future__ import annotations
@@ -550,7 +551,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
                     names.append(name)
                     ids.append(new)
                     held += len(new)
-        batch = texts = None  # their memory is free for the last segment, mostly the only one
+        batch = texts = new = None  # their memory is free for the last segment, mostly the only one
         if ids:
             yield segment(names, ids)
 
