@@ -60,14 +60,19 @@ def _bodies(records: DataFrame, per_page: int) -> DataFrame:
     return records.mapInArrow(cut, "part int, place long, size long, body string")
 
 
+#: How pages wait for their numbers: a row group has few of them, since a reader takes up to a whole group into memory as one batch.
+STAGED = {"compression": "zstd", "parquet.block.row.count.limit": 8}
+
+
 def land_pages(rows: DataFrame, path: str, style: str, per_page: int = 500) -> None:
     """Writes records as JSON pages of the given style, one page per line, of ``per_page`` records each, the last one of
     each task of fewer. Without any record there is one empty page.
 
-    How many pages there are is known when all are made, so they are written once compressed, and then with their numbers."""
+    How many pages there are is known when all are made, so they are written once compressed, and then with their numbers.
+    A task holds a few pages at a time, however many it writes or reads."""
     spark, staged = rows.sparkSession, f"{path}-staged"
     record = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    _bodies(rows.select(F.to_json(record).alias("record")), per_page).write.option("compression", "zstd").parquet(staged)
+    _bodies(rows.select(F.to_json(record).alias("record")), per_page).write.options(**STAGED).parquet(staged)
     made = spark.read.parquet(staged)
     before, n, total = {}, 0, 0
     for part, pages, records in made.groupBy("part").agg(F.count("*"), F.sum("size")).orderBy("part").collect():  # a row for each task
