@@ -68,7 +68,7 @@ def test_landing_joins_records_to_pages_where_they_are(spark, tmp_path):
             assert not (tmp_path / f"{style}-{name}-staged").exists()
 
 
-@pytest.mark.parametrize("feed", ["aereo", "automovel", "despesa", "hotel"])
+@pytest.mark.parametrize("feed", ["aereo", "automovel", "despesa", "hotel", "onibus"])
 def test_pages_of_a_feed_wait_in_small_groups(spark, tmp_path, monkeypatch, feed):
     """A reader takes up to a whole row group into memory, so the pages of a task do not stand in one. Numbers are right
     when a task's pages are read by several."""
